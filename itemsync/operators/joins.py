@@ -12,14 +12,12 @@ SALTS = 1024
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark itself would broadcast ``df`` by its estimated size.
 
-    Where the session cannot tell the size, the answer is no.
+    A remote session keeps plans to itself; there the answer is no.
     """
-    try:
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+    if not hasattr(df, "_jdf"):
         return False
-    return size <= limit
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
