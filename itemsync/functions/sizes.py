@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Anything printed as an escape of 4, 6 or 10 characters.
+# Anything printed as an escape of 4, 6 or 10 characters. The first pattern is a
+# quick test that lets ordinary ASCII pass.
+NOT_PLAIN = r"[^ -~\n\r\t]"
 UNPRINTABLE = r"[\p{C}\p{Z}&&[^ \t\n\r]]"
 UNPRINTABLE_NARROW = r"[\p{C}\p{Z}&&[^ \t\n\r]&&[\x{0}-\x{ff}]]"
 UNPRINTABLE_WIDE = r"[\p{C}\p{Z}&&[\x{10000}-\x{10ffff}]]"
@@ -22,11 +24,14 @@ def _without(text: Column, pattern: str) -> Column:
 
 def text_size(text: Column) -> Column:
     """Length of the quoted form of ``text``; 4 (``None``) where it is missing."""
-    doubled = F.length(text) - F.length(F.translate(text, "\n\r\t\\", ""))
+    bare = text
+    for doubled_char in ("\n", "\r", "\t", "\\"):
+        bare = F.replace(bare, F.lit(doubled_char), F.lit(""))
+    doubled = F.length(text) - F.length(bare)
     both_quotes = F.contains(text, F.lit("'")) & F.contains(text, F.lit('"'))
     quotes = F.when(both_quotes, F.length(text) - F.length(F.replace(text, F.lit("'"), F.lit("")))).otherwise(0)
     escapes = F.when(
-        text.rlike(UNPRINTABLE),
+        text.rlike(NOT_PLAIN) & text.rlike(UNPRINTABLE),
         5 * _without(text, UNPRINTABLE) - 2 * _without(text, UNPRINTABLE_NARROW) + 4 * _without(text, UNPRINTABLE_WIDE),
     ).otherwise(0)
     return F.coalesce(F.length(text) + 2 + doubled + quotes + escapes, F.lit(4)).cast("long")

@@ -27,11 +27,12 @@ COMMON_ENTITIES = {
     "&amp;": "&",
 }
 
-# Markup that carries no text: comments, blocks of code, then tags. Each is one
-# linear scan, without look-around, and means the same in RE2.
-COMMENTS = r"(?s)<!--.*?-->"
-CODE_BLOCKS = [rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>" for tag in ("script", "style", "template")]
-TAGS = r"<[a-zA-Z/!?][^>]*>"
+# Markup that carries no text: comments, blocks of code, tags. One linear scan
+# from left to right, without look-around, which means the same in RE2.
+MARKUP = (
+    r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>"
+    r"|template\b[^>]*>.*?</template\s*>|[a-z/!?][^>]*>)"
+)
 
 RARE_ENTITY = r"&(?!lt;|gt;|quot;|#39;|nbsp;|copy;|middot;|amp;)(?:#[0-9]|#[xX][0-9a-fA-F]|[a-zA-Z])"
 ENTITY_OR_TEXT = r"(&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)|[^&]+|&)"
@@ -44,11 +45,12 @@ def _literal_map(pairs: dict[str, str]) -> Column:
 
 
 def _code_point(number: Column) -> Column:
-    """The character of a code point; the replacement character where there is none."""
+    """The character of a code point; the replacement character for impossible ones."""
     # Old pages number characters after the Windows code page in this range.
     old = {str(n): bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
     valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
-    packed = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
+    shown = F.when(number.isNotNull(), F.when(valid, number).otherwise(F.lit(0xFFFD)))
+    packed = F.unhex(F.lpad(F.hex(shown), 8, "0"))
     remapped = F.try_element_at(_literal_map({k: v for k, v in old.items() if v}), number.cast("string"))
     return F.coalesce(remapped, F.decode(packed, "UTF-32"))
 
@@ -56,14 +58,11 @@ def _code_point(number: Column) -> Column:
 def _decode_token(token: Column) -> Column:
     digits = F.regexp_extract(token, r"^&#([0-9]{1,9});?$", 1)
     hexes = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]{1,7});?$", 1)
+    number = F.when(digits != "", F.conv(digits, 10, 10)).when(hexes != "", F.conv(hexes, 16, 10)).cast("long")
     # The named characters come from the standard table of the language.
     named = _literal_map({"&" + name: char for name, char in html5.items()})
-    return (
-        F.when(~token.startswith("&"), token)
-        .when(digits != "", _code_point(F.conv(digits, 10, 10).cast("long")))
-        .when(hexes != "", _code_point(F.conv(hexes, 16, 10).cast("long")))
-        .otherwise(F.coalesce(F.try_element_at(named, token), token))
-    )
+    known = F.coalesce(_code_point(number), F.try_element_at(named, token), token)
+    return F.when(token.startswith("&"), known).otherwise(token)
 
 
 def decode_entities(text: Column) -> Column:
@@ -76,15 +75,23 @@ def decode_entities(text: Column) -> Column:
     for entity, char in COMMON_ENTITIES.items():
         chain = F.replace(chain, F.lit(entity), F.lit(char))
     tokens = F.regexp_extract_all(text, F.lit(ENTITY_OR_TEXT), F.lit(1))
-    return F.when(text.rlike(RARE_ENTITY), F.array_join(F.transform(tokens, _decode_token), "")).otherwise(chain)
+    return (
+        F.when(~F.contains(text, F.lit("&")), text)
+        .when(text.rlike(RARE_ENTITY), F.array_join(F.transform(tokens, _decode_token), ""))
+        .otherwise(chain)
+    )
 
 
 def html_to_text(html: Column) -> Column:
-    """Text of a page without markup, entities decoded, ends stripped; null for empty input."""
-    text = html
-    for pattern in [COMMENTS, *CODE_BLOCKS, TAGS]:
-        text = F.regexp_replace(text, pattern, "")
-    return F.when(html != "", F.btrim(decode_entities(text), F.lit(WHITESPACE)))
+    """Text of a page without markup, entities decoded, ends stripped; null for empty input.
+
+    Plain text, free of markup and entities, skips the scans. Otherwise the
+    stripped text is bound to a name, so that it is computed once.
+    """
+    plain = ~F.contains(html, F.lit("<")) & ~F.contains(html, F.lit("&"))
+    stripped = F.array(F.regexp_replace(html, MARKUP, ""))
+    decoded = F.get(F.transform(stripped, lambda text: decode_entities(text)), 0)
+    return F.when(html != "", F.btrim(F.when(plain, html).otherwise(decoded), F.lit(WHITESPACE)))
 
 
 def encode_name(name: Column) -> Column:

@@ -29,12 +29,14 @@ def attachments_of(
     start,
     end,
     same_chunk: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Attachments changed in ``[start, end)`` of the given items, with the owner's zone.
 
     ``items`` is already cut to its own window. ``same_chunk`` keeps pairs that
     fall into the same of so many time chunks. Both sides are filtered and
     pruned before the join; one parent may hold most of the attachments.
+    ``sized_by`` are the items before their accounts were joined.
     """
     parents = items.filter("has_attachments").select(
         F.col("id").alias("parent_id"),
@@ -47,7 +49,9 @@ def attachments_of(
         children = children.withColumn(
             "_own", chunk_index(children, "last_modified", start, end, same_chunk)
         )
-    joined = skew_join(children, parents, "parent_id", spread=F.col("attachment_id"))
+    if sized_by is not None:
+        sized_by = sized_by.select("id", "account")
+    joined = skew_join(children, parents, "parent_id", spread=F.col("attachment_id"), sized_by=sized_by)
     return joined.filter("_own = _chunk").drop("_own", "_chunk") if same_chunk else joined
 
 
@@ -97,10 +101,11 @@ def attachment_documents(
     end,
     options: JobOptions,
     extractor: Extractor | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Attachment documents of one object. Their date goes to ``created``."""
     own = attachments.filter(F.col("object") == name)
-    joined = attachments_of(items, own, start, end, options.time_chunks if options.same_chunk else None)
+    joined = attachments_of(items, own, start, end, options.time_chunks if options.same_chunk else None, sized_by)
     texts = with_text(joined, extractor)
     stamp = local_text(F.col("last_modified"), F.col("timezone"))
     missing = F.lit(None).cast("string")

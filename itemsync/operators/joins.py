@@ -36,17 +36,22 @@ def skew_join(
     on: str,
     how: str = "inner",
     spread: Column | None = None,
+    sized_by: DataFrame | None = None,
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join of ``big``, whose key may be skewed, with ``small``, unique by key.
 
     Where ``small`` is within Spark's broadcast limit nothing is shuffled and
-    skew does no harm. Beyond it, rows of hot keys are spread over ``salts`` by
+    skew does no harm. Estimates of joins are far too high; ``sized_by`` is a
+    simpler table that has at least as many rows, for the limit to be tested on.
+    Beyond it, rows of hot keys are spread over ``salts`` by
     ``spread`` (a column that differs between rows of one key) and only the
     matching rows of ``small`` are repeated. The list of hot keys is broadcast;
     it holds at most ``1 / share`` keys whatever the data.
     """
+    if sized_by is not None and fits_broadcast(sized_by):
+        return big.join(F.broadcast(small), on, how)
     if fits_broadcast(small):
         return big.join(small, on, how)
     spread = F.xxhash64(*big.columns) if spread is None else spread

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.plans.jobs import Mailboxes
+from itemsync.plans.jobs import Mailboxes, union_all
 from itemsync.schemas import PLATFORM_CLOUD, PLATFORM_ON_PREM
 
-# Time zones by region, folders by language, length of the month in seconds.
+# Time zones by nation, folders by language, length of the month in seconds.
 ZONES = ("UTC", "Europe/Berlin", "America/New_York", "Asia/Kolkata", "Australia/Sydney")
 FOLDERS = {"en": "inbox", "fr": "sent", "de": "junk", "es": "archive"}
 MONTH = 30 * 24 * 3600
@@ -45,9 +45,9 @@ def structs(name: str, *values: Column) -> Column:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), F.col("n_regionkey") % len(ZONES) + 1)
-    nations = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), zone.alias("timezone"))
-    return table(spark, folder, "customer").join(nations, "c_nationkey")
+    """Customers with the time zone of their nation."""
+    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), F.col("c_nationkey") % len(ZONES) + 1)
+    return table(spark, folder, "customer").withColumn("timezone", zone)
 
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +73,8 @@ def mails(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.lit(None).cast("string")
     for lang, name in FOLDERS.items():
         kind = F.when(F.col("lang") == lang, name).otherwise(kind)
-    found = F.regexp_extract_all("text", F.lit(EMAIL), F.lit(1))
+    found = F.when(F.contains("text", F.lit("@")), F.regexp_extract_all("text", F.lit(EMAIL), F.lit(1)))
+    found = F.coalesce(found, F.array().cast("array<string>"))
     sender = F.concat("source", F.lit("@example.com"))
     return table(spark, folder, "documents").select(
         prefixed("m", F.col("doc_id")).alias("id"),
@@ -198,19 +199,21 @@ def task_attachments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def attachments(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [make(spark, folder) for make in (mail_attachments, calendar_attachments, task_attachments)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+ATTACHMENTS = {"mails": mail_attachments, "calendar": calendar_attachments, "tasks": task_attachments}
+ITEMS = {"mails": mails, "calendar": calendar, "tasks": tasks, "contacts": contacts}
 
 
-def mailboxes(spark: SparkSession, folder: str) -> Mailboxes:
+def attachments(spark: SparkSession, folder: str, names=tuple(ATTACHMENTS)) -> DataFrame:
+    return union_all([ATTACHMENTS[name](spark, folder) for name in names])
+
+
+def mailboxes(spark: SparkSession, folder: str, names=tuple(ITEMS)) -> Mailboxes:
+    """The tables of the named objects."""
+    owners = [name for name in names if name in ATTACHMENTS]
     return Mailboxes(
         accounts=accounts(spark, folder),
-        mails=mails(spark, folder),
-        calendar=calendar(spark, folder),
-        tasks=tasks(spark, folder),
-        contacts=contacts(spark, folder),
-        attachments=attachments(spark, folder),
+        attachments=attachments(spark, folder, owners) if owners else None,
+        **{name: ITEMS[name](spark, folder) for name in names},
     )
 
 

@@ -73,12 +73,17 @@ def selected(sources: Mailboxes, options: JobOptions) -> list[str]:
     return [name for name in OBJECTS if name in options.objects and sources.table(name) is not None]
 
 
-def window_items(name: str, sources: Mailboxes, options: JobOptions, start: datetime, end: datetime) -> DataFrame:
-    """Items of one object inside the window, of known accounts, with the time zone."""
+def changed_items(name: str, sources: Mailboxes, options: JobOptions, start: datetime, end: datetime) -> DataFrame:
+    """Items of one object inside the window."""
     items = change_window(scan(name, sources.table(name)), "last_modified", start, end, options.bounds)
     if options.bounds == "open":
         items = off_bounds(items, "last_modified", start, end, options.time_chunks)
-    return shape.with_account(items, sources.accounts)
+    return items
+
+
+def window_items(name: str, sources: Mailboxes, options: JobOptions, start: datetime, end: datetime) -> DataFrame:
+    """Changed items of known accounts, with the time zone."""
+    return shape.with_account(changed_items(name, sources, options, start, end), sources.accounts)
 
 
 def object_documents(
@@ -90,7 +95,8 @@ def object_documents(
     extractor: Extractor | None = None,
 ) -> DataFrame:
     """Documents of one object: shaped items and the attachments they own."""
-    items = window_items(name, sources, options, start, end)
+    changed = changed_items(name, sources, options, start, end)
+    items = shape.with_account(changed, sources.accounts)
     if name == "mails":
         fields = shape.mail_fields(items)
     elif name == "calendar":
@@ -104,7 +110,7 @@ def object_documents(
         documents = documents.withColumn("created", F.lit(None).cast("string"))
     if name in ATTACHMENT_TYPES and sources.attachments is not None:
         documents = documents.unionByName(
-            attachment_documents(items, sources.attachments, name, start, end, options, extractor)
+            attachment_documents(items, sources.attachments, name, start, end, options, extractor, changed)
         )
     whole = options.dedup_calendar if name == "calendar" else True
     return distinct_rows(documents) if whole else documents

@@ -11,6 +11,10 @@ ORD = ("TIMESTAMP '1997-01-01'", "TIMESTAMP '1999-07-01'")
 YEARS = ("TIMESTAMP '1997-01-01'", "TIMESTAMP '2024-01-25'")
 WIDE, NARROW = " " * 28, " " * 16
 NL = "chr(10)"
+MARKUP = (
+    r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+    r"|<template\b[^>]*>.*?</template\s*>|<[a-z/!?][^>]*>"
+)
 
 
 def user(number: str) -> str:
@@ -38,15 +42,7 @@ def in_month(seconds: str) -> str:
 
 
 def html(column: str) -> str:
-    value = column
-    for pattern in (
-        "(?s)<!--.*?-->",
-        r"(?is)<script\b[^>]*>.*?</script\s*>",
-        r"(?is)<style\b[^>]*>.*?</style\s*>",
-        r"(?is)<template\b[^>]*>.*?</template\s*>",
-        "<[a-zA-Z/!?][^>]*>",
-    ):
-        value = f"regexp_replace({value}, '{pattern}', '', 'g')"
+    value = f"regexp_replace({column}, '{MARKUP}', '', 'g')"
     for entity, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)")):
         value = f"replace({value}, '{entity}', {char})"
     value = f"regexp_replace({value}, '&amp;?', '&', 'g')"
@@ -68,9 +64,9 @@ NARROW_LINE = f"{NL} || '{NARROW}'"
 
 ACCOUNTS = f"""accounts AS (
   SELECT {user('c_custkey')} AS account,
-         ['UTC', 'Europe/Berlin', 'America/New_York', 'Asia/Kolkata', 'Australia/Sydney'][n_regionkey % 5 + 1] AS timezone,
+         ['UTC', 'Europe/Berlin', 'America/New_York', 'Asia/Kolkata', 'Australia/Sydney'][c_nationkey % 5 + 1] AS timezone,
          CASE WHEN c_custkey % 2 = 0 THEN 'Office365' ELSE 'Microsoft Exchange' END AS platform
-  FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
+  FROM customer)"""
 
 DIRECTORY = f"""directory AS (
   SELECT CASE WHEN c_custkey % 10 = 0 THEN 'searchResRef' ELSE 'searchResEntry' END AS entry_type,
@@ -326,7 +322,7 @@ SQL = {
         SELECT user_id, CAST(chunk AS INTEGER) AS chunk, {stamp('make_timestamp(s + step * chunk)')} AS chunk_start,
                {stamp('make_timestamp(CASE WHEN chunk = 4 THEN e ELSE s + step * (chunk + 1) END)')} AS chunk_end
         FROM chunks""",
-    "items_per_chunk": f"""SELECT event_type, CAST(epoch_us(ts) - epoch_us({JAN[0]}) AS BIGINT) // (4 * 86400000000) AS chunk,
+    "items_per_chunk": f"""SELECT event_type, CAST((epoch_us(ts) - epoch_us({JAN[0]})) // (4 * 86400000000) AS INTEGER) AS chunk,
           count(*) AS items FROM events WHERE {within('ts', JAN)} GROUP BY 1, 2""",
     "folder_labels": f"WITH {MAILS} SELECT id, folder, {MAIL_TYPE} AS type FROM mails WHERE {SCANS['mails']}",
     "calendar_main_and_children": f"WITH {CALENDAR} SELECT id, calendar_name, depth FROM calendar WHERE depth <= 1",

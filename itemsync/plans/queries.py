@@ -13,6 +13,7 @@ from itemsync.operators import acl, attachments, batching, checkpoints, dedup, r
 from itemsync.options import FieldRule, JobOptions
 from itemsync.plans import bindings as b
 from itemsync.plans import jobs
+from itemsync.plans.jobs import Mailboxes
 from itemsync.schemas import PLATFORM_CLOUD, PLATFORM_ON_PREM
 from itemsync.session import shared_dir
 from itemsync.sinks.keyed import KeyedTable, removed, upserted
@@ -128,7 +129,7 @@ def account_items_local_time(spark, folder):
 
 
 def _shaped(spark, folder, name, fields, start=JANUARY_START, end=JANUARY_END, permissions=True):
-    sources = b.mailboxes(spark, folder)
+    sources = Mailboxes(b.accounts(spark, folder), **{name: b.ITEMS[name](spark, folder)})
     items = jobs.window_items(name, sources, options(), start, end)
     return shown(shape.to_documents(fields(items), permissions))
 
@@ -143,10 +144,10 @@ def calendar_documents(spark, folder):
 
 def task_documents(spark, folder):
     """Both bodies: with and without start date and companies."""
+    sources = Mailboxes(b.accounts(spark, folder), tasks=b.tasks(spark, folder))
+    items = jobs.window_items("tasks", sources, options(), ORDER_START, ORDER_END)
     parts = [
-        _shaped(spark, folder, "tasks", lambda items, p=p: shape.task_fields(items, p), ORDER_START, ORDER_END).withColumn(
-            "platform", F.lit(p)
-        )
+        shown(shape.to_documents(shape.task_fields(items, p), True)).withColumn("platform", F.lit(p))
         for p in (PLATFORM_ON_PREM, PLATFORM_CLOUD)
     ]
     return parts[0].unionByName(parts[1])
@@ -181,7 +182,7 @@ def parsed_rfc3339(spark, folder):
 
 
 def field_projection(spark, folder):
-    sources = b.mailboxes(spark, folder)
+    sources = Mailboxes(b.accounts(spark, folder), mails=b.mails(spark, folder))
     items = jobs.window_items("mails", sources, options(), JANUARY_START, JANUARY_END)
     rules = {
         "all": None,
@@ -197,12 +198,12 @@ def field_projection(spark, folder):
 
 def item_attachments(spark, folder):
     """Items and the attachments they own, tagged with their reader."""
-    sources = b.mailboxes(spark, folder)
+    sources = b.mailboxes(spark, folder, ["tasks"])
     return shown(jobs.object_documents("tasks", sources, options(), ORDER_START, ORDER_END)).drop("body")
 
 
 def item_attachments_same_chunk(spark, folder):
-    sources = b.mailboxes(spark, folder)
+    sources = b.mailboxes(spark, folder, ["tasks"])
     chosen = options(same_chunk=True, time_chunks=CHUNKS)
     return shown(jobs.object_documents("tasks", sources, chosen, ORDER_START, ORDER_END)).drop("body")
 
@@ -438,17 +439,16 @@ def incremental_sync_docs(spark, folder):
 
 def _known_items(spark, folder) -> DataFrame:
     """A registry that holds every item of the tables, with and without a known account."""
-    sources = b.mailboxes(spark, folder)
     return jobs.union_all(
         [
-            sources.table(name).select(
+            b.ITEMS[name](spark, folder).select(
                 "id",
                 F.lit("").alias("parent_id"),
                 F.lit(name).alias("type"),
                 F.lit(PLATFORM_CLOUD).alias("platform"),
                 F.lit(name).alias("object"),
             )
-            for name in ("mails", "calendar", "tasks", "contacts")
+            for name in b.ITEMS
         ]
     )
 
