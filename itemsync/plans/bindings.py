@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from itemsync.plans.jobs import Mailboxes, union_all
 from itemsync.schemas import PLATFORM_CLOUD, PLATFORM_ON_PREM
 
-# Time zones by nation, folders by language, length of the month in seconds.
-ZONES = ("UTC", "Europe/Berlin", "America/New_York", "Asia/Kolkata", "Australia/Sydney")
-FOLDERS = {"en": "inbox", "fr": "sent", "de": "junk", "es": "archive"}
-MONTH = 30 * 24 * 3600
-EMAIL = r"([A-Za-z0-9._+-]+@[A-Za-z0-9.-]+)"
+# Time zones by nation, folders by language.
+ZONES = "array('UTC', 'Europe/Berlin', 'America/New_York', 'Asia/Kolkata', 'Australia/Sydney')"
+FOLDERS = "map('en', 'inbox', 'fr', 'sent', 'de', 'junk', 'es', 'archive')"
+EMAIL = "([A-Za-z0-9._+-]+@[A-Za-z0-9.-]+)"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +22,10 @@ def user(number: Column) -> Column:
     return F.concat(F.lit("user"), number.cast("string"), F.lit("@example.com"))
 
 
+def user_sql(number: str) -> str:
+    return f"concat('user', {number}, '@example.com')"
+
+
 def prefixed(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix), F.concat_ws("-", *[p.cast("string") for p in parts]))
 
@@ -31,171 +34,149 @@ def every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
 
-def unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def in_month(seconds: Column) -> Column:
+def in_month(seconds: str) -> str:
     """An instant in January 2024."""
-    return F.timestamp_seconds(F.lit(1704067200) + F.pmod(seconds, F.lit(MONTH)))
+    return f"timestamp_seconds(1704067200 + pmod({seconds}, 30 * 24 * 3600))"
 
 
-def structs(name: str, *values: Column) -> Column:
-    return F.array(*[F.struct(v.alias(name)) for v in values])
-
-
-def customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers with the time zone of their nation."""
-    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), F.col("c_nationkey") % len(ZONES) + 1)
-    return table(spark, folder, "customer").withColumn("timezone", zone)
+def structs(name: str, *values: str) -> str:
+    return "array(" + ", ".join(f"named_struct('{name}', {value})" for value in values) + ")"
 
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
-    platform = F.when(every("c_custkey", 2), PLATFORM_CLOUD).otherwise(PLATFORM_ON_PREM)
-    return customers(spark, folder).select(
-        user(F.col("c_custkey")).alias("account"), "timezone", platform.alias("platform")
+    return table(spark, folder, "customer").selectExpr(
+        f"{user_sql('c_custkey')} AS account",
+        f"element_at({ZONES}, c_nationkey % 5 + 1) AS timezone",
+        f"if(c_custkey % 2 = 0, '{PLATFORM_CLOUD}', '{PLATFORM_ON_PREM}') AS platform",
     )
 
 
 def directory(spark: SparkSession, folder: str) -> DataFrame:
-    return customers(spark, folder).select(
-        F.when(every("c_custkey", 10), "searchResRef").otherwise("searchResEntry").alias("entry_type"),
-        F.when(F.col("c_mktsegment") == "FURNITURE", "group").otherwise("person").alias("category"),
-        F.when(F.col("c_acctbal") >= 0, "user").otherwise("computer").alias("class"),
-        unless(every("c_custkey", 7), F.col("c_name")).alias("given_name"),
-        user(F.col("c_custkey")).alias("mail"),
-        "timezone",
+    return table(spark, folder, "customer").selectExpr(
+        "if(c_custkey % 10 = 0, 'searchResRef', 'searchResEntry') AS entry_type",
+        "if(c_mktsegment = 'FURNITURE', 'group', 'person') AS category",
+        "if(c_acctbal >= 0, 'user', 'computer') AS class",
+        "if(c_custkey % 7 = 0, NULL, c_name) AS given_name",
+        f"{user_sql('c_custkey')} AS mail",
+        f"element_at({ZONES}, c_nationkey % 5 + 1) AS timezone",
     )
 
 
 def mails(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as mails: recipients are the addresses found in the whole text."""
-    kind = F.lit(None).cast("string")
-    for lang, name in FOLDERS.items():
-        kind = F.when(F.col("lang") == lang, name).otherwise(kind)
-    found = F.when(F.contains("text", F.lit("@")), F.regexp_extract_all("text", F.lit(EMAIL), F.lit(1)))
-    found = F.coalesce(found, F.array().cast("array<string>"))
-    sender = F.concat("source", F.lit("@example.com"))
-    return table(spark, folder, "documents").select(
-        prefixed("m", F.col("doc_id")).alias("id"),
-        user(F.col("doc_id")).alias("account"),
-        F.when(every("doc_id", 17), "drafts").otherwise(kind).alias("folder"),
-        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("subject"),
-        unless(every("doc_id", 11), sender).alias("sender"),
-        F.transform(found, lambda a: F.struct(a.alias("email_address"))).alias("to_recipients"),
-        structs("email_address", sender, user(F.col("doc_id") + 1)).alias("cc_recipients"),
-        unless(every("doc_id", 3), structs("email_address", user(F.col("doc_id") + 2))).alias("bcc_recipients"),
-        unless(every("doc_id", 5), F.lit("Normal")).alias("importance"),
-        F.array("lang", "source").alias("categories"),
-        F.col("text").alias("body"),
-        (~every("doc_id", 4)).alias("has_attachments"),
-        in_month(F.col("doc_id") * 7919).alias("last_modified"),
+    found = f"if(contains(text, '@'), regexp_extract_all(text, '{EMAIL}', 1), CAST(array() AS ARRAY<STRING>))"
+    sender = "concat(source, '@example.com')"
+    return table(spark, folder, "documents").selectExpr(
+        "concat('m', doc_id) AS id",
+        f"{user_sql('doc_id')} AS account",
+        f"if(doc_id % 17 = 0, 'drafts', try_element_at({FOLDERS}, lang)) AS folder",
+        "concat(source, '/', doc_id) AS subject",
+        f"if(doc_id % 11 = 0, NULL, {sender}) AS sender",
+        f"transform({found}, a -> named_struct('email_address', a)) AS to_recipients",
+        f"{structs('email_address', sender, user_sql('doc_id + 1'))} AS cc_recipients",
+        f"if(doc_id % 3 = 0, NULL, {structs('email_address', user_sql('doc_id + 2'))}) AS bcc_recipients",
+        "if(doc_id % 5 = 0, NULL, 'Normal') AS importance",
+        "array(lang, source) AS categories",
+        "text AS body",
+        "doc_id % 4 <> 0 AS has_attachments",
+        f"{in_month('doc_id * 7919')} AS last_modified",
     )
 
 
 def calendar(spark: SparkSession, folder: str) -> DataFrame:
-    name = (
-        F.when(F.col("event_type") == "error", "Birthdays (Birthdays)")
-        .when(F.col("event_type") == "signup", "Folder (Birthdays)")
-        .otherwise("Calendar")
-    )
-    all_day = every("event_id", 5)
-    day = F.to_date("ts")
-    attendees = structs(
-        "email_address", user(F.col("user_id") + 1), F.lit(None).cast("string"), F.lit(""), user(F.col("user_id") + 2)
-    )
-    return table(spark, folder, "events").select(
-        prefixed("e", F.col("event_id")).alias("id"),
-        user(F.col("user_id")).alias("account"),
-        name.alias("calendar_name"),
-        (F.col("event_id") % 3).cast("int").alias("depth"),
-        F.concat_ws(" ", "event_type", F.col("event_id").cast("string")).alias("subject"),
-        F.when(every("event_id", 4), "RecurringMaster").otherwise("Single").alias("type"),
-        unless(every("event_id", 8), F.col("props")).alias("recurrence_pattern"),
-        unless(all_day, F.col("ts")).alias("start_ts"),
-        unless(all_day, F.col("ts") + F.expr("INTERVAL 90 MINUTES")).alias("end_ts"),
-        F.when(all_day, day).alias("start_date"),
-        F.when(all_day, F.date_add(day, 1)).alias("end_date"),
-        unless(every("event_id", 6), prefixed("Room ", F.col("user_id"))).alias("location"),
-        unless(every("event_id", 9), user(F.col("user_id"))).alias("organizer"),
-        unless(every("event_id", 7), attendees).alias("required_attendees"),
-        F.when(every("event_id", 10), "").otherwise(F.concat(F.lit("<p>"), "props", F.lit(" &amp; more</p>"))).alias("body"),
-        every("event_id", 2).alias("has_attachments"),
-        F.col("ts").alias("last_modified"),
+    attendees = structs("email_address", user_sql("user_id + 1"), "NULL", "''", user_sql("user_id + 2"))
+    return table(spark, folder, "events").selectExpr(
+        "concat('e', event_id) AS id",
+        f"{user_sql('user_id')} AS account",
+        "CASE event_type WHEN 'error' THEN 'Birthdays (Birthdays)' WHEN 'signup' THEN 'Folder (Birthdays)' "
+        "ELSE 'Calendar' END AS calendar_name",
+        "CAST(event_id % 3 AS INT) AS depth",
+        "concat(event_type, ' ', event_id) AS subject",
+        "if(event_id % 4 = 0, 'RecurringMaster', 'Single') AS type",
+        "if(event_id % 8 = 0, NULL, props) AS recurrence_pattern",
+        "if(event_id % 5 = 0, NULL, ts) AS start_ts",
+        "if(event_id % 5 = 0, NULL, ts + INTERVAL 90 MINUTES) AS end_ts",
+        "if(event_id % 5 = 0, to_date(ts), NULL) AS start_date",
+        "if(event_id % 5 = 0, date_add(to_date(ts), 1), NULL) AS end_date",
+        "if(event_id % 6 = 0, NULL, concat('Room ', user_id)) AS location",
+        f"if(event_id % 9 = 0, NULL, {user_sql('user_id')}) AS organizer",
+        f"if(event_id % 7 = 0, NULL, {attendees}) AS required_attendees",
+        "if(event_id % 10 = 0, '', concat('<p>', props, ' &amp; more</p>')) AS body",
+        "event_id % 2 = 0 AS has_attachments",
+        "ts AS last_modified",
     )
 
 
 def tasks(spark: SparkSession, folder: str) -> DataFrame:
-    day = F.to_date("o_orderdate")
-    return table(spark, folder, "orders").select(
-        prefixed("t", F.col("o_orderkey")).alias("id"),
-        user(F.col("o_custkey")).alias("account"),
-        prefixed("Order ", F.col("o_orderkey")).alias("subject"),
-        F.col("o_orderstatus").alias("status"),
-        unless(every("o_custkey", 10), user(F.col("o_custkey"))).alias("owner"),
-        day.alias("start_date"),
-        unless(every("o_orderkey", 6), F.date_add(day, 30)).alias("due_date"),
-        F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.expr("INTERVAL 34 HOURS")).alias("complete_ts"),
-        unless(every("o_orderkey", 9), F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("text_body"),
-        unless(every("o_orderkey", 4), F.array("o_orderpriority", "o_orderstatus")).alias("companies"),
-        F.array("o_orderstatus", "o_orderpriority").alias("categories"),
-        F.col("o_orderpriority").alias("importance"),
-        (~every("o_orderkey", 2)).alias("has_attachments"),
-        F.col("o_orderdate").alias("last_modified"),
+    return table(spark, folder, "orders").selectExpr(
+        "concat('t', o_orderkey) AS id",
+        f"{user_sql('o_custkey')} AS account",
+        "concat('Order ', o_orderkey) AS subject",
+        "o_orderstatus AS status",
+        f"if(o_custkey % 10 = 0, NULL, {user_sql('o_custkey')}) AS owner",
+        "to_date(o_orderdate) AS start_date",
+        "if(o_orderkey % 6 = 0, NULL, date_add(to_date(o_orderdate), 30)) AS due_date",
+        "if(o_orderstatus = 'F', o_orderdate + INTERVAL 34 HOURS, NULL) AS complete_ts",
+        "if(o_orderkey % 9 = 0, NULL, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS STRING)) AS text_body",
+        "if(o_orderkey % 4 = 0, NULL, array(o_orderpriority, o_orderstatus)) AS companies",
+        "array(o_orderstatus, o_orderpriority) AS categories",
+        "o_orderpriority AS importance",
+        "o_orderkey % 2 <> 0 AS has_attachments",
+        "o_orderdate AS last_modified",
     )
 
 
 def contacts(spark: SparkSession, folder: str) -> DataFrame:
-    born = F.date_add(F.lit("1950-01-01").cast("date"), F.pmod("c_custkey", F.lit(20000)).cast("int"))
-    unknown_year = F.make_date(F.lit(1604), F.month(born), F.dayofmonth(born))
-    number = F.col("c_custkey").cast("string")
-    return table(spark, folder, "customer").select(
-        prefixed("c", F.col("c_custkey")).alias("id"),
-        user(F.col("c_custkey")).alias("account"),
-        F.when(F.col("c_mktsegment") == "FURNITURE", "DistributionList").otherwise("Contact").alias("item_class"),
-        F.col("c_name").alias("display_name"),
-        unless(every("c_nationkey", 3), F.col("c_mktsegment")).alias("company_name"),
-        unless(every("c_custkey", 13), F.when(every("c_custkey", 3), unknown_year).otherwise(born)).alias("birthday"),
-        structs("email", user(F.col("c_custkey")), F.lower("c_name")).alias("email_addresses"),
-        unless(every("c_custkey", 8), structs("phone_number", number, F.lpad(number, 12, "0"))).alias("phone_numbers"),
-        in_month(F.col("c_custkey") * 6151).alias("last_modified"),
+    born = "date_add(DATE '1950-01-01', CAST(pmod(c_custkey, 20000) AS INT))"
+    unknown_year = f"make_date(1604, month({born}), day({born}))"
+    phones = structs("phone_number", "CAST(c_custkey AS STRING)", "lpad(CAST(c_custkey AS STRING), 12, '0')")
+    return table(spark, folder, "customer").selectExpr(
+        "concat('c', c_custkey) AS id",
+        f"{user_sql('c_custkey')} AS account",
+        "if(c_mktsegment = 'FURNITURE', 'DistributionList', 'Contact') AS item_class",
+        "c_name AS display_name",
+        "if(c_nationkey % 3 = 0, NULL, c_mktsegment) AS company_name",
+        f"CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN {unknown_year} ELSE {born} END AS birthday",
+        f"{structs('email', user_sql('c_custkey'), 'lower(c_name)')} AS email_addresses",
+        f"if(c_custkey % 8 = 0, NULL, {phones}) AS phone_numbers",
+        f"{in_month('c_custkey * 6151')} AS last_modified",
     )
 
 
 def mail_attachments(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select(
-        prefixed("p", F.col("page_id")).alias("attachment_id"),
-        prefixed("m", F.col("page_id")).alias("parent_id"),
-        F.lit("mails").alias("object"),
-        F.col("url").alias("name"),
-        F.lit("text/html").alias("content_type"),
-        F.encode("html", "UTF-8").alias("content"),
-        in_month(F.col("page_id") * 8111).alias("last_modified"),
+    return table(spark, folder, "pages").selectExpr(
+        "concat('p', page_id) AS attachment_id",
+        "concat('m', page_id) AS parent_id",
+        "'mails' AS object",
+        "url AS name",
+        "'text/html' AS content_type",
+        "encode(html, 'UTF-8') AS content",
+        f"{in_month('page_id * 8111')} AS last_modified",
     )
 
 
 def calendar_attachments(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "conversations").select(
-        prefixed("v", F.col("conv_id"), F.col("turn")).alias("attachment_id"),
-        prefixed("e", F.col("conv_id")).alias("parent_id"),
-        F.lit("calendar").alias("object"),
-        F.col("role").alias("name"),
-        F.lit("text/plain").alias("content_type"),
-        F.encode("text", "UTF-8").alias("content"),
-        in_month(F.col("conv_id") * 10007 + F.col("turn") * 60).alias("last_modified"),
+    return table(spark, folder, "conversations").selectExpr(
+        "concat('v', conv_id, '-', turn) AS attachment_id",
+        "concat('e', conv_id) AS parent_id",
+        "'calendar' AS object",
+        "role AS name",
+        "'text/plain' AS content_type",
+        "encode(text, 'UTF-8') AS content",
+        f"{in_month('conv_id * 10007 + turn * 60')} AS last_modified",
     )
 
 
 def task_attachments(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as attachments without readable text; (order, line) is not unique."""
-    return table(spark, folder, "lineitem").select(
-        prefixed("l", *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("attachment_id"),
-        prefixed("t", F.col("l_orderkey")).alias("parent_id"),
-        F.lit("tasks").alias("object"),
-        prefixed("line ", F.col("l_linenumber")).alias("name"),
-        F.lit("application/octet-stream").alias("content_type"),
-        F.lit(None).cast("binary").alias("content"),
-        F.col("l_shipdate").cast("timestamp").alias("last_modified"),
+    return table(spark, folder, "lineitem").selectExpr(
+        "concat('l', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS attachment_id",
+        "concat('t', l_orderkey) AS parent_id",
+        "'tasks' AS object",
+        "concat('line ', l_linenumber) AS name",
+        "'application/octet-stream' AS content_type",
+        "CAST(NULL AS BINARY) AS content",
+        "CAST(l_shipdate AS TIMESTAMP) AS last_modified",
     )
 
 
@@ -219,24 +200,23 @@ def mailboxes(spark: SparkSession, folder: str, names=tuple(ITEMS)) -> Mailboxes
 
 def identities(spark: SparkSession, folder: str) -> DataFrame:
     """One identity per order, readable by two users; every tenth list is empty."""
-    listed = F.array(user(F.col("o_custkey")), user(F.col("o_custkey") + 1))
-    return table(spark, folder, "orders").select(
-        prefixed("identity", F.col("o_orderkey")).alias("identity"),
-        F.when(every("o_orderkey", 10), F.array().cast("array<string>")).otherwise(listed).alias("permissions"),
+    return table(spark, folder, "orders").selectExpr(
+        "concat('identity', o_orderkey) AS identity",
+        f"if(o_orderkey % 10 = 0, CAST(array() AS ARRAY<STRING>), array({user_sql('o_custkey')}, "
+        f"{user_sql('o_custkey + 1')})) AS permissions",
     )
 
 
 def live_accounts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "customer").filter("c_acctbal > 5000").select(user(F.col("c_custkey")).alias("account"))
+    return table(spark, folder, "customer").filter("c_acctbal > 5000").selectExpr(f"{user_sql('c_custkey')} AS account")
 
 
 def registry(spark: SparkSession, folder: str) -> DataFrame:
     """Documents already indexed, on both platforms."""
-    platform = F.when(every("doc_id", 3), PLATFORM_ON_PREM).otherwise(PLATFORM_CLOUD)
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").cast("string").alias("id"),
-        F.lit("").alias("parent_id"),
-        F.col("lang").alias("type"),
-        platform.alias("platform"),
-        F.lit("mails").alias("object"),
+    return table(spark, folder, "documents").selectExpr(
+        "CAST(doc_id AS STRING) AS id",
+        "'' AS parent_id",
+        "lang AS type",
+        f"if(doc_id % 3 = 0, '{PLATFORM_ON_PREM}', '{PLATFORM_CLOUD}') AS platform",
+        "'mails' AS object",
     )

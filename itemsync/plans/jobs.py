@@ -14,16 +14,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.operators import acl, checkpoints, registry, shape
+from itemsync.functions.sizes import document_size, size_without_body
+from itemsync.operators import acl, batching, checkpoints, registry, shape
 from itemsync.operators.attachments import Extractor, attachment_documents
 from itemsync.operators.dedup import distinct_rows
-from itemsync.operators.windows import change_window, off_bounds
+from itemsync.operators.windows import change_window, chunk_index, off_bounds
 from itemsync.options import JobOptions
 from itemsync.schemas import (
     ATTACHMENT_TYPES,
+    BATCH_SIZE,
     CHECKPOINTS,
+    DOCUMENT_FIELDS,
     DOCUMENTS,
     IDENTITIES,
+    MAX_REQUEST_CHARS,
     OBJECTS,
     REGISTRY,
     REGISTRY_KEYS,
@@ -33,6 +37,7 @@ from itemsync.session import cut_lineage
 from itemsync.sinks.keyed import KeyedTable
 from itemsync.sources.tables import scan
 
+REQUEST = ["queue", "gather", "chunk", "batch"]
 INDEX_SCHEMA = DOCUMENTS + ", account STRING, object STRING, parent_id STRING, last_modified TIMESTAMP"
 
 
@@ -200,6 +205,33 @@ def permission_sync(
     return acl.revoked_identities(identities, accounts), acl.granted_permissions(accounts, mapping)
 
 
+def index_requests(
+    documents: DataFrame,
+    start: datetime,
+    end: datetime,
+    chunks: int,
+    limit: int = MAX_REQUEST_CHARS,
+    rows: int = BATCH_SIZE,
+) -> DataFrame:
+    """Documents grouped into requests for a remote index, for ``send_batches``.
+
+    A queue per object, a message per time chunk. Sizes are taken once, batches
+    are formed from narrow rows, and bodies are joined back by id; the body of a
+    document above the limit is left out.
+    """
+    size = document_size()
+    narrow = documents.select(
+        F.col("object").alias("queue"),
+        chunk_index(documents, "last_modified", start, end, chunks).alias("message"),
+        "id",
+        size.alias("size"),
+        size_without_body(size, F.col("body")).alias("bare_size"),
+    )
+    placed = batching.consumer_batches(cut_lineage(narrow), "queue", "message", ["id"], limit, rows)
+    body = F.when(~F.col("body_removed"), F.col("body"))
+    return documents.join(placed, "id").withColumn("body", body).select(*DOCUMENT_FIELDS, *REQUEST, "ord")
+
+
 def _commit_documents(documents: DataFrame, state: SyncState, options: JobOptions, commit: int, mode: str) -> None:
     state.index.upsert(documents, commit)
     # The registry reads back what was written; nothing is extracted twice.

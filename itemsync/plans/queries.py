@@ -15,7 +15,7 @@ from itemsync.plans import bindings as b
 from itemsync.plans import jobs
 from itemsync.plans.jobs import Mailboxes
 from itemsync.schemas import PLATFORM_CLOUD, PLATFORM_ON_PREM
-from itemsync.session import shared_dir
+from itemsync.session import cut_lineage, shared_dir
 from itemsync.sinks.keyed import KeyedTable, removed, upserted
 from itemsync.sources import mapping, tables
 from itemsync.streaming.incremental import item_stream, sync_available
@@ -297,8 +297,12 @@ def delete_batches(spark, folder):
     return batching.delete_batches(ids, "o_orderkey", slot=_slot("o_orderkey"))
 
 
+def _printed_size() -> Column:
+    return sizes.record_size({"lang": F.col("lang"), "source": F.col("source"), "body": F.col("text")})
+
+
 def document_sizes(spark, folder):
-    size = sizes.record_size({"lang": F.col("lang"), "source": F.col("source"), "body": F.col("text")})
+    size = _printed_size()
     return b.table(spark, folder, "documents").select(
         "doc_id", size.alias("size"), sizes.size_without_body(size, F.col("text")).alias("bare_size")
     )
@@ -310,8 +314,12 @@ def byte_batches(spark, folder):
 
 
 def consumer_batches(spark, folder):
-    """Queues by language, messages by source."""
-    narrow = document_sizes(spark, folder).join(b.table(spark, folder, "documents").select("doc_id", "lang", "source"), "doc_id")
+    """Queues by language, messages by source. Texts are read once; what is used twice is narrow."""
+    size = _printed_size()
+    narrow = b.table(spark, folder, "documents").select(
+        "doc_id", "lang", "source", size.alias("size"), sizes.size_without_body(size, F.col("text")).alias("bare_size")
+    )
+    narrow = cut_lineage(narrow)
     return batching.consumer_batches(
         narrow, "lang", "source", ["doc_id"], limit=GATHER_LIMIT, rows=20, slot=_slot("doc_id")
     )

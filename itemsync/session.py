@@ -10,13 +10,18 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def local_session(cores: str = "8", app: str = "itemsync") -> SparkSession:
-    """A session for tests and benches on one machine."""
+    """A session for tests and benches on one machine.
+
+    Call sites are not recorded for every column expression, as that takes most
+    of the time in which a plan is built.
+    """
     return prepare(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

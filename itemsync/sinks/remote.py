@@ -29,7 +29,12 @@ def with_retry(call: Callable, retries: int, sleep: Callable[[float], None] = ti
 
 
 def send_batches(
-    documents: DataFrame, batch: list[str], send: Send, retries: int = 3, sleep: Callable[[float], None] = time.sleep
+    documents: DataFrame,
+    batch: list[str],
+    send: Send,
+    retries: int = 3,
+    order: str | None = None,
+    sleep: Callable[[float], None] = time.sleep,
 ) -> DataFrame:
     """Send each batch once and return its responses (``id``, ``errors``).
 
@@ -38,8 +43,8 @@ def send_batches(
     lost task sends its batches again, which an upsert by id allows. Write the
     result down before it is used twice.
     """
-    together = documents.repartition(*batch).sortWithinPartitions(*batch)
-    fields = [name for name in documents.columns if name not in batch]
+    together = documents.repartition(*batch).sortWithinPartitions(*batch, *([order] if order else []))
+    fields = [name for name in documents.columns if name not in batch and name != order]
     call = with_retry(send, retries, sleep)
 
     def answers(rows: list[dict]) -> pd.DataFrame:

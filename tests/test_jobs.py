@@ -187,6 +187,30 @@ def test_send_batches(spark, folder):
     assert sorted(int(open(f"{folder}/{f}").read()) for f in os.listdir(folder)) == [50, 100, 100]
 
 
+def test_index_requests(spark, folder):
+    mails = [mail(id=f"m{n}", body="x" * (n % 7) * 40, last_modified=at(2 + n % 20)) for n in range(230)]
+    options = JobOptions(NOW, start_time=at(1))
+    documents = jobs.full_sync(boxes(spark, mails), options)
+    requests = jobs.index_requests(documents, at(1), NOW, 5, limit=6000)
+    rows = requests.collect()
+    assert sorted(r["id"] for r in rows) == sorted(m[0] for m in mails)
+    groups = {}
+    for r in rows:
+        groups.setdefault(tuple(r[c] for c in jobs.REQUEST), []).append(r["id"])
+    assert max(map(len, groups.values())) <= 100
+    sent = []
+
+    def send(batch):
+        printed = [{k: v for k, v in d.items() if v is not None or k == "body"} for d in batch]
+        assert sum(len(str(d | {"_allow_permissions": list(d["_allow_permissions"])})) for d in printed) < 6000
+        return [{"id": d["id"], "errors": []} for d in batch]
+
+    sent = send_batches(requests, jobs.REQUEST, send, order="ord").collect()
+    assert len(sent) == 230
+    small = jobs.index_requests(documents, at(1), NOW, 5, limit=100)
+    assert small.filter("body IS NOT NULL").count() == 0 and small.count() == 230
+
+
 def test_retry():
     pauses, calls = [], []
 
