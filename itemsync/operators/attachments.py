@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from itemsync.functions.text import html_to_text
 from itemsync.functions.times import local_text
 from itemsync.operators.joins import skew_join
+from itemsync.operators.quality import set_aside
 from itemsync.operators.shape import ENGINE_FIELDS, allow_permissions
 from itemsync.operators.windows import change_window, chunk_index
 from itemsync.options import JobOptions
@@ -57,7 +58,7 @@ def attachments_of(
 
 def undated(attachments: DataFrame) -> DataFrame:
     """Attachments without a time: in no window, set aside with the reason."""
-    return attachments.filter(F.col("last_modified").isNull()).withColumn("reason", F.lit("no last_modified"))
+    return set_aside(attachments, {"no last_modified": F.col("last_modified").isNull()})[1]
 
 
 def native_text(content: Column, media: Column) -> Column:

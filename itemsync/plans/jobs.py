@@ -18,6 +18,7 @@ from itemsync.functions.sizes import document_size, size_without_body
 from itemsync.operators import acl, batching, checkpoints, registry, shape
 from itemsync.operators.attachments import Extractor, attachment_documents
 from itemsync.operators.dedup import distinct_rows
+from itemsync.operators.report import observed
 from itemsync.operators.windows import change_window, chunk_index, off_bounds
 from itemsync.options import JobOptions
 from itemsync.schemas import (
@@ -98,8 +99,14 @@ def object_documents(
     start: datetime,
     end: datetime,
     extractor: Extractor | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
-    """Documents of one object: shaped items and the attachments they own."""
+    """Documents of one object: shaped items and the attachments they own.
+
+    Whole-row copies are dropped; calendar rows keep theirs unless the options
+    say otherwise. ``dedup=False`` leaves all of them to a later upsert by id,
+    which saves shuffling the bodies twice.
+    """
     changed = changed_items(name, sources, options, start, end)
     items = shape.with_account(changed, sources.accounts)
     if name == "mails":
@@ -118,14 +125,16 @@ def object_documents(
             attachment_documents(items, sources.attachments, name, start, end, options, extractor, changed)
         )
     whole = options.dedup_calendar if name == "calendar" else True
-    return distinct_rows(documents) if whole else documents
+    return distinct_rows(documents) if whole and dedup else documents
 
 
-def full_sync(sources: Mailboxes, options: JobOptions, extractor: Extractor | None = None) -> DataFrame:
+def full_sync(
+    sources: Mailboxes, options: JobOptions, extractor: Extractor | None = None, dedup: bool = True
+) -> DataFrame:
     """Documents of all objects from the configured start until now."""
-    names = selected(sources, options)
+    span = (options.start_time, options.now)
     return union_all(
-        [object_documents(n, sources, options, options.start_time, options.now, extractor) for n in names]
+        [object_documents(n, sources, options, *span, extractor, dedup) for n in selected(sources, options)]
     )
 
 
@@ -138,12 +147,17 @@ def incremental_windows(stored: DataFrame, options: JobOptions) -> dict[str, tup
 
 
 def incremental_sync(
-    sources: Mailboxes, options: JobOptions, stored: DataFrame, extractor: Extractor | None = None
+    sources: Mailboxes,
+    options: JobOptions,
+    stored: DataFrame,
+    extractor: Extractor | None = None,
+    dedup: bool = True,
 ) -> DataFrame:
     """Documents changed since each object's checkpoint."""
     windows = incremental_windows(stored, options)
-    names = selected(sources, options)
-    return union_all([object_documents(n, sources, options, *windows[n], extractor) for n in names])
+    return union_all(
+        [object_documents(n, sources, options, *windows[n], extractor, dedup) for n in selected(sources, options)]
+    )
 
 
 def live_ids(
@@ -232,8 +246,9 @@ def index_requests(
     return documents.join(placed, "id").withColumn("body", body).select(*DOCUMENT_FIELDS, *REQUEST, "ord")
 
 
-def _commit_documents(documents: DataFrame, state: SyncState, options: JobOptions, commit: int, mode: str) -> None:
-    state.index.upsert(documents, commit)
+def _commit_documents(documents: DataFrame, state: SyncState, options: JobOptions, commit: int, mode: str) -> int:
+    watched, seen = observed(documents, "documents")
+    state.index.upsert(watched, commit)
     # The registry reads back what was written; nothing is extracted twice.
     written = registry.registry_rows(state.index.changes(commit), options.platform)
     state.registry.upsert(registry.new_rows(state.registry.read(commit), written), commit)
@@ -244,15 +259,19 @@ def _commit_documents(documents: DataFrame, state: SyncState, options: JobOption
         "platform STRING, object STRING, place INT",
     )
     state.checkpoints.upsert(checkpoints.next_checkpoints(wanted, stored, options, mode, "place"), commit)
+    return seen.get["rows"]
 
 
-def run_full_sync(sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None) -> None:
-    _commit_documents(full_sync(sources, options, extractor), state, options, commit, checkpoints.FULL)
+def run_full_sync(sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None) -> int:
+    """Apply a full sync; returns the number of documents extracted."""
+    documents = full_sync(sources, options, extractor, dedup=False)
+    return _commit_documents(documents, state, options, commit, checkpoints.FULL)
 
 
-def run_incremental_sync(sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None) -> None:
-    documents = incremental_sync(sources, options, state.checkpoints.read(commit), extractor)
-    _commit_documents(documents, state, options, commit, checkpoints.INCREMENTAL)
+def run_incremental_sync(sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None) -> int:
+    """Apply an incremental sync; returns the number of documents extracted."""
+    documents = incremental_sync(sources, options, state.checkpoints.read(commit), extractor, dedup=False)
+    return _commit_documents(documents, state, options, commit, checkpoints.INCREMENTAL)
 
 
 def run_deletion_sync(
@@ -263,7 +282,8 @@ def run_deletion_sync(
     scan_window: tuple[datetime, datetime] | None = None,
     cascade: bool = False,
     scanned_accounts: DataFrame | None = None,
-) -> None:
+) -> int:
+    """Apply a deletion sync; returns the number of deleted ids."""
     if scanned_accounts is not None:
         require_scanned(sources.accounts, scanned_accounts)
     stored = state.registry.read(commit)
@@ -271,6 +291,7 @@ def run_deletion_sync(
     state.index.delete(gone, commit)
     own = stored.filter(F.col("platform").contains(options.platform))
     state.registry.delete(own.join(gone, ["object", "id"], "left_semi"), commit)
+    return gone.count()
 
 
 def run_permission_sync(

@@ -337,6 +337,10 @@ SQL = {
     "account_items_local_time": f"""WITH {ACCOUNTS}, {CALENDAR}
         SELECT id, account, {local('last_modified')} AS local, split_part({local('last_modified')}, 'T', 1) AS day
         FROM calendar JOIN accounts USING (account)""",
+    "quarantined_events": """SELECT 'e' || event_id AS id,
+          CASE WHEN event_id % 9 = 0 AND event_id % 8 = 0 THEN 'no organizer, no recurrence'
+               WHEN event_id % 9 = 0 THEN 'no organizer' ELSE 'no recurrence' END AS reason
+        FROM events WHERE event_id % 9 = 0 OR event_id % 8 = 0""",
     "mail_documents": f"WITH {ACCOUNTS}, {MAILS} {item_docs('mails', JAN)}",
     "calendar_documents": f"WITH {ACCOUNTS}, {CALENDAR} {item_docs('calendar', JAN)}",
     "task_documents": f"""WITH {ACCOUNTS}, {TASKS}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itemsync.functions import sizes, text, times
-from itemsync.operators import acl, attachments, batching, checkpoints, dedup, registry, report, shape, windows
+from itemsync.operators import acl, attachments, batching, checkpoints, dedup, quality, registry, report, shape, windows
 from itemsync.options import FieldRule, JobOptions
 from itemsync.plans import bindings as b
 from itemsync.plans import jobs
@@ -134,6 +134,11 @@ def _shaped(spark, folder, name, fields, start=JANUARY_START, end=JANUARY_END, p
     return shown(shape.to_documents(fields(items), permissions))
 
 
+def quarantined_events(spark, folder):
+    """Events that lack an organizer or their recurrence, with the reasons."""
+    return quality.set_aside(b.calendar(spark, folder), quality.event_rules())[1].select("id", "reason")
+
+
 def mail_documents(spark, folder):
     return _shaped(spark, folder, "mails", shape.mail_fields)
 
@@ -506,6 +511,7 @@ QUERIES = {
         platform_accounts,
         user_mapping,
         account_items_local_time,
+        quarantined_events,
         mail_documents,
         calendar_documents,
         task_documents,

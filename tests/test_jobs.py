@@ -65,7 +65,7 @@ def test_full_incremental_and_deletion(spark, folder):
     options = JobOptions(at(20), start_time=at(1))
     first = [mail(id="a", last_modified=at(2)), mail(id="b", last_modified=at(3)), mail(id="old", last_modified=at(1) - dt.timedelta(9))]
     found = [attached(attachment_id="x", parent_id="a", last_modified=at(2))]
-    jobs.run_full_sync(boxes(spark, first, found), options, state, 1)
+    assert jobs.run_full_sync(boxes(spark, first, found), options, state, 1) == 3
     assert ids(state.index.read()) == ["a", "b", "x"]
     registered = {(r["id"], r["parent_id"], r["type"]) for r in state.registry.read().collect()}
     assert registered == {("a", "", "inbox mails"), ("b", "", "inbox mails"), ("x", "a", "mails attachments")}
@@ -84,7 +84,7 @@ def test_full_incremental_and_deletion(spark, folder):
     # Mail a and its attachment vanish.
     left = boxes(spark, [mail(id="b", last_modified=at(21)), mail(id="c", last_modified=at(22))])
     for _ in range(2):
-        jobs.run_deletion_sync(left, later, state, 3)
+        assert jobs.run_deletion_sync(left, later, state, 3) == 2
         assert ids(state.index.read()) == ["b", "c"] and ids(state.registry.read()) == ["b", "c"]
 
 

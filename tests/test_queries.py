@@ -11,10 +11,6 @@ from tests.compare import connect, rows_of_df, rows_of_sql
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
 
-# Queries whose work is done while they are built leave no plan to look at.
-STORED = {"keyed_table", "incremental_stream"}
-
-
 @pytest.fixture(scope="module")
 def duck():
     return connect(FOLDER)
@@ -24,23 +20,19 @@ def test_every_query_has_a_twin():
     assert set(contract.queries()) == set(contract.oracle_sql()) == set(QUERIES)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    columns, got = rows_of_df(QUERIES[name](spark, FOLDER))
+    df = QUERIES[name](spark, FOLDER)
+    columns, got = rows_of_df(df)
     expected_columns, expected = rows_of_sql(duck, contract.oracle_sql()[name])
     assert columns == expected_columns
     assert got == expected
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", [name for name in QUERIES if name not in STORED])
-def test_plan(spark, name):
-    plan = plan_of(QUERIES[name](spark, FOLDER))
     for unwanted in ("NestedLoop", "CartesianProduct", "Python", "MapInPandas", "CollectLimit"):
-        assert unwanted not in plan
+        assert unwanted not in plan_of(df)
 
 
 def test_windows_reach_the_scan(spark):

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from itemsync.operators import attachments, shape
+from itemsync.operators import attachments, quality, shape
 from itemsync.options import FieldRule, JobOptions
 from itemsync.plans.jobs import Mailboxes, object_documents
 from itemsync.schemas import ACCOUNTS, ATTACHMENTS, CALENDAR, CONTACTS, DOCUMENT_FIELDS, MAILS, TASKS
@@ -86,7 +86,7 @@ def test_item_and_attachment_windows(spark):
     assert [d["id"] for d in documents(spark, "mails", rows, MAILS, found)] == ["a", "c", "xa", "xc"]
     assert [d["id"] for d in documents(spark, "mails", rows, MAILS, found, bounds="open")] == ["c", "xa", "xc"]
     table = spark.createDataFrame(found, ATTACHMENTS)
-    assert [r["attachment_id"] for r in attachments.undated(table).collect()] == ["none"]
+    assert [(r["attachment_id"], r["reason"]) for r in attachments.undated(table).collect()] == [("none", "no last_modified")]
 
 
 def test_same_chunk(spark):
@@ -152,6 +152,14 @@ def test_calendar_date_only_stamp(spark):
     assert row["created_at"] == "2022-04-11"
 
 
+def test_quarantine(spark):
+    rows = [EVENT, {**EVENT, "id": None}, {**EVENT, "id": "e2", "organizer": None, "recurrence_pattern": None}]
+    events = spark.createDataFrame([tuple(r.values()) for r in rows], CALENDAR)
+    sound, broken = quality.set_aside(events, quality.event_rules())
+    assert [r["id"] for r in sound.collect()] == ["e1"]
+    assert sorted(r["reason"] for r in broken.collect()) == ["no id", "no organizer, no recurrence"]
+
+
 TASK = {
     "id": "t1", "account": OWNER, "subject": "Do", "status": "Open", "owner": None, "start_date": dt.date(2022, 4, 12),
     "due_date": dt.date(2022, 4, 11), "complete_date": dt.date(2022, 4, 16), "text_body": "text",
