@@ -1,7 +1,7 @@
 """The sync jobs. Plans return DataFrames; ``run_*`` writes them in a safe order.
 
-A run writes the index first, then the registry, then the checkpoint. A failure
-anywhere leaves the checkpoint where it was, and repeating the run with the same
+A run writes the index first, sends the change to a remote index if there is
+one, then writes the registry, then the checkpoint. A failure anywhere leaves the checkpoint where it was, and repeating the run with the same
 commit number is harmless.
 """
 
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from itemsync.functions.sizes import document_size, size_without_body
 from itemsync.operators import acl, batching, checkpoints, registry, shape
 from itemsync.operators.attachments import Extractor, attachment_documents
-from itemsync.operators.dedup import distinct_rows
-from itemsync.operators.report import observed
+from itemsync.operators.dedup import distinct_rows, latest_by_id
+from itemsync.operators.report import index_report, observed
 from itemsync.operators.windows import change_window, chunk_index, off_bounds
 from itemsync.options import JobOptions
 from itemsync.schemas import (
@@ -35,7 +35,8 @@ from itemsync.schemas import (
     RFC3339_PY,
 )
 from itemsync.session import cut_lineage
-from itemsync.sinks.keyed import KeyedTable
+from itemsync.sinks.keyed import UPSERT, KeyedTable
+from itemsync.sinks.remote import Send, send_batches
 from itemsync.sources.tables import scan
 
 REQUEST = ["queue", "gather", "chunk", "batch"]
@@ -226,13 +227,18 @@ def index_requests(
     chunks: int,
     limit: int = MAX_REQUEST_CHARS,
     rows: int = BATCH_SIZE,
+    unique: bool = False,
 ) -> DataFrame:
     """Documents grouped into requests for a remote index, for ``send_batches``.
 
+    Of several documents with one id the latest is sent; ``unique`` says that
+    there is one row per id already, as in a stored commit.
     A queue per object, a message per time chunk. Sizes are taken once, batches
     are formed from narrow rows, and bodies are joined back by id; the body of a
     document above the limit is left out.
     """
+    if not unique:
+        documents = latest_by_id(documents, ["id"], ["last_modified"])
     size = document_size()
     narrow = documents.select(
         F.col("object").alias("queue"),
@@ -246,9 +252,32 @@ def index_requests(
     return documents.join(placed, "id").withColumn("body", body).select(*DOCUMENT_FIELDS, *REQUEST, "ord")
 
 
-def _commit_documents(documents: DataFrame, state: SyncState, options: JobOptions, commit: int, mode: str) -> int:
+def send_changes(state: SyncState, commit: int, options: JobOptions, send: Send) -> DataFrame:
+    """Send what a commit wrote to the remote index; the report per type.
+
+    Requests are made from the stored rows and the answers are stored before
+    they are counted, so nothing is sent for the sake of a count.
+    """
+    rows = state.index.changes(commit).filter(F.col("op") == UPSERT).drop("op")
+    span = (options.start_time, options.now)
+    requests = index_requests(rows, *span, options.time_chunks, unique=True)
+    responses = cut_lineage(send_batches(requests, REQUEST, send, options.retries, "ord"))
+    return index_report(rows, responses)
+
+
+def send_deletes(ids: DataFrame, options: JobOptions, send: Send) -> DataFrame:
+    """Send ids to delete, so many per request; the stored answers."""
+    batches = batching.delete_batches(ids.select("id").distinct())
+    return cut_lineage(send_batches(batches, ["chunk"], send, options.retries, "ord"))
+
+
+def _commit_documents(
+    documents: DataFrame, state: SyncState, options: JobOptions, commit: int, mode: str, send: Send | None
+) -> int:
     watched, seen = observed(documents, "documents")
     state.index.upsert(watched, commit)
+    if send is not None:
+        send_changes(state, commit, options, send)
     # The registry reads back what was written; nothing is extracted twice.
     written = registry.registry_rows(state.index.changes(commit), options.platform)
     state.registry.upsert(registry.new_rows(state.registry.read(commit), written), commit)
@@ -262,16 +291,20 @@ def _commit_documents(documents: DataFrame, state: SyncState, options: JobOption
     return seen.get["rows"]
 
 
-def run_full_sync(sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None) -> int:
+def run_full_sync(
+    sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None, send: Send | None = None
+) -> int:
     """Apply a full sync; returns the number of documents extracted."""
     documents = full_sync(sources, options, extractor, dedup=False)
-    return _commit_documents(documents, state, options, commit, checkpoints.FULL)
+    return _commit_documents(documents, state, options, commit, checkpoints.FULL, send)
 
 
-def run_incremental_sync(sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None) -> int:
+def run_incremental_sync(
+    sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None, send: Send | None = None
+) -> int:
     """Apply an incremental sync; returns the number of documents extracted."""
     documents = incremental_sync(sources, options, state.checkpoints.read(commit), extractor, dedup=False)
-    return _commit_documents(documents, state, options, commit, checkpoints.INCREMENTAL)
+    return _commit_documents(documents, state, options, commit, checkpoints.INCREMENTAL, send)
 
 
 def run_deletion_sync(
@@ -282,6 +315,7 @@ def run_deletion_sync(
     scan_window: tuple[datetime, datetime] | None = None,
     cascade: bool = False,
     scanned_accounts: DataFrame | None = None,
+    send: Send | None = None,
 ) -> int:
     """Apply a deletion sync; returns the number of deleted ids."""
     if scanned_accounts is not None:
@@ -289,6 +323,8 @@ def run_deletion_sync(
     stored = state.registry.read(commit)
     gone = cut_lineage(deletion_sync(sources, stored, options, scan_window, cascade)[0])
     state.index.delete(gone, commit)
+    if send is not None:
+        send_deletes(gone, options, send)
     own = stored.filter(F.col("platform").contains(options.platform))
     state.registry.delete(own.join(gone, ["object", "id"], "left_semi"), commit)
     return gone.count()

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from itemsync.options import JobOptions
+from itemsync.plans.jobs import Mailboxes, object_documents
 from itemsync.sinks.keyed import KeyedTable
 
 
@@ -14,6 +17,16 @@ def item_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).options(**options).parquet(path)
 
 
+def document_shape(name: str, sources: Mailboxes, options: JobOptions) -> Callable[[DataFrame], DataFrame]:
+    """How arriving items of one object become documents; the other tables are read as they are."""
+
+    def run(batch: DataFrame) -> DataFrame:
+        arrived = replace(sources, **{name: batch})
+        return object_documents(name, arrived, options, options.start_time, options.now, dedup=False)
+
+    return run
+
+
 def sync_available(
     items: DataFrame, shape: Callable[[DataFrame], DataFrame], table: KeyedTable, checkpoint: str
 ) -> None:

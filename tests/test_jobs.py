@@ -9,7 +9,7 @@ from itemsync.plans.jobs import Mailboxes, SyncState
 from itemsync.schemas import ACCOUNTS, ATTACHMENTS, CONTACTS, MAILS, RFC3339_PY, TARGET_FIELDS
 from itemsync.sinks.keyed import KeyedTable
 from itemsync.sinks.remote import send_batches, with_retry
-from itemsync.streaming.incremental import item_stream, sync_available
+from itemsync.streaming.incremental import document_shape, item_stream, sync_available
 from tests.test_shape import OWNER, attached, mail
 
 NOW = dt.datetime(2024, 2, 1)
@@ -211,6 +211,58 @@ def test_index_requests(spark, folder):
     assert small.filter("body IS NOT NULL").count() == 0 and small.count() == 230
 
 
+def test_requests_hold_each_id_once(spark):
+    copies = [mail(id="a", subject=t, last_modified=at(d)) for t, d in (("x", 2), ("y", 3), ("y", 3))]
+    options = JobOptions(NOW, start_time=at(1))
+    documents = jobs.full_sync(boxes(spark, copies), options, dedup=False)
+    rows = jobs.index_requests(documents, at(1), NOW, 5).collect()
+    assert [(r["id"], r["title"]) for r in rows] == [("a", "y")]
+
+
+def test_remote_runs(spark, folder):
+    import os
+
+    state = SyncState(spark, folder + "/state")
+    state.create()
+    os.makedirs(folder + "/sent")
+
+    def send(rows):
+        for row in rows:
+            with open(f"{folder}/sent/{row['id']}", "a") as out:
+                out.write("body" if "body" in row else "delete")
+        return [{"id": row["id"], "errors": []} for row in rows]
+
+    options = JobOptions(NOW, start_time=at(1))
+    full = boxes(spark, [mail(id="a", last_modified=at(2)), mail(id="b", last_modified=at(3))])
+    assert jobs.run_full_sync(full, options, state, 1, send=send) == 2
+    report = jobs.send_changes(state, 1, options, lambda rows: [{"id": r["id"], "errors": ["no"]} for r in rows]).collect()
+    assert [tuple(r) for r in report] == [("Inbox Mails", 2, 2, 0, "0 out of 2")]
+    left = boxes(spark, [mail(id="b", last_modified=at(3))])
+    assert jobs.run_deletion_sync(left, options, state, 2, send=send) == 1
+    assert {f: open(f"{folder}/sent/{f}").read() for f in os.listdir(folder + "/sent")} == {"a": "bodydelete", "b": "body"}
+
+    def down(rows):
+        raise OSError("down")
+
+    with pytest.raises(Exception, match="down"):
+        jobs.run_full_sync(full, JobOptions(NOW, start_time=at(1), retries=1), state, 3, send=down)
+    assert ids(state.registry.read()) == ["b"]
+
+
+def test_stream_of_mails(spark, folder):
+    state = SyncState(spark, folder + "/state")
+    state.create()
+    options = JobOptions(NOW, start_time=at(1))
+    found = [attached(attachment_id="x", parent_id="a", last_modified=at(2))]
+    sources = boxes(spark, [], found)
+    steps = [[mail(id="a", last_modified=at(2)), mail(id="a", last_modified=at(2))], [mail(id="b", last_modified=at(3))]]
+    for rows, expected in zip(steps, (["a", "x"], ["a", "b", "x"])):
+        spark.createDataFrame(rows, MAILS).write.mode("append").parquet(folder + "/mails")
+        stream = item_stream(spark, folder + "/mails", MAILS)
+        sync_available(stream, document_shape("mails", sources, options), state.index, folder + "/checkpoint")
+        assert ids(state.index.read()) == expected
+
+
 def test_retry():
     pauses, calls = [], []
 
