@@ -15,7 +15,7 @@ from itemsync.operators.quality import set_aside
 from itemsync.operators.shape import ENGINE_FIELDS, allow_permissions
 from itemsync.operators.windows import change_window, chunk_index
 from itemsync.options import JobOptions
-from itemsync.schemas import ATTACHMENT_TYPES, DOCUMENT_FIELDS
+from itemsync.schemas import ATTACHMENT_TYPES, DAY_COLUMN, DOCUMENT_FIELDS
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -45,7 +45,8 @@ def attachments_of(
         "timezone",
         *([chunk_index(items, "last_modified", start, end, same_chunk).alias("_chunk")] if same_chunk else []),
     )
-    children = change_window(attachments, "last_modified", start, end).drop("account")
+    day = DAY_COLUMN if DAY_COLUMN in attachments.columns else None
+    children = change_window(attachments, "last_modified", start, end, day=day).drop("account")
     if same_chunk:
         children = children.withColumn(
             "_own", chunk_index(children, "last_modified", start, end, same_chunk)

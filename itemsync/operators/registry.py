@@ -44,9 +44,9 @@ def new_rows(registry: DataFrame, rows: DataFrame, keys: list[str] | None = None
 
 
 def merge_registry(registry: DataFrame, rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Registry plus rows it does not hold; equality on every field."""
+    """Registry plus rows it does not hold; equality on every field. What it holds stays as it is."""
     keys = keys or REGISTRY_KEYS
-    return registry.select(*keys).dropDuplicates().unionByName(new_rows(registry, rows, keys))
+    return registry.select(*keys).unionByName(new_rows(registry, rows, keys))
 
 
 def loaded_state(registry: DataFrame) -> DataFrame:

@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 
 from itemsync.functions.times import instant_literal
 
-def change_window(df: DataFrame, column: str, start, end, bounds: str = "half_open") -> DataFrame:
+def change_window(
+    df: DataFrame, column: str, start, end, bounds: str = "half_open", day: str | None = None
+) -> DataFrame:
     """Rows changed in ``[start, end)``, or in ``(start, end)`` for ``bounds='open'``.
 
     The bounds are literals of the column's own type: both comparisons and the
-    null test are pushed into the parquet scan.
+    null test are pushed into the parquet scan. ``day`` names a partition column
+    that holds the date of ``column``; folders outside the window are not listed
+    for reading then.
     """
     low, high = instant_literal(df, column, start), instant_literal(df, column, end)
     moment = F.col(column)
     after = moment > low if bounds == "open" else moment >= low
-    return df.filter(after & (moment < high))
+    inside = after & (moment < high)
+    if day is not None:
+        inside = F.col(day).between(low.cast("date"), high.cast("date")) & inside
+    return df.filter(inside)
 
 
 def split_ranges(df: DataFrame, start: str, end: str, chunks: int) -> DataFrame:

@@ -18,6 +18,7 @@ from itemsync.functions.sizes import document_size, size_without_body
 from itemsync.operators import acl, batching, checkpoints, registry, shape
 from itemsync.operators.attachments import Extractor, attachment_documents
 from itemsync.operators.dedup import distinct_rows, latest_by_id
+from itemsync.operators.joins import skew_join
 from itemsync.operators.report import index_report, observed
 from itemsync.operators.windows import change_window, chunk_index, off_bounds
 from itemsync.options import JobOptions
@@ -25,6 +26,7 @@ from itemsync.schemas import (
     ATTACHMENT_TYPES,
     BATCH_SIZE,
     CHECKPOINTS,
+    DAY_COLUMN,
     DOCUMENT_FIELDS,
     DOCUMENTS,
     IDENTITIES,
@@ -80,9 +82,14 @@ def selected(sources: Mailboxes, options: JobOptions) -> list[str]:
     return [name for name in OBJECTS if name in options.objects and sources.table(name) is not None]
 
 
+def day_of(table: DataFrame) -> str | None:
+    return DAY_COLUMN if DAY_COLUMN in table.columns else None
+
+
 def changed_items(name: str, sources: Mailboxes, options: JobOptions, start: datetime, end: datetime) -> DataFrame:
     """Items of one object inside the window."""
-    items = change_window(scan(name, sources.table(name)), "last_modified", start, end, options.bounds)
+    table = scan(name, sources.table(name))
+    items = change_window(table, "last_modified", start, end, options.bounds, day_of(table))
     if options.bounds == "open":
         items = off_bounds(items, "last_modified", start, end, options.time_chunks)
     return items
@@ -173,19 +180,23 @@ def live_ids(
     for name in selected(sources, options):
         items = scan(name, sources.table(name))
         if start is not None:
-            items = change_window(items, "last_modified", start, end, options.bounds)
-        owned = items.join(accounts, "account", "left_semi")
+            items = change_window(items, "last_modified", start, end, options.bounds, day_of(items))
+        owned = skew_join(items, accounts, "account", "left_semi", spread=F.col("id"), sized_by=sources.accounts)
         frames.append(owned.select(F.lit(name).alias("object"), F.col("id").cast("string").alias("id")))
         if name in ATTACHMENT_TYPES and sources.attachments is not None:
-            parents = owned.filter("has_attachments").select(F.col("id").alias("parent_id"))
+            parents = owned.filter("has_attachments").select(F.col("id").alias("parent_id")).distinct()
             children = sources.attachments.filter(F.col("object") == name)
             if start is not None:
-                children = change_window(children, "last_modified", start, end)
-            frames.append(
-                children.join(parents, "parent_id", "left_semi").select(
-                    F.lit(name).alias("object"), F.col("attachment_id").cast("string").alias("id")
-                )
+                children = change_window(children, "last_modified", start, end, day=day_of(children))
+            found = skew_join(
+                children.select("parent_id", "attachment_id"),
+                parents,
+                "parent_id",
+                "left_semi",
+                spread=F.col("attachment_id"),
+                sized_by=items.select("id"),
             )
+            frames.append(found.select(F.lit(name).alias("object"), F.col("attachment_id").cast("string").alias("id")))
     return union_all(frames)
 
 

@@ -45,6 +45,10 @@ SOURCE_FIELD = {
     "created_at": "Created",
 }
 
+# Optional partition column of item and attachment tables: the UTC date of
+# last_modified. Where a table has it, windows prune its folders.
+DAY_COLUMN = "modified_day"
+
 ACCOUNTS = "account STRING, timezone STRING, platform STRING"
 DIRECTORY = "entry_type STRING, category STRING, class STRING, given_name STRING, mail STRING"
 MAILS = (

@@ -43,6 +43,17 @@ def test_change_window_is_pushed_down(spark, kind, folder):
     assert "GreaterThanOrEqual(t" in plan_of(df) and "LessThan(t" in plan_of(df)
 
 
+def test_change_window_prunes_folders(spark, folder):
+    df = timed(spark, [f"2024-01-0{d} 12:00:00" for d in range(1, 9)])
+    df.withColumn("modified_day", F.to_date("t")).write.partitionBy("modified_day").parquet(folder + "/t")
+    span = (dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 5, 13))
+    stored = spark.read.parquet(folder + "/t")
+    got = windows.change_window(stored, "t", *span, day="modified_day")
+    assert sorted(r["id"] for r in got.collect()) == [2, 3, 4]
+    text = got._jdf.queryExecution().explainString(got.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(modified_day" in text
+
+
 def test_chunk_bounds_golden(spark):
     start, end = dt.datetime(2022, 4, 1), dt.datetime(2022, 4, 10)
     expected = ["04-01T00:00:00", "04-02T19:12:00", "04-04T14:24:00", "04-06T09:36:00", "04-08T04:48:00", "04-10T00:00:00"]
