@@ -34,6 +34,10 @@ MARKUP = (
     r"|template\b[^>]*>.*?</template\s*>|[a-z/!?][^>]*>)"
 )
 
+# Stands where markup was until entities are decoded, as none reaches across a
+# tag. A code point that no text may contain.
+GAP = "\uffff"
+
 RARE_ENTITY = r"&(?!lt;|gt;|quot;|#39;|nbsp;|copy;|middot;|amp;)(?:#[0-9]|#[xX][0-9a-fA-F]|[a-zA-Z])"
 ENTITY_OR_TEXT = r"(&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)|[^&]+|&)"
 
@@ -89,8 +93,8 @@ def html_to_text(html: Column) -> Column:
     stripped text is bound to a name, so that it is computed once.
     """
     plain = ~F.contains(html, F.lit("<")) & ~F.contains(html, F.lit("&"))
-    stripped = F.array(F.regexp_replace(html, MARKUP, ""))
-    decoded = F.get(F.transform(stripped, lambda text: decode_entities(text)), 0)
+    stripped = F.array(F.regexp_replace(html, MARKUP, GAP))
+    decoded = F.replace(F.get(F.transform(stripped, decode_entities), 0), F.lit(GAP), F.lit(""))
     return F.when(html != "", F.btrim(F.when(plain, html).otherwise(decoded), F.lit(WHITESPACE)))
 
 

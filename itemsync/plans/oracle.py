@@ -42,10 +42,10 @@ def in_month(seconds: str) -> str:
 
 
 def html(column: str) -> str:
-    value = f"regexp_replace({column}, '{MARKUP}', '', 'g')"
+    value = f"regexp_replace({column}, '{MARKUP}', chr(57344), 'g')"
     for entity, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)")):
         value = f"replace({value}, '{entity}', {char})"
-    value = f"regexp_replace({value}, '&amp;?', '&', 'g')"
+    value = f"replace(regexp_replace({value}, '&amp;?', '&', 'g'), chr(57344), '')"
     value = rf"regexp_replace({value}, '^[\s\x{{a0}}]+', '')"
     value = rf"regexp_replace({value}, '[\s\x{{a0}}]+$', '')"
     return f"CASE WHEN {column} <> '' THEN {value} END"

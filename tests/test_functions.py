@@ -28,6 +28,7 @@ def test_html_to_text(spark):
         "&lt;b&gt; &amp;lt; &copy; &middot;": "<b> &lt; © ·",
         "&hellip;&eacute;&#8364;&#x1F600;&amp;amp;": "…é€😀&amp;",
         "&#150;&#0;&#xD800;": "–��",
+        "a&amp</b>Ly &am<b>p;</b> &ampx": "a&Ly &amp; &ampx",
         "AT&T &unknown; 1 < 2": "AT&T &unknown; 1 < 2",
         "<div></div>": "",
     }
