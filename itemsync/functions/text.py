@@ -27,11 +27,12 @@ COMMON_ENTITIES = {
     "&amp;": "&",
 }
 
-# Markup that carries no text: comments, blocks of code, tags. One linear scan
-# from left to right, without look-around, which means the same in RE2.
+# Markup that carries no text: comments, blocks of code (to the end of the page
+# where they are not closed), tags. One scan from left to right, without
+# look-around, which means the same in RE2.
 MARKUP = (
-    r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>"
-    r"|template\b[^>]*>.*?</template\s*>|[a-z/!?][^>]*>)"
+    r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?(?:</script\s*>|\z)|style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|template\b[^>]*>.*?(?:</template\s*>|\z)|[a-z/!?][^>]*>)"
 )
 
 # Stands where markup was until entities are decoded, as none reaches across a
@@ -89,10 +90,12 @@ def decode_entities(text: Column) -> Column:
 def html_to_text(html: Column) -> Column:
     """Text of a page without markup, entities decoded, ends stripped; null for empty input.
 
-    Plain text, free of markup and entities, skips the scans. Otherwise the
-    stripped text is bound to a name, so that it is computed once.
+    Plain text, where no tag can begin or none can end and no entity stands,
+    skips the scans. Otherwise the stripped text is bound to a name, so that it
+    is computed once.
     """
-    plain = ~F.contains(html, F.lit("<")) & ~F.contains(html, F.lit("&"))
+    tags = F.contains(html, F.lit("<")) & F.contains(html, F.lit(">"))
+    plain = ~tags & ~F.contains(html, F.lit("&"))
     stripped = F.array(F.regexp_replace(html, MARKUP, GAP))
     decoded = F.replace(F.get(F.transform(stripped, decode_entities), 0), F.lit(GAP), F.lit(""))
     return F.when(html != "", F.btrim(F.when(plain, html).otherwise(decoded), F.lit(WHITESPACE)))

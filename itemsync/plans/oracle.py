@@ -12,8 +12,8 @@ YEARS = ("TIMESTAMP '1997-01-01'", "TIMESTAMP '2024-01-25'")
 WIDE, NARROW = " " * 28, " " * 16
 NL = "chr(10)"
 MARKUP = (
-    r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-    r"|<template\b[^>]*>.*?</template\s*>|<[a-z/!?][^>]*>"
+    r"(?is)<!--.*?-->|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)|<[a-z/!?][^>]*>"
 )
 
 

@@ -31,6 +31,9 @@ def test_html_to_text(spark):
         "a&amp</b>Ly &am<b>p;</b> &ampx": "a&Ly &amp; &ampx",
         "AT&T &unknown; 1 < 2": "AT&T &unknown; 1 < 2",
         "<div></div>": "",
+        "kept <SCRIPT>var a = '<b>';": "kept",
+        "<script>s = '<!--';</script>one<!-- c -->two": "onetwo",
+        "x <y z": "x <y z",
     }
     got = values(spark, text.html_to_text(F.col("s")), [(c,) for c in cases], "s string")
     assert dict(zip(cases, got)) == cases
