@@ -17,7 +17,8 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(QUERIES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def plan_of(df):
