@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.llm import chat, decontaminate, licenses, mixing, quality, simhash, substring, toxicity, warc
+from itemsync.llm import chat, decontaminate, licenses, lm, mixing, quality, simhash, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def simhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm": lm_scores,
     "op2_simhash": simhash_near_dups,
     "op3_licenses": license_scan,
     "op4_toxicity": toxicity_scores,
