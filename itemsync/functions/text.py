@@ -27,12 +27,16 @@ COMMON_ENTITIES = {
     "&amp;": "&",
 }
 
+# What stands inside a tag: quoted attribute values may hold any character. Taken
+# without going back (possessive), so that a broken tag costs no more than its length.
+INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+"""
+
 # Markup that carries no text: comments, blocks of code (to the end of the page
 # where they are not closed), tags. One scan from left to right, without
 # look-around, which means the same in RE2.
 MARKUP = (
-    r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?(?:</script\s*>|\z)|style\b[^>]*>.*?(?:</style\s*>|\z)"
-    r"|template\b[^>]*>.*?(?:</template\s*>|\z)|[a-z/!?][^>]*>)"
+    rf"(?is)<(?:!--.*?-->|script\b{INSIDE}>.*?(?:</script\s*>|\z)|style\b{INSIDE}>.*?(?:</style\s*>|\z)"
+    rf"|template\b{INSIDE}>.*?(?:</template\s*>|\z)|[a-z/]{INSIDE}>|[!?][^>]*>)"
 )
 
 # Stands where markup was until entities are decoded, as none reaches across a
@@ -61,9 +65,15 @@ def _code_point(number: Column) -> Column:
 
 
 def _decode_token(token: Column) -> Column:
-    digits = F.regexp_extract(token, r"^&#([0-9]{1,9});?$", 1)
-    hexes = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]{1,7});?$", 1)
-    number = F.when(digits != "", F.conv(digits, 10, 10)).when(hexes != "", F.conv(hexes, 16, 10)).cast("long")
+    # leading zeros do not count; more digits than a code point has stand for an impossible one
+    digits = F.regexp_extract(token, r"^&#0*([0-9]+);?$", 1)
+    hexes = F.regexp_extract(token, r"^&#[xX]0*([0-9a-fA-F]+);?$", 1)
+    number = (
+        F.when(F.greatest(F.length(digits), F.length(hexes)) > 9, F.lit("4294967295"))
+        .when(digits != "", F.conv(digits, 10, 10))
+        .when(hexes != "", F.conv(hexes, 16, 10))
+        .cast("long")
+    )
     # The named characters come from the standard table of the language.
     named = _literal_map({"&" + name: char for name, char in html5.items()})
     known = F.coalesce(_code_point(number), F.try_element_at(named, token), token)

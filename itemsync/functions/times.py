@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 from itemsync.schemas import DEFAULT_TIME_ZONE, NO_BIRTH_YEAR, RFC3339, RFC3339_PY
 
 
+def plain_utc(moment: datetime) -> datetime:
+    """The same instant in UTC without a zone; a moment without a zone is taken as UTC."""
+    return moment if moment.tzinfo is None else moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def parse_rfc3339(text: Column) -> Column:
     """``2022-04-02T08:20:30Z`` as a UTC instant; anything else raises."""
     return F.to_timestamp(text, RFC3339)
@@ -61,7 +66,7 @@ def birthday_text(day: Column) -> Column:
 
 def instant_literal(df: DataFrame, column: str, moment: datetime | str) -> Column:
     """A literal of the column's own type, so that comparisons reach the file scan."""
-    text = moment if isinstance(moment, str) else moment.strftime("%Y-%m-%d %H:%M:%S.%f")
+    text = moment if isinstance(moment, str) else plain_utc(moment).strftime("%Y-%m-%d %H:%M:%S.%f")
     text = text.replace("T", " ").rstrip("Z")
     kind = df.schema[column].dataType
     return F.lit(text).cast("timestamp_ntz" if isinstance(kind, T.TimestampNTZType) else "timestamp")

@@ -9,6 +9,11 @@ from itemsync.operators.joins import skew_join
 from itemsync.schemas import DEFAULT_TIME_ZONE, PLATFORM_CLOUD, PLATFORM_ON_PREM
 
 
+def accounts_on(accounts: DataFrame, platform: str) -> DataFrame:
+    """The accounts that a run of one platform may touch; a table without platforms is of that one."""
+    return accounts.filter(on_platform(F.col("platform"), platform)) if "platform" in accounts.columns else accounts
+
+
 def on_platform(column: Column, platform: str) -> Column:
     """The configured platform name must occur in the column."""
     return column.contains(platform)
@@ -57,11 +62,13 @@ def revoked_identities(identities: DataFrame, accounts: DataFrame) -> DataFrame:
     very many lists is spread over tasks.
     """
     listed = identities.withColumn("permissions", F.coalesce("permissions", F.array().cast("array<string>")))
+    # an identity may occur with several lists, which their hash tells apart
+    marked = listed.withColumn("_list", F.xxhash64("permissions"))
     live = accounts.select(F.col("account").alias("address")).distinct()
-    pairs = listed.select("identity", "permissions", F.explode("permissions").alias("address"))
+    pairs = marked.select("identity", "_list", F.explode("permissions").alias("address"))
     overlapping = skew_join(pairs, live, "address", "left_semi", spread=F.col("identity"))
-    kept = overlapping.select("identity", "permissions").distinct()
-    return listed.join(kept, ["identity", "permissions"], "left_anti")
+    kept = overlapping.select("identity", "_list").distinct()
+    return marked.join(kept, ["identity", "_list"], "left_anti").drop("_list")
 
 
 def granted_permissions(accounts: DataFrame, mapping: DataFrame) -> DataFrame:

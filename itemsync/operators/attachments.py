@@ -19,9 +19,19 @@ from itemsync.schemas import ATTACHMENT_TYPES, DAY_COLUMN, DOCUMENT_FIELDS
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
-# Media whose text needs no parser.
-TEXT_MEDIA = ("text/plain", "text/csv", "application/json")
+# Media whose text needs no parser, besides all other ``text/`` ones.
+TEXT_MEDIA = ("application/json", "application/xml")
 HTML_MEDIA = ("text/html", "application/xhtml+xml")
+# Charsets that are decoded by name; other text is read as UTF-8.
+CHARSETS = {
+    "iso-8859-1": "ISO-8859-1",
+    "latin1": "ISO-8859-1",
+    "windows-1252": "windows-1252",
+    "us-ascii": "US-ASCII",
+    "utf-16": "UTF-16",
+    "utf-16le": "UTF-16LE",
+    "utf-16be": "UTF-16BE",
+}
 
 
 def attachments_of(
@@ -62,24 +72,43 @@ def undated(attachments: DataFrame) -> DataFrame:
     return set_aside(attachments, {"no last_modified": F.col("last_modified").isNull()})[1]
 
 
-def native_text(content: Column, media: Column) -> Column:
-    """Text of media that need no parser; null for every other kind."""
+def media_type(stated: Column) -> Column:
+    """The media type alone: lower case, without parameters."""
+    return F.lower(F.btrim(F.substring_index(stated, ";", 1)))
+
+
+def decoded(content: Column, stated: Column) -> Column:
+    """The bytes as text, by the charset that the media type states."""
+    charset = F.lower(F.regexp_extract(stated, r"""(?i);\s*charset\s*=\s*["']?([^"';\s]+)""", 1))
     text = F.make_valid_utf8(content.cast("string"))
-    return F.when(media.isin(*HTML_MEDIA), html_to_text(text)).when(media.isin(*TEXT_MEDIA), text)
+    for name, known in CHARSETS.items():
+        # only rows of that charset are decoded by it
+        text = F.when(charset == name, F.decode(F.when(charset == name, content), known)).otherwise(text)
+    return text
+
+
+def native_text(content: Column, stated: Column) -> Column:
+    """Text of media that need no parser; null for every other kind."""
+    media = media_type(stated)
+    text = decoded(content, stated)
+    plain = media.isin(*TEXT_MEDIA) | media.startswith("text/")
+    return F.when(media.isin(*HTML_MEDIA), html_to_text(text)).when(plain, text)
 
 
 def with_text(attachments: DataFrame, extractor: Extractor | None = None) -> DataFrame:
     """Replace ``content`` by ``body``.
 
     Without an extractor everything stays in native expressions. An extractor is
-    an Arrow-batched function over (``attachment_id``, ``content_type``,
-    ``content``, ``body``) that fills ``body`` of other media; rows reach it only
-    after windowing and joining.
+    an Arrow-batched function that fills ``body`` of other media. Only rows that
+    have content and no text yet reach it, after windowing and joining.
     """
     texts = attachments.withColumn("body", native_text(F.col("content"), F.col("content_type")))
-    if extractor is not None:
-        texts = texts.mapInPandas(extractor, texts.schema)
-    return texts.drop("content")
+    if extractor is None:
+        return texts.drop("content")
+    todo = F.col("body").isNull() & F.col("content").isNotNull()
+    parsed = texts.filter(todo)
+    parsed = parsed.mapInPandas(extractor, parsed.schema)
+    return texts.filter(~todo).unionByName(parsed).drop("content")
 
 
 def fill_body(parse: Callable[[bytes, str], str | None]) -> Extractor:

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001
+#: A key is hot if its rows are this share of what an even shuffle partition holds.
+HOT_PARTITIONS = 0.5
+#: Keys in the broadcast list, at most.
+MOST_HOT = 20_000
 SALTS = 1024
+#: Rows of ids and zones that a join sends to every task, by their real count.
+BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -20,11 +25,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+def hot_share(df: DataFrame) -> float:
+    """The share of the rows from which on a key is hot: by rows per shuffle partition, with a bounded list."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(HOT_PARTITIONS / parts, 0.001), 1 / MOST_HOT)
+
+
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
     """Keys holding more than ``share`` of the rows: at most ``1 / share`` of them.
 
     Counts are combined on the map side, so a hot key costs one row per task.
     """
+    share = share or hot_share(df)
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
     total = df.agg(F.count("*").alias("_total")).scalar()
     return counts.filter(F.col("_rows") > F.greatest(total * F.lit(share), F.lit(1))).select(key)
@@ -37,7 +49,7 @@ def skew_join(
     how: str = "inner",
     spread: Column | None = None,
     sized_by: DataFrame | None = None,
-    share: float = HOT_SHARE,
+    share: float | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join of ``big``, whose key may be skewed, with ``small``, unique by key.
@@ -50,9 +62,10 @@ def skew_join(
     matching rows of ``small`` are repeated. The list of hot keys is broadcast;
     it holds at most ``1 / share`` keys whatever the data.
     """
-    if sized_by is not None and fits_broadcast(sized_by):
+    if sized_by is not None and fits_broadcast(sized_by) and sized_by.count() <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), on, how)
     if fits_broadcast(small):
+        # no hint: the estimate is of the size on disk, and Spark still looks at the real one
         return big.join(small, on, how)
     spread = F.xxhash64(*big.columns) if spread is None else spread
     hot = hot_keys(big, on, share).withColumn("_hot", F.lit(True))

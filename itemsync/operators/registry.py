@@ -71,7 +71,9 @@ def deleted_ids(registry: DataFrame, live: DataFrame, platform: str, key: list[s
 def cascade(registry: DataFrame, deleted: DataFrame) -> DataFrame:
     """Deleted ids together with the ids whose parent was deleted."""
     parents = deleted.select("object", F.col("id").alias("parent_id"))
-    orphans = registry.join(parents, ["object", "parent_id"], "left_semi").select("object", "id")
+    # items have no parent; their common empty value would be one hot key
+    owned = registry.filter("parent_id <> ''")
+    orphans = owned.join(parents, ["object", "parent_id"], "left_semi").select("object", "id")
     return deleted.unionByName(orphans).distinct()
 
 

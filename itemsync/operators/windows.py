@@ -12,13 +12,15 @@ from itemsync.functions.times import instant_literal
 def change_window(
     df: DataFrame, column: str, start, end, bounds: str = "half_open", day: str | None = None
 ) -> DataFrame:
-    """Rows changed in ``[start, end)``, or in ``(start, end)`` for ``bounds='open'``.
+    """Rows changed in ``[start, end)``, or in ``(start, end)`` for ``bounds='open'``; all without a ``start``.
 
     The bounds are literals of the column's own type: both comparisons and the
     null test are pushed into the parquet scan. ``day`` names a partition column
     that holds the date of ``column``; folders outside the window are not listed
     for reading then.
     """
+    if start is None:
+        return df
     low, high = instant_literal(df, column, start), instant_literal(df, column, end)
     moment = F.col(column)
     after = moment > low if bounds == "open" else moment >= low

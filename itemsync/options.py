@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
+from itemsync.functions.times import plain_utc
 from itemsync.schemas import LOOK_BACK_DAYS, OBJECTS, PLATFORM_CLOUD, PLATFORMS
 
 
@@ -23,7 +24,9 @@ class JobOptions:
     ``bounds``: ``half_open`` keeps an item stamped exactly ``start``; ``open``
     drops it. ``same_chunk`` keeps an attachment only where it falls into the
     same of ``time_chunks`` slices as its parent. ``objects`` absent from the
-    mapping are skipped.
+    mapping are skipped. Times with a zone are taken as their UTC instants.
+    ``drop_oversized`` sends a document above the request limit without its body,
+    instead of in a request of its own.
     """
 
     now: datetime
@@ -39,8 +42,13 @@ class JobOptions:
     unify_created: bool = False
     dedup_calendar: bool = False
     reference_rules: bool = False
+    drop_oversized: bool = False
 
     def __post_init__(self):
+        for name in ("now", "start_time", "end_time"):
+            moment = getattr(self, name)
+            if moment is not None:
+                object.__setattr__(self, name, plain_utc(moment))
         if self.platform not in PLATFORMS:
             raise ValueError(f"platform must be one of {PLATFORMS}, got {self.platform!r}")
         if self.start_time is None:

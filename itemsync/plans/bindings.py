@@ -63,10 +63,14 @@ def directory(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mails(spark: SparkSession, folder: str) -> DataFrame:
+    return mails_of(table(spark, folder, "documents"))
+
+
+def mails_of(documents: DataFrame) -> DataFrame:
     """Documents as mails: recipients are the addresses found in the whole text."""
     found = f"if(contains(text, '@'), regexp_extract_all(text, '{EMAIL}', 1), CAST(array() AS ARRAY<STRING>))"
     sender = "concat(source, '@example.com')"
-    return table(spark, folder, "documents").selectExpr(
+    return documents.selectExpr(
         "concat('m', doc_id) AS id",
         f"{user_sql('doc_id')} AS account",
         f"if(doc_id % 17 = 0, 'drafts', try_element_at({FOLDERS}, lang)) AS folder",
@@ -149,7 +153,8 @@ def mail_attachments(spark: SparkSession, folder: str) -> DataFrame:
         "concat('m', page_id) AS parent_id",
         "'mails' AS object",
         "url AS name",
-        "'text/html' AS content_type",
+        "element_at(array('text/html', 'text/html; charset=UTF-8', 'TEXT/HTML', 'application/xhtml+xml'), "
+        "CAST(page_id % 4 AS INT) + 1) AS content_type",
         "encode(html, 'UTF-8') AS content",
         f"{in_month('page_id * 8111')} AS last_modified",
     )
@@ -161,8 +166,8 @@ def calendar_attachments(spark: SparkSession, folder: str) -> DataFrame:
         "concat('e', conv_id) AS parent_id",
         "'calendar' AS object",
         "role AS name",
-        "'text/plain' AS content_type",
-        "encode(text, 'UTF-8') AS content",
+        "element_at(array('text/plain', 'Text/Markdown; charset=\"utf-16\"'), CAST(conv_id % 2 AS INT) + 1) AS content_type",
+        "encode(text, if(conv_id % 2 = 0, 'UTF-8', 'UTF-16')) AS content",
         f"{in_month('conv_id * 10007 + turn * 60')} AS last_modified",
     )
 

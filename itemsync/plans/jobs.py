@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemsync.functions.sizes import document_size, size_without_body
-from itemsync.operators import acl, batching, checkpoints, registry, shape
-from itemsync.operators.attachments import Extractor, attachment_documents
+from itemsync.operators import acl, batching, checkpoints, quality, registry, shape
+from itemsync.operators.attachments import Extractor, attachment_documents, undated
 from itemsync.operators.dedup import distinct_rows, latest_by_id
 from itemsync.operators.joins import skew_join
 from itemsync.operators.report import index_report, observed
@@ -42,6 +42,9 @@ from itemsync.sinks.remote import Send, send_batches
 from itemsync.sources.tables import scan
 
 REQUEST = ["queue", "gather", "chunk", "batch"]
+OVERSIZED = "oversized"
+ISSUES = "object STRING, id STRING, kind STRING, reason STRING"
+REFUSED, QUARANTINED, UNBODIED = "refused", "quarantined", "oversized"
 INDEX_SCHEMA = DOCUMENTS + ", account STRING, object STRING, parent_id STRING, last_modified TIMESTAMP"
 
 
@@ -68,11 +71,17 @@ class SyncState:
         self.registry = KeyedTable(spark, f"{path}/registry", REGISTRY, REGISTRY_KEYS)
         self.permissions = KeyedTable(spark, f"{path}/permissions", IDENTITIES, ["identity"])
         self.checkpoints = KeyedTable(spark, f"{path}/checkpoints", CHECKPOINTS, ["platform", "object"])
+        self.issues = KeyedTable(spark, f"{path}/issues", ISSUES, ["object", "id", "kind"], ["reason"])
+        self.tables = (self.index, self.registry, self.permissions, self.checkpoints, self.issues)
 
     def create(self) -> None:
-        for table in (self.index, self.registry, self.permissions, self.checkpoints):
+        for table in self.tables:
             table.create()
 
+    def next_commit(self) -> int:
+        """A number that is free in every table."""
+        return max(table.number(None, "") for table in self.tables)
+
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
@@ -86,9 +95,13 @@ def day_of(table: DataFrame) -> str | None:
     return DAY_COLUMN if DAY_COLUMN in table.columns else None
 
 
-def changed_items(name: str, sources: Mailboxes, options: JobOptions, start: datetime, end: datetime) -> DataFrame:
-    """Items of one object inside the window."""
+def changed_items(
+    name: str, sources: Mailboxes, options: JobOptions, start: datetime | None, end: datetime | None
+) -> DataFrame:
+    """Items of one object inside the window; all without a start."""
     table = scan(name, sources.table(name))
+    if start is None:
+        return table
     items = change_window(table, "last_modified", start, end, options.bounds, day_of(table))
     if options.bounds == "open":
         items = off_bounds(items, "last_modified", start, end, options.time_chunks)
@@ -97,15 +110,16 @@ def changed_items(name: str, sources: Mailboxes, options: JobOptions, start: dat
 
 def window_items(name: str, sources: Mailboxes, options: JobOptions, start: datetime, end: datetime) -> DataFrame:
     """Changed items of known accounts, with the time zone."""
-    return shape.with_account(changed_items(name, sources, options, start, end), sources.accounts)
+    accounts = acl.accounts_on(sources.accounts, options.platform)
+    return shape.with_account(changed_items(name, sources, options, start, end), accounts)
 
 
 def object_documents(
     name: str,
     sources: Mailboxes,
     options: JobOptions,
-    start: datetime,
-    end: datetime,
+    start: datetime | None,
+    end: datetime | None,
     extractor: Extractor | None = None,
     dedup: bool = True,
 ) -> DataFrame:
@@ -116,7 +130,7 @@ def object_documents(
     which saves shuffling the bodies twice.
     """
     changed = changed_items(name, sources, options, start, end)
-    items = shape.with_account(changed, sources.accounts)
+    items = shape.with_account(changed, acl.accounts_on(sources.accounts, options.platform))
     if name == "mails":
         fields = shape.mail_fields(items)
     elif name == "calendar":
@@ -176,7 +190,7 @@ def live_ids(
     Without bounds the whole history counts, so that old items do not look deleted.
     """
     frames = []
-    accounts = sources.accounts.select("account").distinct()
+    accounts = acl.accounts_on(sources.accounts, options.platform).select("account").distinct()
     for name in selected(sources, options):
         items = scan(name, sources.table(name))
         if start is not None:
@@ -184,7 +198,7 @@ def live_ids(
         owned = skew_join(items, accounts, "account", "left_semi", spread=F.col("id"), sized_by=sources.accounts)
         frames.append(owned.select(F.lit(name).alias("object"), F.col("id").cast("string").alias("id")))
         if name in ATTACHMENT_TYPES and sources.attachments is not None:
-            parents = owned.filter("has_attachments").select(F.col("id").alias("parent_id")).distinct()
+            parents = owned.filter("has_attachments").select(F.col("id").alias("parent_id"))
             children = sources.attachments.filter(F.col("object") == name)
             if start is not None:
                 children = change_window(children, "last_modified", start, end, day=day_of(children))
@@ -216,6 +230,9 @@ def deletion_sync(
 ) -> tuple[DataFrame, DataFrame]:
     """Ids to delete and the registry that remains, for all selected objects in one plan."""
     considered = stored.filter(F.col("object").isin(*selected(sources, options)))
+    if sources.attachments is None:
+        # a table left out takes no part: its documents are neither live nor gone
+        considered = considered.filter(~F.col("type").isin(*(label.lower() for label in ATTACHMENT_TYPES.values())))
     gone = registry.deleted_ids(considered, live_ids(sources, options, *(scan_window or (None, None))), options.platform)
     if cascade:
         gone = registry.cascade(considered, gone)
@@ -239,14 +256,17 @@ def index_requests(
     limit: int = MAX_REQUEST_CHARS,
     rows: int = BATCH_SIZE,
     unique: bool = False,
+    drop_oversized: bool = False,
 ) -> DataFrame:
     """Documents grouped into requests for a remote index, for ``send_batches``.
 
+    The body of a document above the limit stays, in a request of its own, unless
+    ``drop_oversized``; ``oversized`` marks it either way.
+
     Of several documents with one id the latest is sent; ``unique`` says that
     there is one row per id already, as in a stored commit.
     A queue per object, a message per time chunk. Sizes are taken once, batches
-    are formed from narrow rows, and bodies are joined back by id; the body of a
-    document above the limit is left out.
+    are formed from narrow rows, and bodies are joined back by id.
     """
     if not unique:
         documents = latest_by_id(documents, ["id"], ["last_modified"])
@@ -259,21 +279,61 @@ def index_requests(
         size_without_body(size, F.col("body")).alias("bare_size"),
     )
     placed = batching.consumer_batches(cut_lineage(narrow), "queue", "message", ["id"], limit, rows)
-    body = F.when(~F.col("body_removed"), F.col("body"))
-    return documents.join(placed, "id").withColumn("body", body).select(*DOCUMENT_FIELDS, *REQUEST, "ord")
+    met = documents.join(placed.withColumnRenamed("body_removed", OVERSIZED), "id")
+    if drop_oversized:
+        met = met.withColumn("body", F.when(~F.col(OVERSIZED), F.col("body")))
+    else:
+        # the marked rows leave the batch they were counted into without their body
+        alone = F.when(F.col(OVERSIZED), -1 - F.col("ord")).otherwise(F.col("batch"))
+        met = met.withColumn("batch", alone.cast("bigint"))
+    return met.select(*DOCUMENT_FIELDS, *REQUEST, "ord", OVERSIZED)
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What a run did: documents extracted, the report of a remote index, and the issues stored under its commit."""
+
+    commit: int
+    documents: int
+    report: DataFrame | None
+    issues: DataFrame
+
+
+def quarantined(sources: Mailboxes, options: JobOptions) -> DataFrame:
+    """Items and attachments of selected objects that no run can place, with the reason."""
+    frames = []
+    for name in selected(sources, options):
+        broken = quality.set_aside(scan(name, sources.table(name)), quality.item_rules())[1]
+        frames.append(broken.select(F.lit(name).alias("object"), F.col("id").cast("string").alias("id"), "reason"))
+    if sources.attachments is not None:
+        wanted = sources.attachments.filter(F.col("object").isin(*options.objects))
+        broken = undated(wanted)
+        frames.append(broken.select("object", F.col("attachment_id").cast("string").alias("id"), "reason"))
+    return union_all(frames).select("object", "id", F.lit(QUARANTINED).alias("kind"), "reason")
 
 
-def send_changes(state: SyncState, commit: int, options: JobOptions, send: Send) -> DataFrame:
-    """Send what a commit wrote to the remote index; the report per type.
+def send_changes(state: SyncState, commit: int, options: JobOptions, send: Send) -> tuple[DataFrame, DataFrame]:
+    """Send what a commit wrote to the remote index: the report per type, and the issues.
 
     Requests are made from the stored rows and the answers are stored before
     they are counted, so nothing is sent for the sake of a count.
     """
     rows = state.index.changes(commit).filter(F.col("op") == UPSERT).drop("op")
     span = (options.start_time, options.now)
-    requests = index_requests(rows, *span, options.time_chunks, unique=True)
-    responses = cut_lineage(send_batches(requests, REQUEST, send, options.retries, "ord"))
-    return index_report(rows, responses)
+    requests = index_requests(rows, *span, options.time_chunks, unique=True, drop_oversized=options.drop_oversized)
+    requests = cut_lineage(requests)
+    responses = cut_lineage(send_batches(requests.drop(OVERSIZED), REQUEST, send, options.retries, "ord"))
+    refused = responses.filter(F.size("errors") > 0).select("id", F.array_join("errors", ", ").alias("reason"))
+    issues = rows.select("object", "id").join(refused, "id").select(
+        "object", "id", F.lit(REFUSED).alias("kind"), "reason"
+    )
+    large = requests.filter(OVERSIZED).select(
+        F.col("queue").alias("object"),
+        "id",
+        F.lit(UNBODIED).alias("kind"),
+        F.lit("sent without body" if options.drop_oversized else "sent alone").alias("reason"),
+    )
+    return index_report(rows, responses), issues.unionByName(large)
 
 
 def send_deletes(ids: DataFrame, options: JobOptions, send: Send) -> DataFrame:
@@ -283,71 +343,117 @@ def send_deletes(ids: DataFrame, options: JobOptions, send: Send) -> DataFrame:
 
 
 def _commit_documents(
-    documents: DataFrame, state: SyncState, options: JobOptions, commit: int, mode: str, send: Send | None
-) -> int:
+    documents: DataFrame,
+    sources: Mailboxes,
+    state: SyncState,
+    options: JobOptions,
+    commit: int,
+    mode: str,
+    send: Send | None,
+) -> Outcome:
     watched, seen = observed(documents, "documents")
-    state.index.upsert(watched, commit)
+    state.index.upsert(watched, commit, mode)
+    issues, report = quarantined(sources, options), None
+    if send is not None:
+        report, refused = send_changes(state, commit, options, send)
+        issues = issues.unionByName(refused)
+    state.issues.upsert(issues, commit, mode)
+    found = state.issues.changes(commit).drop("op")
+    # The registry reads back what was written; nothing is extracted twice. Refused documents stay out of it.
+    sent = state.index.changes(commit)
     if send is not None:
-        send_changes(state, commit, options, send)
-    # The registry reads back what was written; nothing is extracted twice.
-    written = registry.registry_rows(state.index.changes(commit), options.platform)
-    state.registry.upsert(registry.new_rows(state.registry.read(commit), written), commit)
+        sent = sent.join(found.filter(F.col("kind") == REFUSED).select("object", "id"), ["object", "id"], "left_anti")
+    written = registry.registry_rows(sent, options.platform)
+    state.registry.upsert(registry.new_rows(state.registry.read(commit), written), commit, mode)
     stored = state.checkpoints.read(commit)
     spark = documents.sparkSession
     wanted = spark.createDataFrame(
         [(options.platform, name, OBJECTS.index(name)) for name in options.objects],
         "platform STRING, object STRING, place INT",
     )
-    state.checkpoints.upsert(checkpoints.next_checkpoints(wanted, stored, options, mode, "place"), commit)
-    return seen.get["rows"]
+    state.checkpoints.upsert(checkpoints.next_checkpoints(wanted, stored, options, mode, "place"), commit, mode)
+    return Outcome(commit, seen.get["rows"], report, found)
 
 
 def run_full_sync(
-    sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None, send: Send | None = None
-) -> int:
-    """Apply a full sync; returns the number of documents extracted."""
+    sources: Mailboxes,
+    options: JobOptions,
+    state: SyncState,
+    commit: int | None = None,
+    extractor=None,
+    send: Send | None = None,
+) -> Outcome:
+    """Apply a full sync. Without a number the next free commit is taken."""
+    commit = state.next_commit() if commit is None else commit
     documents = full_sync(sources, options, extractor, dedup=False)
-    return _commit_documents(documents, state, options, commit, checkpoints.FULL, send)
+    return _commit_documents(documents, sources, state, options, commit, checkpoints.FULL, send)
 
 
 def run_incremental_sync(
-    sources: Mailboxes, options: JobOptions, state: SyncState, commit: int, extractor=None, send: Send | None = None
-) -> int:
-    """Apply an incremental sync; returns the number of documents extracted."""
+    sources: Mailboxes,
+    options: JobOptions,
+    state: SyncState,
+    commit: int | None = None,
+    extractor=None,
+    send: Send | None = None,
+) -> Outcome:
+    """Apply an incremental sync. Without a number the next free commit is taken."""
+    commit = state.next_commit() if commit is None else commit
     documents = incremental_sync(sources, options, state.checkpoints.read(commit), extractor, dedup=False)
-    return _commit_documents(documents, state, options, commit, checkpoints.INCREMENTAL, send)
+    return _commit_documents(documents, sources, state, options, commit, checkpoints.INCREMENTAL, send)
+
+
+def require_owners(state: SyncState, stored: DataFrame, accounts: DataFrame) -> None:
+    """Refuse a scan without accounts, or without an account that owns indexed rows of the run."""
+    if accounts.isEmpty():
+        raise RuntimeError("the scan has no accounts; nothing was deleted")
+    owned = state.index.read().select("object", "id", "account")
+    owners = owned.join(stored.select("object", "id").distinct(), ["object", "id"], "left_semi").select("account").distinct()
+    missing = owners.join(accounts.select("account").distinct(), "account", "left_anti")
+    if not missing.isEmpty():
+        raise RuntimeError("an account that owns indexed documents is not in the scan; nothing was deleted")
+
+
+DELETION, PERMISSION = "deletion", "permission"
 
 
 def run_deletion_sync(
     sources: Mailboxes,
     options: JobOptions,
     state: SyncState,
-    commit: int,
+    commit: int | None = None,
     scan_window: tuple[datetime, datetime] | None = None,
     cascade: bool = False,
     scanned_accounts: DataFrame | None = None,
     send: Send | None = None,
+    accounts_removed: bool = False,
 ) -> int:
-    """Apply a deletion sync; returns the number of deleted ids."""
+    """Apply a deletion sync; returns the number of deleted ids.
+
+    ``accounts_removed`` says that accounts missing from the scan are truly gone;
+    without it their documents are never taken for deleted.
+    """
+    commit = state.next_commit() if commit is None else commit
+    accounts = acl.accounts_on(sources.accounts, options.platform)
     if scanned_accounts is not None:
-        require_scanned(sources.accounts, scanned_accounts)
+        require_scanned(accounts, scanned_accounts)
     stored = state.registry.read(commit)
+    own = stored.filter(F.col("platform").contains(options.platform))
+    if not accounts_removed:
+        require_owners(state, own.filter(F.col("object").isin(*selected(sources, options))), accounts)
     gone = cut_lineage(deletion_sync(sources, stored, options, scan_window, cascade)[0])
-    state.index.delete(gone, commit)
+    state.index.delete(gone, commit, DELETION)
     if send is not None:
         send_deletes(gone, options, send)
-    own = stored.filter(F.col("platform").contains(options.platform))
-    state.registry.delete(own.join(gone, ["object", "id"], "left_semi"), commit)
+    state.registry.delete(own.join(gone, ["object", "id"], "left_semi"), commit, DELETION)
     return gone.count()
 
 
 def run_permission_sync(
-    directory: DataFrame, mapping: DataFrame, options: JobOptions, state: SyncState, commit: int
-) -> None:
-    """Revoke, then grant; takes two commit numbers, ``commit`` and ``commit + 1``."""
+    directory: DataFrame, mapping: DataFrame, options: JobOptions, state: SyncState, commit: int | None = None
+) -> int:
+    """Revoke, then grant, as one commit; returns its number."""
+    commit = state.permissions.number(commit, PERMISSION)
     accounts = acl.accounts_of(directory, options.platform)
     revoke, grant = permission_sync(accounts, state.permissions.read(commit), mapping, options)
-    state.permissions.delete(revoke, commit)
-    state.permissions.upsert(grant, commit + 1)
-
-
+    return state.permissions.change(grant, revoke, commit, PERMISSION)

@@ -13,7 +13,8 @@ WIDE, NARROW = " " * 28, " " * 16
 NL = "chr(10)"
 MARKUP = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)|<[a-z/!?][^>]*>"
+    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)|<[!?][^>]*>"
+    r"""|<[a-z/](?:"[^"]*"|''[^'']*''|[^>])*>"""
 )
 
 
@@ -177,7 +178,12 @@ CONTACT_BODY = lines(
 )
 
 
-def item_docs(name: str, span: tuple[str, str], allow: str = "account", task_body: str = CLOUD_BODY) -> str:
+CLOUD, ON_PREM = "Office365", "Microsoft Exchange"
+
+
+def item_docs(
+    name: str, span: tuple[str, str] | None, allow: str = "account", task_body: str = CLOUD_BODY, platform: str = CLOUD
+) -> str:
     kind, title, body = {
         "mails": (MAIL_TYPE, "subject", MAIL_BODY),
         "calendar": ("'Calendar'", "subject", CALENDAR_BODY),
@@ -186,18 +192,19 @@ def item_docs(name: str, span: tuple[str, str], allow: str = "account", task_bod
     }[name]
     return f"""SELECT {kind} AS type, id, {title} AS title, {body} AS body, {local('last_modified')} AS created_at,
       CAST(NULL AS VARCHAR) AS created, {allow} AS allow
-    FROM {name} JOIN accounts USING (account) WHERE {SCANS[name]} AND {within('last_modified', span)}"""
+    FROM {name} JOIN accounts USING (account)
+    WHERE platform = '{platform}' AND {SCANS[name]} AND {within('last_modified', span) if span else 'TRUE'}"""
 
 
 ATTACHMENT_TYPES = {"mails": "Mails Attachments", "calendar": "Calendar Attachments", "tasks": "Tasks Attachments"}
 
 
-def attachment_docs(name: str, span: tuple[str, str], extra: str = "TRUE") -> str:
+def attachment_docs(name: str, span: tuple[str, str] | None, extra: str = "TRUE") -> str:
+    both = f"{within(name + '.last_modified', span)} AND {within('a.last_modified', span)}" if span else "TRUE"
     return f"""SELECT '{ATTACHMENT_TYPES[name]}' AS type, a.attachment_id AS id, a.name AS title, a.body,
       CAST(NULL AS VARCHAR) AS created_at, {local('a.last_modified')} AS created, {name}.account AS allow
     FROM {name} JOIN accounts USING (account) JOIN attachments a ON a.object = '{name}' AND a.parent_id = {name}.id
-    WHERE {SCANS[name]} AND has_attachments AND {within(name + '.last_modified', span)}
-      AND {within('a.last_modified', span)} AND {extra}"""
+    WHERE platform = '{CLOUD}' AND {SCANS[name]} AND has_attachments AND {both} AND {extra}"""
 
 
 def object_docs(name: str, span: tuple[str, str], extra: str = "TRUE") -> str:
@@ -300,6 +307,12 @@ def resumed(name: str, limit: str) -> tuple[str, str]:
     )
 
 
+def alive(name: str) -> str:
+    """Items of cloud accounts that a scan of the whole window finds."""
+    return f"""({SCANS[name]} AND {within(name + '.last_modified', YEARS)}
+        AND account IN (SELECT account FROM accounts WHERE platform = '{CLOUD}'))"""
+
+
 LEAVING = "SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
 UPSERTED = """SELECT c_custkey AS id, c_name AS name FROM customer
   WHERE c_custkey NOT IN (SELECT s_suppkey * 20 FROM supplier)
@@ -344,7 +357,7 @@ SQL = {
     "mail_documents": f"WITH {ACCOUNTS}, {MAILS} {item_docs('mails', JAN)}",
     "calendar_documents": f"WITH {ACCOUNTS}, {CALENDAR} {item_docs('calendar', JAN)}",
     "task_documents": f"""WITH {ACCOUNTS}, {TASKS}
-        SELECT *, 'Microsoft Exchange' AS platform FROM ({item_docs('tasks', ORD, task_body=ON_PREM_BODY)})
+        SELECT *, 'Microsoft Exchange' AS platform FROM ({item_docs('tasks', ORD, task_body=ON_PREM_BODY, platform=ON_PREM)})
         UNION ALL SELECT *, 'Office365' AS platform FROM ({item_docs('tasks', ORD)})""",
     "contact_documents": f"WITH {ACCOUNTS}, {CONTACTS} {item_docs('contacts', JAN, allow=chr(39) * 2)}",
     "html_body_text": f"SELECT page_id, {html('html')} AS body FROM pages",
@@ -382,7 +395,7 @@ SQL = {
     "fixed_chunks": f"""SELECT doc_id, source, pos // 10 AS chunk, CAST(pos % 10 AS INTEGER) AS ord
         FROM ({numbered('documents', 'doc_id', 'doc_id, source', 'PARTITION BY source')})""",
     "delete_batches": f"""SELECT o_orderkey, pos // 100 AS chunk, CAST(pos % 100 AS INTEGER) AS ord
-        FROM ({numbered('orders', 'o_orderkey', 'o_orderkey', where="o_orderstatus = 'F'")})""",
+        FROM ({numbered('orders', 'o_orderkey', 'o_orderkey')})""",
     "document_sizes": f"WITH {SIZES} SELECT doc_id, size, bare_size FROM sizes",
     "byte_batches": f"""WITH RECURSIVE {SIZES},
         cut AS MATERIALIZED (SELECT pos // 100 AS chunk, CAST(pos % 100 AS INTEGER) AS ord, doc_id, size, bare_size
@@ -448,12 +461,30 @@ SQL = {
         'contacts': YEARS,
     })})""",
     "deletion_sync_plan": f"{MAILBOXES} " + " UNION ALL ".join(
-        f"""SELECT '{name}' AS object, id FROM {name} WHERE NOT ({SCANS[name]} AND {within('last_modified', YEARS)}
-            AND account IN (SELECT account FROM accounts))"""
+        f"""SELECT '{name}' AS object, id FROM {name} WHERE NOT {alive(name)}"""
         for name in ("mails", "calendar", "tasks", "contacts")
+    ) + "".join(
+        f""" UNION ALL SELECT DISTINCT '{name}', attachment_id FROM attachments a WHERE a.object = '{name}' AND attachment_id NOT IN (
+            SELECT b.attachment_id FROM attachments b JOIN {name} ON b.object = '{name}' AND b.parent_id = {name}.id
+            WHERE {alive(name)} AND has_attachments AND {within('b.last_modified', YEARS)})"""
+        for name in ATTACHMENT_TYPES
     ),
     "permission_sync_plan": f"""WITH {MAPPING}, {IDENTITIES}, {LIVE_ACCOUNTS}, {OVERLAP}
         SELECT 'revoke' AS action, * FROM ({REVOKED}) UNION ALL SELECT 'grant', * FROM ({grants('live_accounts')})""",
-    "incremental_stream": f"""SELECT event_id AS id, event_type AS title, {stamp('ts')} AS created_at FROM events
-        WHERE {within('ts', JAN)}""",
+    "incremental_stream": f"SELECT event_id AS id, event_type AS title, {stamp('ts')} AS created_at FROM events",
+    "stream_documents": f"""{MAILBOXES} SELECT {DOC_COLUMNS}, TRUE AS registered FROM (
+        {item_docs('mails', None)} UNION ALL {attachment_docs('mails', None)})""",
+    "object_selection": f"""{MAILBOXES} SELECT object, type, count(*) AS documents FROM ({all_docs({'tasks': YEARS, 'contacts': YEARS})})
+        GROUP BY 1, 2""",
+    "mapping_file": f"""SELECT {user('o_custkey')} AS source, 'target' || max(o_orderkey) AS target FROM orders
+        WHERE o_orderpriority <> '5-LOW' GROUP BY o_custkey""",
+    "run_outcome": f"""WITH {ACCOUNTS}, {CONTACTS}, 
+        docs AS (SELECT * FROM ({item_docs('contacts', YEARS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 50 <> 0)
+        SELECT 'contacts' AS object, id, 'refused' AS kind, 'no 7s' AS reason FROM docs WHERE id LIKE '%7'
+        UNION ALL SELECT 'contacts', id, 'registered', '' FROM docs WHERE id NOT LIKE '%7'
+        UNION ALL SELECT 'contacts', 'Contacts', 'report', (count(*) - count(*) FILTER (id LIKE '%7')) || ' out of ' || count(*)
+          FROM docs HAVING count(*) > 0
+        UNION ALL SELECT 'contacts', 'Office365', 'checkpoint', {NOW}
+        UNION ALL SELECT 'contacts', 'c' || c_custkey, 'quarantined', 'no last_modified' FROM customer
+          WHERE c_custkey % 50 = 0 AND c_mktsegment <> 'FURNITURE'""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -14,11 +15,11 @@ from itemsync.options import FieldRule, JobOptions
 from itemsync.plans import bindings as b
 from itemsync.plans import jobs
 from itemsync.plans.jobs import Mailboxes
-from itemsync.schemas import PLATFORM_CLOUD, PLATFORM_ON_PREM
+from itemsync.schemas import ATTACHMENT_TYPES, PLATFORM_CLOUD, PLATFORM_ON_PREM
 from itemsync.session import cut_lineage, shared_dir
 from itemsync.sinks.keyed import KeyedTable, removed, upserted
 from itemsync.sources import mapping, tables
-from itemsync.streaming.incremental import item_stream, sync_available
+from itemsync.streaming.incremental import document_shape, item_stream, sync_available, sync_documents
 
 NOW = datetime(2024, 1, 25)
 # Windows of the order-dated and of the January tables.
@@ -148,13 +149,13 @@ def calendar_documents(spark, folder):
 
 
 def task_documents(spark, folder):
-    """Both bodies: with and without start date and companies."""
+    """The bodies of both platforms, with and without start date and companies, each for its own accounts."""
     sources = Mailboxes(b.accounts(spark, folder), tasks=b.tasks(spark, folder))
-    items = jobs.window_items("tasks", sources, options(), ORDER_START, ORDER_END)
-    parts = [
-        shown(shape.to_documents(shape.task_fields(items, p), True)).withColumn("platform", F.lit(p))
-        for p in (PLATFORM_ON_PREM, PLATFORM_CLOUD)
-    ]
+    parts = []
+    for platform in (PLATFORM_ON_PREM, PLATFORM_CLOUD):
+        items = jobs.window_items("tasks", sources, options(platform=platform), ORDER_START, ORDER_END)
+        documents = shape.to_documents(shape.task_fields(items, platform), True)
+        parts.append(shown(documents).withColumn("platform", F.lit(platform)))
     return parts[0].unionByName(parts[1])
 
 
@@ -298,7 +299,7 @@ def fixed_chunks(spark, folder):
 
 
 def delete_batches(spark, folder):
-    ids = b.table(spark, folder, "orders").filter("o_orderstatus = 'F'").select("o_orderkey")
+    ids = b.table(spark, folder, "orders").select("o_orderkey")
     return batching.delete_batches(ids, "o_orderkey", slot=_slot("o_orderkey"))
 
 
@@ -397,9 +398,9 @@ def keyed_table(spark, folder):
     target, rows = _named(spark, folder)
     table = KeyedTable(spark, f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}", "id BIGINT, name STRING", ["id"])
     table.create()
-    table.upsert(target, 1)
-    table.upsert(rows, 2)
-    table.delete(_leaving(spark, folder), 3)
+    table.upsert(target)
+    table.upsert(rows)
+    table.delete(_leaving(spark, folder))
     return table.read()
 
 
@@ -451,7 +452,7 @@ def incremental_sync_docs(spark, folder):
 
 
 def _known_items(spark, folder) -> DataFrame:
-    """A registry that holds every item of the tables, with and without a known account."""
+    """A registry that holds every item and attachment of the tables, with and without a known account."""
     return jobs.union_all(
         [
             b.ITEMS[name](spark, folder).select(
@@ -463,6 +464,16 @@ def _known_items(spark, folder) -> DataFrame:
             )
             for name in b.ITEMS
         ]
+        + [
+            b.ATTACHMENTS[name](spark, folder).select(
+                F.col("attachment_id").alias("id"),
+                "parent_id",
+                F.lit(ATTACHMENT_TYPES[name].lower()).alias("type"),
+                F.lit(PLATFORM_CLOUD).alias("platform"),
+                F.lit(name).alias("object"),
+            )
+            for name in b.ATTACHMENTS
+        ]
     )
 
 
@@ -480,21 +491,84 @@ def permission_sync_plan(spark, folder):
 
 
 def incremental_stream(spark, folder):
-    """New event files as a stream of items, shaped and applied batch by batch."""
+    """New event files as a stream of items, shaped and applied batch by batch, none of them cut by a window."""
     place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}"
     schema = b.table(spark, folder, "events").schema
     state = KeyedTable(spark, f"{place}/index", "id BIGINT, title STRING, created_at STRING", ["id"], ["created_at"])
     state.create()
 
     def shaped(batch: DataFrame) -> DataFrame:
-        recent = windows.change_window(batch, "ts", JANUARY_START, JANUARY_END)
-        return recent.select(F.col("event_id").alias("id"), F.col("event_type").alias("title"), stamp("ts").alias("created_at"))
+        return batch.select(F.col("event_id").alias("id"), F.col("event_type").alias("title"), stamp("ts").alias("created_at"))
 
     arriving = item_stream(spark, folder, schema, pathGlobFilter="events.parquet")
     sync_available(arriving, shaped, state, f"{place}/checkpoint")
     return state.read()
 
 
+def stream_documents(spark, folder):
+    """Mails that arrive in several files and two runs, over an index that holds a full sync of some of them."""
+    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}"
+    state = jobs.SyncState(spark, f"{place}/state")
+    state.create()
+    texts = b.table(spark, folder, "documents")
+    sources = Mailboxes(b.accounts(spark, folder), attachments=b.mail_attachments(spark, folder))
+    jobs.run_full_sync(replace(sources, mails=b.mails_of(texts.filter("doc_id % 4 = 0"))), options(), state)
+    into = document_shape("mails", sources, options())
+    for part in (F.col("doc_id") % 3 < 2, F.col("doc_id") % 3 == 2):
+        texts.filter(part).write.mode("append").parquet(f"{place}/arriving")
+        arriving = item_stream(spark, f"{place}/arriving", texts.schema, files_per_batch=2)
+        sync_documents(arriving, lambda batch: into(b.mails_of(batch)), state, options(), f"{place}/checkpoint")
+    found = state.registry.read().select("object", "id", F.lit(True).alias("registered")).distinct()
+    known = state.index.read().join(found, ["object", "id"], "left")
+    return known.select(
+        "type", "id", "title", "body", "created_at", "created", joined("_allow_permissions").alias("allow"), "registered"
+    )
+
+
+def object_selection(spark, folder):
+    """Of all tables, only the objects that the options name take part."""
+    chosen = options(objects={"tasks": FieldRule(), "contacts": FieldRule()})
+    documents = jobs.full_sync(b.mailboxes(spark, folder), chosen).select("object", "type")
+    return documents.groupBy("object", "type").agg(F.count("*").alias("documents"))
+
+
+def mapping_file(spark, folder):
+    """The user mapping read from a file; of several lines of a user the last by target wins."""
+    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}/mapping"
+    orders = b.table(spark, folder, "orders").filter("o_orderpriority <> '5-LOW'").groupBy("o_custkey")
+    lines = orders.agg(F.max("o_orderkey").alias("last")).select(
+        b.user(F.col("o_custkey")).alias("source"), b.prefixed("target", F.col("last")).alias("target")
+    )
+    lines.write.csv(place)
+    return mapping.read_mapping(spark, place)
+
+
+def run_outcome(spark, folder):
+    """A run that sends to an index which refuses some documents: issues, registry, report and checkpoint."""
+    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}"
+    state = jobs.SyncState(spark, place)
+    state.create()
+    undated = F.when(~b.every("id_number", 50), F.col("last_modified"))
+    found = b.contacts(spark, folder).withColumn("id_number", F.substring("id", 2, 20).cast("bigint"))
+    found = found.withColumn("last_modified", undated).drop("id_number")
+    chosen = options(objects={"contacts": FieldRule()})
+    outcome = jobs.run_full_sync(Mailboxes(b.accounts(spark, folder), contacts=found), chosen, state, send=_refuse_sevens)
+    none = F.lit("")
+    registered = state.registry.read().select("object", "id", F.lit("registered").alias("kind"), none.alias("reason"))
+    told = outcome.report.select(
+        F.lit("contacts").alias("object"), F.col("type").alias("id"), F.lit("report").alias("kind"), F.col("summary").alias("reason")
+    )
+    reached = state.checkpoints.read().select(
+        "object", F.col("platform").alias("id"), F.lit("checkpoint").alias("kind"), F.col("checkpoint").alias("reason")
+    )
+    return outcome.issues.unionByName(registered).unionByName(told).unionByName(reached)
+
+
+def _refuse_sevens(rows: list[dict]) -> list[dict]:
+    """A stand-in for a remote index."""
+    return [{"id": row["id"], "errors": ["no 7s"] if row["id"].endswith("7") else []} for row in rows]
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -552,5 +626,9 @@ QUERIES = {
         deletion_sync_plan,
         permission_sync_plan,
         incremental_stream,
+        stream_documents,
+        object_selection,
+        mapping_file,
+        run_outcome,
     )
 }

@@ -37,11 +37,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    Only where the session names none (a single-machine test) is one made.
+    Only where the session names none and runs on one machine (a test) is one made.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that driver and executors share")
     made = tempfile.mkdtemp(prefix="itemsync-")
     spark.conf.set(CHECKPOINT_SETTING, made)
     return made

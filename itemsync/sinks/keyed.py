@@ -1,13 +1,20 @@
 """A keyed table that takes upserts and deletes as commits of plain parquet.
 
-Layout: ``base/commit=N`` holds one row per key, ``changes/commit=M`` what
-later commits did, ``commits/commit=M`` marks a commit as done. A commit number
-names its folders, so a repeated or broken-off run overwrites its own traces and
-nothing else. Rows of unfinished commits are never read.
+Layout: ``base`` holds one row per key, ``changes`` what later commits did, both
+in folders by commit and attempt; ``log`` gets one row when a commit is done,
+naming the attempt. Nothing is overwritten: a repeated commit writes another
+attempt, and the last attempt in the log counts. Rows of attempts that broke off
+are never read.
+
+The table gives out commit numbers. A commit belongs to its ``writer``, a name
+that stays the same when a run is repeated: the same writer gets its number
+again, and a number of another writer is refused, as is one at or below a base.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +23,7 @@ from itemsync.sources.tables import read_or_empty
 
 UPSERT, DELETE = "upsert", "delete"
 BASE, CHANGES = "base", "changes"
+LOG = "kind STRING, commit BIGINT, attempt STRING, writer STRING, place BIGINT"
 
 
 class KeyedTable:
@@ -26,23 +34,53 @@ class KeyedTable:
 
     def create(self) -> None:
         """Declare the table; an existing one is left alone."""
-        if self._log().isEmpty():
-            self._finish(self.spark.createDataFrame([], self.schema), BASE, 0)
-
-    def upsert(self, rows: DataFrame, commit: int) -> None:
-        """Insert or replace by key. Of several rows with one key the latest is taken."""
-        named = rows.select(*[field.name for field in self.fields])
-        latest = latest_by_id(named, self.key, self.order)
-        self._finish(latest.withColumn("op", F.lit(UPSERT)), CHANGES, commit)
-
-    def delete(self, keys: DataFrame, commit: int) -> None:
-        blank = {f.name: F.lit(None).cast(f.dataType) for f in self.fields if f.name not in self.key}
-        gone = keys.select(*self.key).distinct().withColumns({**blank, "op": F.lit(DELETE)})
-        self._finish(gone, CHANGES, commit)
+        if not self._log():
+            self._finish(self.spark.createDataFrame([], self.schema), BASE, 0, "create")
+
+    def upsert(self, rows: DataFrame, commit: int | None = None, writer: str = "") -> int:
+        """Insert or replace by key; of several rows with one key the latest is taken. Returns the commit."""
+        return self.change(rows, None, commit, writer)
+
+    def delete(self, keys: DataFrame, commit: int | None = None, writer: str = "") -> int:
+        return self.change(None, keys, commit, writer)
+
+    def change(
+        self, upserts: DataFrame | None, deletes: DataFrame | None, commit: int | None = None, writer: str = ""
+    ) -> int:
+        """Delete keys, then upsert rows, as one commit. Returns its number."""
+        commit = self.number(commit, writer)
+        rows = None
+        if upserts is not None:
+            named = upserts.select(*[field.name for field in self.fields])
+            rows = latest_by_id(named, self.key, self.order).withColumn("op", F.lit(UPSERT))
+        if deletes is not None:
+            blank = {f.name: F.lit(None).cast(f.dataType) for f in self.fields if f.name not in self.key}
+            gone = deletes.select(*self.key).distinct()
+            if rows is not None:
+                gone = gone.join(rows.select(*self.key), self.key, "left_anti")
+            gone = gone.withColumns({**blank, "op": F.lit(DELETE)})
+            rows = gone if rows is None else rows.unionByName(gone)
+        self._finish(rows, CHANGES, commit, writer)
+        return commit
+
+    def number(self, commit: int | None, writer: str) -> int:
+        """The commit number of a writer: the asked-for one, its own, or the next free one."""
+        done = self._done()
+        if commit is None:
+            own = [n for n, row in done.items() if row["writer"] == writer and writer]
+            commit = own[0] if own else max(done, default=0) + 1
+        if commit <= self._base(done):
+            raise ValueError(f"commit {commit} is not above the base of {self.path}")
+        if commit not in done and commit < max(done, default=0):
+            raise ValueError(f"commit {commit} of {self.path} would come before one that is done")
+        if commit in done and done[commit]["writer"] != writer:
+            raise ValueError(f"commit {commit} of {self.path} belongs to {done[commit]['writer']!r}, not to {writer!r}")
+        return commit
 
     def changes(self, commit: int) -> DataFrame:
         """What one commit wrote."""
-        return self.spark.read.schema(self.schema + ", op STRING").parquet(f"{self.path}/{CHANGES}/commit={commit}")
+        attempt = self._done()[commit]["attempt"]
+        return self.spark.read.schema(self.schema + ", op STRING").parquet(self._folder(CHANGES, commit, attempt))
 
     def read(self, before: int | None = None) -> DataFrame:
         """The current rows, or those as of all commits below ``before``.
@@ -50,35 +88,62 @@ class KeyedTable:
         A run reads the state before its own commit, so it may be repeated. Only
         the keys of changes since the base meet the base, in an anti join that is
         broadcast while they are few; the base itself is not shuffled then.
+        Each commit is one folder to read until ``compact`` folds them, which
+        whoever runs the jobs calls from time to time.
         """
-        log = self._log() if before is None else self._log().filter(F.col("commit") < before)
-        base = log.filter(F.col("kind") == BASE).agg(F.max("commit").alias("commit")).first()["commit"] or 0
-        rows = read_or_empty(self.spark, f"{self.path}/{BASE}/commit={base}", self.schema)
-        changes = read_or_empty(self.spark, f"{self.path}/{CHANGES}", self.schema + ", op STRING, commit BIGINT")
-        recent = changes.filter(F.col("commit") > base)
-        if before is not None:
-            recent = recent.filter(F.col("commit") < before)
-        done = log.filter((F.col("commit") > base) & (F.col("kind") == CHANGES)).select("commit")
-        latest = latest_by_id(recent.join(done, "commit", "left_semi"), self.key, ["commit"])
+        done = {n: row for n, row in self._done().items() if before is None or n < before}
+        base = self._base(done)
+        rows = self.spark.createDataFrame([], self.schema)
+        if base in done:
+            rows = self.spark.read.schema(self.schema).parquet(self._folder(BASE, base, done[base]["attempt"]))
+        recent = None
+        for n in sorted(n for n, row in done.items() if n > base and row["kind"] == CHANGES):
+            part = self.spark.read.schema(self.schema + ", op STRING").parquet(
+                self._folder(CHANGES, n, done[n]["attempt"])
+            )
+            part = part.withColumn("commit", F.lit(n).cast("bigint"))
+            recent = part if recent is None else recent.unionByName(part)
+        if recent is None:
+            return rows
+        latest = latest_by_id(recent, self.key, ["commit"])
         kept = rows.join(latest.select(*self.key), self.key, "left_anti")
         return kept.unionByName(latest.filter(F.col("op") == UPSERT).drop("op", "commit"))
 
-    def compact(self, commit: int) -> None:
-        """Fold all finished changes below ``commit`` into a new base."""
-        self._finish(self.read(commit), BASE, commit)
-
-    def _log(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/commits", "kind STRING, commit BIGINT")
-
-    def _finish(self, rows: DataFrame, kind: str, commit: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{kind}/commit={commit}")
-        mark = self.spark.range(1).select(F.lit(kind).alias("kind"))
-        mark.write.mode("overwrite").parquet(f"{self.path}/commits/commit={commit}")
-
-
-def upserted(target: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
-    """The target after an upsert, as one plan."""
-    return target.join(rows.select(*key), key, "left_anti").unionByName(rows)
+    def compact(self, commit: int | None = None) -> int:
+        """Fold all finished changes below ``commit`` (default: all) into a new base."""
+        commit = self.number(commit, "compact")
+        self._finish(self.read(commit), BASE, commit, "compact")
+        return commit
+
+    def _folder(self, kind: str, commit: int, attempt: str) -> str:
+        return f"{self.path}/{kind}/commit={commit}/attempt={attempt}"
+
+    def _log(self) -> list:
+        """A row per finished attempt: as many as there were commits and repeats."""
+        return read_or_empty(self.spark, f"{self.path}/log", LOG).collect()
+
+    def _done(self) -> dict:
+        """Finished commits with their last attempt."""
+        out: dict = {}
+        for row in sorted(self._log(), key=lambda r: r["place"]):
+            out[row["commit"]] = row
+        return out
+
+    @staticmethod
+    def _base(done: dict) -> int:
+        return max((n for n, row in done.items() if row["kind"] == BASE), default=0)
+
+    def _finish(self, rows: DataFrame, kind: str, commit: int, writer: str) -> None:
+        attempt = uuid.uuid4().hex
+        rows.write.parquet(self._folder(kind, commit, attempt))
+        mark = [(kind, commit, attempt, writer, len(self._log()))]
+        self.spark.createDataFrame(mark, LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+
+
+def upserted(target: DataFrame, rows: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
+    """The target after an upsert, as one plan; of several rows with one key the last by ``order``."""
+    latest = latest_by_id(rows, key, order or [])
+    return target.join(latest.select(*key), key, "left_anti").unionByName(latest)
 
 
 def removed(target: DataFrame, keys: DataFrame, key: list[str]) -> DataFrame:

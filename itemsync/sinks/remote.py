@@ -5,11 +5,17 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from itemsync.schemas import RESPONSES
 
+def _plain(value):
+    """Lists arrive as arrays; callbacks get lists."""
+    return value.tolist() if isinstance(value, np.ndarray) else value
+
+
 Send = Callable[[list[dict]], list[dict]]
 
 
@@ -59,7 +65,7 @@ def send_batches(
                     yield answers(held)
                     held = []
                 open_key = key
-                held += rows[fields].to_dict("records")
+                held += [{k: _plain(v) for k, v in row.items()} for row in rows[fields].to_dict("records")]
         if held:
             yield answers(held)
 

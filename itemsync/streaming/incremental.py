@@ -1,4 +1,10 @@
-"""Incremental sync as a Structured Streaming job."""
+"""Incremental sync as Structured Streaming jobs.
+
+What arrives is applied whole: no window cuts it, as the file source counts a file
+as read whatever becomes of its rows. Each micro-batch is one commit of the table,
+which keeps the stream's name and the batch number as the commit's writer; a batch
+repeated after a failure gets its own number again.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +12,15 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from itemsync.operators import acl, registry, shape
+from itemsync.operators.attachments import Extractor, attachment_documents
 from itemsync.options import JobOptions
-from itemsync.plans.jobs import Mailboxes, object_documents
-from itemsync.sinks.keyed import KeyedTable
+from itemsync.plans.jobs import Mailboxes, SyncState, object_documents
+from itemsync.sinks.keyed import UPSERT, KeyedTable
+
+Shape = Callable[[DataFrame], DataFrame]
 
 
 def item_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, **options) -> DataFrame:
@@ -17,43 +28,63 @@ def item_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).options(**options).parquet(path)
 
 
-def document_shape(name: str, sources: Mailboxes, options: JobOptions) -> Callable[[DataFrame], DataFrame]:
-    """How arriving items of one object become documents; the other tables are read as they are."""
+def document_shape(name: str, sources: Mailboxes, options: JobOptions) -> Shape:
+    """How arriving items of one object become documents, with the attachments that are there already."""
 
     def run(batch: DataFrame) -> DataFrame:
-        arrived = replace(sources, **{name: batch})
-        return object_documents(name, arrived, options, options.start_time, options.now, dedup=False)
+        return object_documents(name, replace(sources, **{name: batch}), options, None, None, dedup=False)
 
     return run
 
 
-def sync_available(
-    items: DataFrame, shape: Callable[[DataFrame], DataFrame], table: KeyedTable, checkpoint: str
-) -> None:
-    """Apply everything that has arrived, then stop.
+def attachment_shape(
+    name: str, state: SyncState, sources: Mailboxes, options: JobOptions, extractor: Extractor | None = None
+) -> Shape:
+    """How attachments that arrive after their items become documents: they meet the items in the index.
 
-    Each micro-batch is one commit under the batch number, so a batch repeated
-    after a failure overwrites itself.
+    An attachment whose item is not there yet is met by ``document_shape`` when the
+    item arrives, if ``sources.attachments`` holds it by then.
     """
 
-    def apply(batch: DataFrame, number: int) -> None:
-        table.upsert(shape(batch), number + 1)
+    def run(batch: DataFrame) -> DataFrame:
+        stored = state.index.read().filter((F.col("object") == name) & (F.coalesce("parent_id", F.lit("")) == ""))
+        parents = stored.select("id", "account", "last_modified", F.lit(True).alias("has_attachments"))
+        items = shape.with_account(parents, acl.accounts_on(sources.accounts, options.platform))
+        return attachment_documents(items, batch, name, None, None, options, extractor)
 
-    query = (
-        items.writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(apply)
-        .start()
-    )
-    query.awaitTermination()
+    return run
 
 
-def delete_available(keys: DataFrame, table: KeyedTable, checkpoint: str, first_commit: int) -> None:
-    """Apply a stream of deleted ids in the same manner, numbered from ``first_commit``."""
+def _each_batch(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, str], None]) -> None:
+    """Hand over everything that has arrived, batch by batch with its writer's name, then stop."""
     query = (
-        keys.writeStream.trigger(availableNow=True)
+        stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, number: table.delete(batch, first_commit + number))
+        .foreachBatch(lambda batch, number: apply(batch, f"{checkpoint}#{number}"))
         .start()
     )
     query.awaitTermination()
+
+
+def sync_available(items: DataFrame, shape: Shape, table: KeyedTable, checkpoint: str) -> None:
+    """Upsert everything that has arrived into one table."""
+    _each_batch(items, checkpoint, lambda batch, writer: table.upsert(shape(batch), writer=writer))
+
+
+def sync_documents(items: DataFrame, shape: Shape, state: SyncState, options: JobOptions, checkpoint: str) -> None:
+    """Upsert everything that has arrived into the index, and register it."""
+
+    def apply(batch: DataFrame, writer: str) -> None:
+        commit = state.index.upsert(shape(batch), writer=writer)
+        changed = state.index.changes(commit).filter(F.col("op") == UPSERT)
+        number = state.registry.number(None, writer)
+        known = state.registry.read(number)
+        rows = registry.new_rows(known, registry.registry_rows(changed, options.platform))
+        state.registry.upsert(rows, number, writer)
+
+    _each_batch(items, checkpoint, apply)
+
+
+def delete_available(keys: DataFrame, table: KeyedTable, checkpoint: str) -> None:
+    """Apply a stream of deleted keys in the same manner."""
+    _each_batch(keys, checkpoint, lambda batch, writer: table.delete(batch, writer=writer))

@@ -1,3 +1,4 @@
+from datetime import datetime
 import datetime as dt
 import random
 from urllib.parse import quote
@@ -126,3 +127,72 @@ def test_templates(spark):
     for on_prem, lines in ((True, 10), (False, 8)):
         got = spark.range(1).select(templates.task_body(task, on_prem)).first()[0]
         assert got.startswith("\n" + " " * 16 + "Due Date: x") and len(got.split("\n")) == lines
+
+
+def test_html_against_the_standard_parser(spark):
+    """Quoted attributes, long numeric references, unclosed tags."""
+    from html.parser import HTMLParser
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.parts = []
+
+        def handle_data(self, data):
+            self.parts.append(data)
+
+    cases = [
+        '<a title="x > y">z</a>',
+        "<a title='x > \"y' href=\"b>c\">z</a> after",
+        "<p>1 &lt; 2</p>",
+        "&#0000000065;&#x0000000041;&#x41;B",
+        "<p>open <b>never closed",
+        "<br/><img alt='>' src=x>t<!-- > -->u",
+        "a < b > c",
+    ]
+    expected = []
+    for case in cases:
+        parser = Text()
+        parser.feed(case)
+        parser.close()
+        expected.append("".join(parser.parts).strip())
+    assert values(spark, text.html_to_text(F.col("s")), [(c,) for c in cases], "s string") == expected
+    assert values(spark, text.html_to_text(F.col("s")), [("&#99999999999999;",)], "s string") == ["�"]
+
+
+def test_broken_tags_take_linear_time(spark):
+    long = '<a title="' + "x" * 100_000 + "<a '\"" * 20_000
+    assert values(spark, text.html_to_text(F.col("s")), [(long,)], "s string")[0].startswith("<a title")
+
+
+def test_media_types_and_charsets(spark):
+    from itemsync.operators.attachments import fill_body, with_text
+
+    rows = [
+        (1, "text/html; charset=utf-8", "<p>é</p>".encode()),
+        (2, "TEXT/PLAIN", b"plain"),
+        (3, 'text/plain; charset="ISO-8859-1"', "é".encode("latin-1")),
+        (4, "text/markdown; charset=utf-16", "é".encode("utf-16")),
+        (5, "application/pdf", b"%PDF"),
+        (6, "application/pdf", None),
+        (7, None, b"x"),
+    ]
+    df = spark.createDataFrame(rows, "attachment_id int, content_type string, content binary")
+    seen = fill_body(lambda content, media: f"parsed {content.decode()}")
+    got = {r["attachment_id"]: r["body"] for r in with_text(df, seen).collect()}
+    assert got == {1: "é", 2: "plain", 3: "é", 4: "é", 5: "parsed %PDF", 6: None, 7: "parsed x"}
+
+
+def test_moments_with_a_zone(spark):
+    from datetime import timedelta, timezone
+
+    from itemsync.functions.times import plain_utc
+    from itemsync.options import JobOptions
+    from itemsync.operators.windows import change_window
+
+    east = timezone(timedelta(hours=5))
+    moment = datetime(2024, 1, 1, 5, tzinfo=east)
+    assert plain_utc(moment) == datetime(2024, 1, 1) == JobOptions(now=moment).now
+    df = spark.createDataFrame([("2023-12-31 23:00:00",), ("2024-01-01 01:00:00",)], "t string")
+    df = df.select(F.col("t").cast("timestamp").alias("t"))
+    assert change_window(df, "t", moment, datetime(2025, 1, 1)).count() == 1

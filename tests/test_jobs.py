@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,14 @@ from itemsync.plans.jobs import Mailboxes, SyncState
 from itemsync.schemas import ACCOUNTS, ATTACHMENTS, CONTACTS, MAILS, RFC3339_PY, TARGET_FIELDS
 from itemsync.sinks.keyed import KeyedTable
 from itemsync.sinks.remote import send_batches, with_retry
-from itemsync.streaming.incremental import document_shape, item_stream, sync_available
+from itemsync.streaming.incremental import (
+    attachment_shape,
+    delete_available,
+    document_shape,
+    item_stream,
+    sync_available,
+    sync_documents,
+)
 from tests.test_shape import OWNER, attached, mail
 
 NOW = dt.datetime(2024, 2, 1)
@@ -55,17 +63,48 @@ def test_keyed_table(spark, folder):
     table.upsert(rows([(3, "g", 1)]), 5)
     assert sorted(map(tuple, table.read().collect())) == [*expected, (3, "g", 1)]
     # A commit that broke off before its mark is not seen.
-    rows([(7, "x", 1)]).withColumn("op", F.lit("upsert")).write.parquet(folder + "/t/changes/commit=6")
+    rows([(7, "x", 1)]).withColumn("op", F.lit("upsert")).write.parquet(folder + "/t/changes/commit=6/attempt=a")
     assert 7 not in [r["id"] for r in table.read().collect()]
 
 
+def test_commit_numbers_are_the_tables_own(spark, folder):
+    table = KeyedTable(spark, folder + "/t", "id INT, v STRING", ["id"])
+    table.create()
+    rows = lambda data: spark.createDataFrame(data, "id int, v string")
+    assert table.upsert(rows([(1, "a")]), writer="job") == 1
+    assert table.upsert(rows([(2, "b")]), writer="stream#0") == 2
+    assert table.upsert(rows([(2, "c")]), writer="stream#0") == 2  # the batch is repeated
+    with pytest.raises(ValueError):
+        table.upsert(rows([(9, "x")]), 1, writer="stream#1")  # another writer's number
+    table.compact(50)
+    for number in (2, 50):  # at or below the base
+        with pytest.raises(ValueError):
+            table.upsert(rows([(9, "x")]), number, writer="late")
+    assert table.upsert(rows([(3, "d")])) == 51
+    with pytest.raises(ValueError):
+        table.upsert(rows([(9, "x")]), 49)
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert table.change(rows([(1, "z")]), rows([(1, None), (3, None)])) == 52
+    assert sorted(map(tuple, table.read().collect())) == [(1, "z"), (2, "c")]
+
+
+def test_a_repeat_that_breaks_off_keeps_what_was_done(spark, folder):
+    table = KeyedTable(spark, folder + "/t", "id INT, v STRING", ["id"])
+    table.create()
+    good = spark.createDataFrame([(n, "a") for n in range(5)], "id int, v string")
+    table.upsert(good, 1)
+    with pytest.raises(Exception):
+        table.upsert(good.withColumn("v", F.raise_error(F.lit("down")).cast("string")), 1)
+    assert table.read().count() == 5
+
+
 def test_full_incremental_and_deletion(spark, folder):
     state = SyncState(spark, folder)
     state.create()
     options = JobOptions(at(20), start_time=at(1))
     first = [mail(id="a", last_modified=at(2)), mail(id="b", last_modified=at(3)), mail(id="old", last_modified=at(1) - dt.timedelta(9))]
     found = [attached(attachment_id="x", parent_id="a", last_modified=at(2))]
-    assert jobs.run_full_sync(boxes(spark, first, found), options, state, 1) == 3
+    assert jobs.run_full_sync(boxes(spark, first, found), options, state, 1) .documents == 3
     assert ids(state.index.read()) == ["a", "b", "x"]
     registered = {(r["id"], r["parent_id"], r["type"]) for r in state.registry.read().collect()}
     assert registered == {("a", "", "inbox mails"), ("b", "", "inbox mails"), ("x", "a", "mails attachments")}
@@ -82,7 +121,10 @@ def test_full_incremental_and_deletion(spark, folder):
         assert checkpoint(state, "mails") == NOW.strftime(RFC3339_PY)
 
     # Mail a and its attachment vanish.
-    left = boxes(spark, [mail(id="b", last_modified=at(21)), mail(id="c", last_modified=at(22))])
+    gone = [mail(id="b", last_modified=at(21)), mail(id="c", last_modified=at(22))]
+    without = boxes(spark, gone)
+    assert ids(jobs.deletion_sync(replace(without, attachments=None), state.registry.read(), later)[0]) == ["a"]
+    left = boxes(spark, gone)
     for _ in range(2):
         assert jobs.run_deletion_sync(left, later, state, 3) == 2
         assert ids(state.index.read()) == ["b", "c"] and ids(state.registry.read()) == ["b", "c"]
@@ -96,6 +138,11 @@ def test_deletion_window_and_guard(spark, folder):
     jobs.run_full_sync(mails, options, state, 1)
     with pytest.raises(RuntimeError):
         jobs.run_deletion_sync(mails, options, state, 2, scanned_accounts=spark.createDataFrame([], ACCOUNTS))
+    nobody = replace(mails, accounts=spark.createDataFrame([], ACCOUNTS))
+    other = replace(mails, accounts=spark.createDataFrame([("other@x", "UTC", "Office365")], ACCOUNTS))
+    for partial in (nobody, other):
+        with pytest.raises(RuntimeError):
+            jobs.run_deletion_sync(partial, options, state, 2)
     gone, left = jobs.deletion_sync(mails, state.registry.read(), options)
     assert ids(gone) == [] and ids(left) == ["a", "b"]
     gone, left = jobs.deletion_sync(mails, state.registry.read(), options, (at(5), NOW))
@@ -202,13 +249,17 @@ def test_index_requests(spark, folder):
 
     def send(batch):
         printed = [{k: v for k, v in d.items() if v is not None or k == "body"} for d in batch]
-        assert sum(len(str(d | {"_allow_permissions": list(d["_allow_permissions"])})) for d in printed) < 6000
+        assert sum(len(str(d)) for d in printed) < 6000
         return [{"id": d["id"], "errors": []} for d in batch]
 
-    sent = send_batches(requests, jobs.REQUEST, send, order="ord").collect()
+    sent = send_batches(requests.drop("oversized"), jobs.REQUEST, send, order="ord").collect()
     assert len(sent) == 230
-    small = jobs.index_requests(documents, at(1), NOW, 5, limit=100)
+    small = jobs.index_requests(documents, at(1), NOW, 5, limit=100, drop_oversized=True)
     assert small.filter("body IS NOT NULL").count() == 0 and small.count() == 230
+    # whole bodies, each oversized document in a request of its own
+    whole = jobs.index_requests(documents, at(1), NOW, 5, limit=100)
+    assert whole.filter("body IS NULL").count() == 0 and whole.filter("oversized").count() == 230
+    assert whole.select(*jobs.REQUEST).distinct().count() == 230
 
 
 def test_requests_hold_each_id_once(spark):
@@ -234,9 +285,10 @@ def test_remote_runs(spark, folder):
 
     options = JobOptions(NOW, start_time=at(1))
     full = boxes(spark, [mail(id="a", last_modified=at(2)), mail(id="b", last_modified=at(3))])
-    assert jobs.run_full_sync(full, options, state, 1, send=send) == 2
-    report = jobs.send_changes(state, 1, options, lambda rows: [{"id": r["id"], "errors": ["no"]} for r in rows]).collect()
-    assert [tuple(r) for r in report] == [("Inbox Mails", 2, 2, 0, "0 out of 2")]
+    assert jobs.run_full_sync(full, options, state, 1, send=send).documents == 2
+    report, issues = jobs.send_changes(state, 1, options, lambda rows: [{"id": r["id"], "errors": ["no"]} for r in rows])
+    assert [tuple(r) for r in report.collect()] == [("Inbox Mails", 2, 2, 0, "0 out of 2")]
+    assert sorted(map(tuple, issues.collect())) == [("mails", "a", "refused", "no"), ("mails", "b", "refused", "no")]
     left = boxes(spark, [mail(id="b", last_modified=at(3))])
     assert jobs.run_deletion_sync(left, options, state, 2, send=send) == 1
     assert {f: open(f"{folder}/sent/{f}").read() for f in os.listdir(folder + "/sent")} == {"a": "bodydelete", "b": "body"}
@@ -249,18 +301,64 @@ def test_remote_runs(spark, folder):
     assert ids(state.registry.read()) == ["b"]
 
 
-def test_stream_of_mails(spark, folder):
+def test_streams_over_a_full_sync(spark, folder):
     state = SyncState(spark, folder + "/state")
     state.create()
     options = JobOptions(NOW, start_time=at(1))
     found = [attached(attachment_id="x", parent_id="a", last_modified=at(2))]
-    sources = boxes(spark, [], found)
-    steps = [[mail(id="a", last_modified=at(2)), mail(id="a", last_modified=at(2))], [mail(id="b", last_modified=at(3))]]
-    for rows, expected in zip(steps, (["a", "x"], ["a", "b", "x"])):
+    sources = boxes(spark, [mail(id="kept", last_modified=at(2))], found)
+    jobs.run_full_sync(sources, options, state)
+    later = NOW + dt.timedelta(days=9)  # after the run's end, and long before its start: nothing is windowed away
+    steps = [
+        ([mail(id="a", last_modified=at(2)), mail(id="a", last_modified=at(2))], ["a", "kept", "x"]),
+        ([mail(id="b", last_modified=later), mail(id="c", last_modified=dt.datetime(2001, 1, 1))], ["a", "b", "c", "kept", "x"]),
+    ]
+    for rows, expected in steps:
         spark.createDataFrame(rows, MAILS).write.mode("append").parquet(folder + "/mails")
         stream = item_stream(spark, folder + "/mails", MAILS)
-        sync_available(stream, document_shape("mails", sources, options), state.index, folder + "/checkpoint")
-        assert ids(state.index.read()) == expected
+        sync_documents(stream, document_shape("mails", sources, options), state, options, folder + "/checkpoint")
+        assert ids(state.index.read()) == expected == ids(state.registry.read())
+    # an attachment that comes after its mail, and one of an unknown mail
+    late = [attached(attachment_id=n, parent_id=p, last_modified=later) for n, p in (("y", "b"), ("z", "nowhere"))]
+    spark.createDataFrame(late, ATTACHMENTS).write.parquet(folder + "/attachments")
+    stream = item_stream(spark, folder + "/attachments", ATTACHMENTS)
+    sync_documents(stream, attachment_shape("mails", state, sources, options), state, options, folder + "/checkpoint2")
+    assert ids(state.index.read()) == ["a", "b", "c", "kept", "x", "y"] == ids(state.registry.read())
+    assert state.index.read().filter("id = 'y'").first()["_allow_permissions"] == [OWNER]
+    spark.createDataFrame([("a",)], "id string").write.parquet(folder + "/gone")
+    delete_available(item_stream(spark, folder + "/gone", "id STRING"), state.index, folder + "/checkpoint3")
+    assert ids(state.index.read()) == ["b", "c", "kept", "x", "y"]
+
+
+def test_platforms_are_kept_apart(spark, folder):
+    state = SyncState(spark, folder)
+    state.create()
+    options = JobOptions(NOW, start_time=at(1))
+    both = boxes(spark, [mail(id="a", last_modified=at(2)), mail(id="p", account="prem@x", last_modified=at(3))])
+    both = replace(both, accounts=both.accounts.unionByName(spark.createDataFrame([("prem@x", "UTC", "Microsoft Exchange")], ACCOUNTS)))
+    jobs.run_full_sync(both, options, state)
+    assert ids(state.index.read()) == ["a"]
+    jobs.run_full_sync(both, replace(options, platform="Microsoft Exchange"), state)
+    assert ids(state.index.read()) == ["a", "p"]
+    assert {(r["id"], r["platform"]) for r in state.registry.read().collect()} == {("a", "Office365"), ("p", "Microsoft Exchange")}
+    assert jobs.run_deletion_sync(both, options, state) == 0
+
+
+def test_outcome_keeps_refused_and_undated(spark, folder):
+    state = SyncState(spark, folder)
+    state.create()
+    options = JobOptions(NOW, start_time=at(1))
+    mails = [mail(id="a", last_modified=at(2)), mail(id="b", last_modified=at(3)), mail(id="c", last_modified=None)]
+    found = [attached(attachment_id="x", parent_id="a", last_modified=None)]
+    refuse = lambda rows: [{"id": r["id"], "errors": ["no"] * (r["id"] == "b")} for r in rows]
+    outcome = jobs.run_full_sync(boxes(spark, mails, found), options, state, send=refuse)
+    assert sorted(map(tuple, outcome.issues.collect())) == [
+        ("mails", "b", "refused", "no"),
+        ("mails", "c", "quarantined", "no last_modified"),
+        ("mails", "x", "quarantined", "no last_modified"),
+    ]
+    assert ids(state.registry.read()) == ["a"] and outcome.documents == 2
+    assert [r["summary"] for r in outcome.report.collect()] == ["1 out of 2"]
 
 
 def test_retry():

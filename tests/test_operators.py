@@ -269,3 +269,21 @@ def test_checkpoints(spark):
 
 def test_read_or_empty(spark, folder):
     assert read_or_empty(spark, folder + "/none", REGISTRY).count() == 0
+
+
+def test_long_permission_lists_stay_out_of_the_pairs(spark):
+    from itemsync.operators import acl
+
+    rows = [("big", [f"u{n}@x" for n in range(10_000)]), ("gone", [f"v{n}@x" for n in range(10_000)]), ("big", ["v1@x"])]
+    identities = spark.createDataFrame(rows, "identity string, permissions array<string>")
+    accounts = spark.createDataFrame([("u5@x",), ("u7@x",)], "account string")
+    gone = acl.revoked_identities(identities, accounts)
+    assert sorted((r["identity"], len(r["permissions"])) for r in gone.collect()) == [("big", 1), ("gone", 10_000)]
+
+
+def test_upsert_plan_takes_one_row_per_key(spark):
+    from itemsync.sinks.keyed import upserted
+
+    target = spark.createDataFrame([(1, "a"), (2, "a")], "id int, v string")
+    rows = spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    assert sorted(map(tuple, upserted(target, rows, ["id"]).collect())) == [(1, "c"), (2, "a")]
