@@ -30,7 +30,7 @@ Template = Callable[[list[Turn]], str]
 #: Control strings of the template and of kindred ones (fixed values).
 BEGIN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 CONTROLS = [BEGIN, TEXT, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>"]
-SENTINEL = ""
+SENTINEL = "\ue000"
 SEGMENT = 64
 
 _CONTROL = re.compile("|".join(f"(?<={re.escape(c[0])})(?={re.escape(c[1:])})" for c in CONTROLS))

@@ -1,0 +1,100 @@
+import hashlib
+import re
+
+from itemsync.llm import decontaminate, licenses
+from itemsync.llm.common import alnum_words
+from tests.llm.conftest import nasty_texts, prose
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def test_words_follow_the_rule():
+    for _, text in nasty_texts():
+        assert [w.decode() for w in alnum_words(text)] == words(text)
+
+
+def brute(docs, items, window=10):
+    windows = {}
+    for item_id, text in items:
+        w = words(text)
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            windows.setdefault(tuple(w[k : k + window]), set()).add("" if item_id is None else str(item_id))
+    out = []
+    for doc_id, text in docs:
+        w, hit, ids = words(text), set(), set()
+        for key, found in windows.items():
+            for k in range(len(w) - len(key) + 1):
+                if tuple(w[k : k + len(key)]) == key:
+                    hit.update(range(k, k + len(key)))
+                    ids |= found
+        digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        out.append((doc_id is None, doc_id or 0, len(w), len(hit), len(ids), digest, bool(hit)))
+    return sorted(out)
+
+
+ITEMS = [
+    (1, prose(2, 70)),
+    (10, " ".join(prose(2, 70).split()[5:25]).upper()),
+    (2, "One, two"),
+    (2, "three"),
+    (3, None),
+    (4, "--- ,"),
+    (5, prose(77, 30)),
+    (None, "a b c a b c a b c a"),
+]
+
+
+def test_contamination_matches_brute_force(spark, nasty):
+    items = spark.createDataFrame([(*i, "x") for i in ITEMS], "item_id bigint, text string, doc_id string")
+    expected = brute(nasty_texts(), ITEMS)
+    for block_bytes in (1 << 20, 300):  # one automaton, and several passes
+        rows = decontaminate.contamination(nasty, items, block_bytes=block_bytes).collect()
+        assert sorted((r[0] is None, r[0] or 0, *r[1:]) for r in rows) == expected
+
+
+def test_scan_offsets_map_to_the_original(spark, nasty):
+    items = spark.createDataFrame([(1, prose(2, 70))], "item_id bigint, text string")
+    for r in decontaminate.scan(nasty.select("doc_id", "text"), items).where("size(hits) > 0").collect():
+        for h in r.hits:
+            assert words(r.text[h.begin : h.end]) == words(r.text)[h.first : h.last + 1]
+
+
+def test_no_items_and_no_documents(spark, nasty, empty):
+    items = spark.createDataFrame([], "item_id bigint, text string")
+    assert not any(r.contaminated for r in decontaminate.contamination(nasty, items).collect())
+    assert decontaminate.contamination(empty, items).count() == 0
+
+
+PLACES = [
+    ("Released under the MIT License.", ["mit"], "mit"),
+    ("see GNU-General Public\nLicense, cc-by", ["gpl", "cc-by"], "cc-by,gpl"),
+    ("gnu genral public licence", [], "gpl"),
+    ("Apache Lisence 2.0", [], "apache"),
+    ("smit license", [], "mit"),
+    ("the permit license", [], ""),
+    ("mit", [], ""),
+    ("", [], ""),
+]
+
+
+def test_license_places():
+    for text, base, labels in PLACES:
+        n, found, fuzzy = licenses.find(text)
+        assert sorted(label for _, label in found) == sorted(base)
+        assert ",".join(sorted({*base, *(f[2] for f in fuzzy)})) == labels, text
+        assert n == len(words(text))
+
+
+def test_fuzzy_span():
+    _, _, fuzzy = licenses.find("under the gnu genral public licence of")
+    assert ("gpl", 2, 5, 2) in [(label, a, b, e) for a, b, label, e, _ in fuzzy]
+
+
+def test_license_rows(nasty, empty):
+    rows = licenses.digests(nasty).collect()
+    assert len(rows) == len(nasty_texts()) and licenses.digests(empty).count() == 0
+    assert all(r.n_base == 0 and r.first_word is None and r.base_labels == "" and 0 <= r.score <= 1 for r in rows)
