@@ -122,7 +122,8 @@ def _log_distance(squared: Column) -> Column:
 def _core(distances: DataFrame) -> DataFrame:
     """The rows of each group (``squared`` is theirs) within the distance that ``CORE`` percent keep."""
     limits = _quantiles(distances.select("group", _log_distance(F.col("squared")).alias("v")), ["group"], [CORE / 100])
-    return distances.join(limits, "group").where(_log_distance(F.col("squared")) <= F.col("q0"))
+    # stored, so that the join has plain scans on both sides and can split a large group
+    return distances.join(written(limits, "limits"), "group").where(_log_distance(F.col("squared")) <= F.col("q0"))
 
 
 def _start(vectors: DataFrame) -> DataFrame:
@@ -142,7 +143,7 @@ def _start(vectors: DataFrame) -> DataFrame:
         )
         for i, x in enumerate(STATISTICS)
     )
-    return vectors.join(wide, "group").select("group", *STATISTICS, squared.alias("squared"))
+    return vectors.join(written(wide, "quartiles"), "group").select("group", *STATISTICS, squared.alias("squared"))
 
 
 def _estimate(core: DataFrame) -> DataFrame:
