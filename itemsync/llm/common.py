@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from itemsync.session import shared_dir
+from itemsync.session import work_dir
 
 #: Rows of one Arrow batch that a Python task holds at a time; long texts make wider rows.
 ROWS_PER_BATCH = 256
@@ -69,7 +69,7 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder that the cluster names."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

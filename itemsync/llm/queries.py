@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.llm import chat, decontaminate, licenses, lm, mixing, quality, simhash, substring, toxicity, warc
+from itemsync.llm import chat, decontaminate, licenses, lm, mixing, quality, simhash, sql, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,5 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": quality_rules,
 }
 
-#: SQL twins, for the queries that DuckDB expresses.
-SQL: dict[str, str] = {}
+#: SQL twins. The others hash as DuckDB does not, train a model, match fuzzily or iterate; tests hold them to brute force.
+SQL: dict[str, str] = {
+    "op5_decontaminate": sql.CONTAMINATION,
+    "op6_chat": sql.CHAT,
+    "op7_warc": sql.WARC,
+    "op8_substring": sql.SUBSTRING,
+    "op9_mixing": sql.mixing(SHARES, 10, mixing.BLOCK_ROWS),
+}
