@@ -62,7 +62,7 @@ def timed(query, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
     spark = local_session(cpus, "itemsync-bench")

@@ -16,7 +16,7 @@ from itemsync.plans import bindings as b
 from itemsync.plans import jobs
 from itemsync.plans.jobs import Mailboxes
 from itemsync.schemas import ATTACHMENT_TYPES, PLATFORM_CLOUD, PLATFORM_ON_PREM
-from itemsync.session import cut_lineage, shared_dir
+from itemsync.session import cut_lineage, work_dir
 from itemsync.sinks.keyed import KeyedTable, removed, upserted
 from itemsync.sources import mapping, tables
 from itemsync.streaming.incremental import document_shape, item_stream, sync_available, sync_documents
@@ -396,7 +396,7 @@ def permission_snapshot(spark, folder):
 def keyed_table(spark, folder):
     """Three commits to a stored table, then its current rows."""
     target, rows = _named(spark, folder)
-    table = KeyedTable(spark, f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}", "id BIGINT, name STRING", ["id"])
+    table = KeyedTable(spark, f"{work_dir(spark)}/{uuid.uuid4()}", "id BIGINT, name STRING", ["id"])
     table.create()
     table.upsert(target)
     table.upsert(rows)
@@ -492,7 +492,7 @@ def permission_sync_plan(spark, folder):
 
 def incremental_stream(spark, folder):
     """New event files as a stream of items, shaped and applied batch by batch, none of them cut by a window."""
-    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}"
+    place = f"{work_dir(spark)}/{uuid.uuid4()}"
     schema = b.table(spark, folder, "events").schema
     state = KeyedTable(spark, f"{place}/index", "id BIGINT, title STRING, created_at STRING", ["id"], ["created_at"])
     state.create()
@@ -507,7 +507,7 @@ def incremental_stream(spark, folder):
 
 def stream_documents(spark, folder):
     """Mails that arrive in several files and two runs, over an index that holds a full sync of some of them."""
-    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}"
+    place = f"{work_dir(spark)}/{uuid.uuid4()}"
     state = jobs.SyncState(spark, f"{place}/state")
     state.create()
     texts = b.table(spark, folder, "documents")
@@ -534,7 +534,7 @@ def object_selection(spark, folder):
 
 def mapping_file(spark, folder):
     """The user mapping read from a file; of several lines of a user the last by target wins."""
-    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}/mapping"
+    place = f"{work_dir(spark)}/{uuid.uuid4()}/mapping"
     orders = b.table(spark, folder, "orders").filter("o_orderpriority <> '5-LOW'").groupBy("o_custkey")
     lines = orders.agg(F.max("o_orderkey").alias("last")).select(
         b.user(F.col("o_custkey")).alias("source"), b.prefixed("target", F.col("last")).alias("target")
@@ -545,7 +545,7 @@ def mapping_file(spark, folder):
 
 def run_outcome(spark, folder):
     """A run that sends to an index which refuses some documents: issues, registry, report and checkpoint."""
-    place = f"{shared_dir(spark)}/itemsync/{uuid.uuid4()}"
+    place = f"{work_dir(spark)}/{uuid.uuid4()}"
     state = jobs.SyncState(spark, place)
     state.create()
     undated = F.when(~b.every("id_number", 50), F.col("last_modified"))

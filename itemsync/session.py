@@ -49,6 +49,17 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def work_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables, within the shared folder."""
+    return f"{shared_dir(spark)}/itemsync-{spark.sparkContext.applicationId}"
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove the intermediate tables, once the results that read them are stored elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back as a fresh plan."""
     context = df.sparkSession.sparkContext
