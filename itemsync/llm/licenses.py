@@ -59,7 +59,10 @@ class Notice:
     def __init__(self, text: str, label: str, errors: int):
         self.text, self.label, self.errors = text, label, errors
         self.seeds = seeds(text, errors)
-        self.pattern = regex.compile(f"(?<![^ ])(?:{regex.escape(text)}){{e<={errors}}}(?![^ ])", regex.BESTMATCH)
+        fuzzy = f"(?:{regex.escape(text)}){{e<={errors}}}"
+        self.pattern = regex.compile(f"(?<![^ ]){fuzzy}(?![^ ])", regex.BESTMATCH)
+        # the library puts no letter in before the first or behind the last one
+        self.inner = regex.compile(fuzzy, regex.BESTMATCH)
 
     def find(self, joined: str) -> list[tuple[int, int, int]]:
         """(begin, end, errors) of each place, best first where places overlap within one candidate."""
@@ -72,11 +75,22 @@ class Notice:
                 at = joined.find(seed, at + 1)
         out, done = [], 0
         for begin, end in _merged(areas):
-            for m in self.pattern.finditer(joined, max(begin, 0), min(end, len(joined)), overlapped=False):
-                if m.end() > m.start() and m.start() >= done:
-                    out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-                    done = m.end()
-        return out
+            area = (max(begin, 0), min(end, len(joined)))
+            found = [(m.start(), m.end(), sum(m.fuzzy_counts)) for m in self.pattern.finditer(joined, *area)]
+            found += [p for m in self.inner.finditer(joined, *area) if (p := self._whole_words(joined, m))]
+            for place in sorted(found, key=lambda p: (p[2], p[0])):
+                if place[1] > place[0] and all(place[1] <= a or b <= place[0] for a, b, _ in out[done:]):
+                    out.append(place)
+            done = len(out)
+        return sorted(out)
+
+    def _whole_words(self, joined: str, match: regex.Match) -> tuple[int, int, int] | None:
+        """The match widened to whole words, if the letters put in leave it within its errors."""
+        begin = joined.rfind(" ", 0, match.start()) + 1
+        end = joined.find(" ", match.end())
+        end = len(joined) if end < 0 else end
+        errors = sum(match.fuzzy_counts) + match.start() - begin + end - match.end()
+        return (begin, end, errors) if errors <= self.errors and match.end() > match.start() else None
 
 
 def _merged(areas: list[list[int]]) -> list[list[int]]:
