@@ -8,12 +8,14 @@ First pass: every partition counts its documents' keys in a count-min sketch; th
 sketches are summed. A key's estimate is never below the number of documents that
 hold it, so a window in two documents always has an estimate of two or more.
 Second pass: only runs of windows with such keys are grouped, exactly, by a 128-bit
-hash of their words. Runs equal as a whole are one class, however many documents
-hold it; only where a key has several classes are their windows listed one by one.
+hash of their words. Runs equal as a whole are one class; all its documents but the
+least lose the run. Where a key has several classes, the windows of each class's
+least document are listed and grouped one by one, as another class may hold them.
 
 The sketch is ``depth`` rows of ``width`` one-byte counters that stop at two. The
 width follows the input up to ``MOST_WIDTH``; beyond it more windows than needed
-reach the second pass, with the same result.
+reach the second pass, with the same result. Texts meet what was found in them by
+joins; a bitmap of bounded size lets most texts without finds pass by.
 
 Rows of equal doc_id do not remove each other's words. A row with a null doc_id
 keeps its text and removes nothing. Null and empty texts have no words. Repeated
@@ -42,6 +44,10 @@ LEAST_WIDTH, MOST_WIDTH = 1 << 16, 1 << 26
 CHARS_PER_COUNTER = 32
 #: Words whose hashes a task keeps at hand; beyond it starts anew.
 CACHE_WORDS = 300_000
+#: Keys that are counted at a time.
+COUNTED = 500_000
+#: Bits of the bitmap that tells which texts may have finds, as a power of two.
+BITMAP_BITS = 23
 
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
@@ -88,6 +94,20 @@ def window_keys(words: list[bytes], known: _Words, window: int, gram: int) -> np
     return _least(_grams(values, gram), window - gram + 1)
 
 
+def window_marks(words: list[bytes], known: _Words, window: int) -> np.ndarray:
+    """A 64-bit hash of every window, in order; windows are only compared under equal keys."""
+    values = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    out, at, size = np.zeros(len(words) - window + 1, np.uint64), 0, 1
+    for bit in range(window.bit_length()):  # the window in runs of powers of two
+        if window >> bit & 1:
+            out = _mixed(out * np.uint64(_MULTIPLIERS[0]) + values[at : at + len(out)] + np.uint64(bit))
+            at += size
+        step = values[:-size] * np.uint64(_MULTIPLIERS[bit % 3]) if len(values) > size else values[:0]
+        values = _mixed(step + values[size:])
+        size *= 2
+    return out
+
+
 def _cells(keys: np.ndarray, width: int, row: int) -> np.ndarray:
     return (_mixed(keys * np.uint64(_MULTIPLIERS[row] | 1)) & np.uint64(width - 1)).astype(np.int64)
 
@@ -104,7 +124,7 @@ class Sketch:
             self.counts = np.frombuffer(bytearray(raw), np.uint8).reshape(depth, width)
 
     def add(self, keys: np.ndarray) -> None:
-        """Count each of distinct keys once."""
+        """Count keys, each as often as it is given."""
         for row in range(self.depth):
             cells, n = np.unique(_cells(keys, self.width, row), return_counts=True)
             self.counts[row, cells] = np.minimum(self.counts[row, cells] + np.minimum(n, 2), 2)
@@ -133,12 +153,18 @@ def sketched(docs: DataFrame, window: int, gram: int, width: int, depth: int) ->
     texts = docs.where("doc_id is not null and text is not null").select("text")
 
     def count(batches):
-        sketch, known = Sketch(width, depth), _Words()
+        sketch, known, held, n = Sketch(width, depth), _Words(), [], 0
         for batch in batches:
             for text in batch["text"]:
                 keys = window_keys(blank_words(text), known, window, gram)
                 if len(keys):
-                    sketch.add(np.unique(keys))
+                    held.append(np.unique(keys[[a for a, _ in _runs(keys)]]))
+                    n += len(held[-1])
+                if n > COUNTED:
+                    sketch.add(np.concatenate(held))
+                    held, n = [], 0
+        if held:
+            sketch.add(np.concatenate(held))
         yield {"sketch": [sketch.packed()]}
 
     def merge(a: bytes, b: bytes) -> bytes:
@@ -188,47 +214,63 @@ def suspects(docs: DataFrame, sketch, window: int, gram: int, width: int, depth:
     return map_rows(rows, run, RUNS)
 
 
+LISTED = "key bigint, mark bigint, doc_id bigint, text_key bigint, place int"
+
+
 def _listed(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The windows of the runs in ``wanted`` (doc_id, text_key, same, first, n), one by one."""
+    """The windows of the runs ``wanted`` (doc_id, text_key, runs of key, first, n), one by one."""
 
     def run(batches):
+        known = _Words()
         for batch in batches:
-            for same, first, n, text in zip(batch["same"], batch["first"], batch["n"], batch["text"]):
-                words = blank_words(text)
-                marks = [xxhash.xxh3_128_digest(b" ".join(words[a : a + window])) for a in range(first, first + n)]
-                yield {"same": [same] * n, "at": [*range(n)], "mark": marks}
-
-    rows = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    met = rows.join(wanted, ["doc_id", "text_key"]).select("same", "first", "n", "text")
-    return map_rows(met, run, "same binary, at int, mark binary")
-
-
-def _classes(runs: DataFrame) -> DataFrame:
-    """Stored classes of equal runs that share their key: key, same, least (doc_id), several, and one place."""
-    classes = runs.groupBy("key", "same").agg(
-        F.min("doc_id").alias("least"),
-        F.max("doc_id").alias("most"),
-        F.min(F.struct("doc_id", "text_key", "first", "n")).alias("place"),
-    )
+            for doc_id, text_key, runs, text in zip(*(batch[c] for c in ("doc_id", "text_key", "runs", "text"))):
+                marks = window_marks(blank_words(text), known, window).view(np.int64)
+                places = np.concatenate([np.arange(r["first"], r["first"] + r["n"]) for r in runs])
+                keys = np.repeat([r["key"] for r in runs], [r["n"] for r in runs])
+                yield {
+                    "key": keys,
+                    "mark": marks[places],
+                    "doc_id": np.full(len(places), doc_id),
+                    "text_key": np.full(len(places), text_key),
+                    "place": places.astype(np.int32),
+                }
+
+    return map_rows(_met(docs, ["text"], wanted, found_only=True).select("doc_id", "text_key", "runs", "text"), run, LISTED)
+
+
+def _met(docs: DataFrame, columns: list, finds: DataFrame, found_only: bool = False) -> DataFrame:
+    """``columns`` of every row, its doc_id and text_key, and what ``finds`` has for it (null: nothing).
+
+    Rows that the bitmap of finds rules out are not joined.
+    """
+    slots = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(1 << BITMAP_BITS))
+    bits = finds.select(slots.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
+    bits = written(bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")), "bits")
+    rows = docs.select(*columns, "doc_id", F.xxhash64("text").alias("text_key")).withColumn("slot", slots)
+    rows = rows.withColumn("bucket", F.expr("bitmap_bucket_number(slot)"))
+    # 4 KB for each of 1 << (BITMAP_BITS - 15) buckets at most, whatever the input
+    marked = rows.join(F.broadcast(bits), "bucket", "left")
+    spot = "CAST(bitmap_bit_position(slot) AS INT)"
+    byte = f"CAST(conv(hex(substring(bits, {spot} DIV 8 + 1, 1)), 16, 10) AS INT)"
+    may = F.coalesce(F.expr(f"shiftright({byte}, {spot} % 8) & 1") == 1, F.lit(False)) & F.col("doc_id").isNotNull()
+    marked = marked.withColumn("may", may).drop("bucket", "slot", "bits")
+    joined = marked.where("may").drop("may").join(finds, ["doc_id", "text_key"], "inner" if found_only else "left")
+    if found_only:
+        return joined
+    rest = [c for c in finds.columns if c not in ("doc_id", "text_key")]
+    none = {c: F.lit(None).cast(finds.schema[c].dataType) for c in rest}
+    return joined.unionByName(marked.where("not may").drop("may").withColumns(none))
+
+
+def _shared(runs: DataFrame) -> DataFrame:
+    """Stored classes of equal runs that some other run may share a window with: key, same, least, crowded."""
+    classes = runs.groupBy("key", "same").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     classes = written(classes, "classes")
     sizes = written(classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "crowded")
-    several = F.col("key_of").isNotNull()
-    met = classes.join(sizes.withColumnRenamed("key", "key_of"), F.col("key") == F.col("key_of"), "left")
+    met = classes.join(sizes.withColumn("crowded", F.lit(True)), "key", "left")
+    crowded = F.coalesce("crowded", F.lit(False))
     # a run that one document alone holds, under a key of its own, was overestimated
-    return met.where(several | (F.col("least") < F.col("most"))).select("same", "least", "place", several.alias("several"))
-
-
-def _first_holders(docs: DataFrame, classes: DataFrame, window: int) -> DataFrame:
-    """same, least, holders: per window of a class under a crowded key, the least doc_id that holds it."""
-    crowded = classes.where("several")
-    wanted = written(crowded.select("same", "place.*"), "wanted")
-    listed = written(_listed(docs, wanted, window), "windows").dropDuplicates(["same", "at"])
-    least = crowded.select("same", "least")
-    own = listed.join(least, "same")
-    holders = own.groupBy("mark").agg(F.min("least").alias("holder"), F.count("*").alias("c")).where("c > 1").drop("c")
-    met = own.join(written(holders, "holders"), "mark", "left")
-    at = F.struct("at", F.coalesce("holder", "least").alias("holder"))
-    return met.groupBy("same").agg(F.collect_list(at).alias("holders"))
+    return written(met.where(crowded | (F.col("least") < F.col("most"))).select("key", "same", "least", crowded.alias("crowded")), "shared")
 
 
 def removals(
@@ -240,20 +282,20 @@ def removals(
         width = width_for(docs.agg(F.sum(F.length("text"))).first()[0] or 0)
     sketch = spark.sparkContext.broadcast(sketched(docs, window, gram, width, depth))
     runs = written(suspects(docs, sketch, window, gram, width, depth), "runs")
-    classes = written(_classes(runs), "shared")
-    holders = written(_first_holders(docs, classes, window), "firsts")
-    known = classes.join(holders, "same", "left").select("same", "least", "holders")
-    met = runs.join(written(known, "known"), "same")
-    whole = F.col("holders").isNull()
-    later = F.expr("transform(filter(holders, h -> h.holder < doc_id), h -> h.at)")
-    at = F.when(whole, F.when(F.col("doc_id") > F.col("least"), F.array(F.lit(0)))).otherwise(later)
-    cut = F.struct(
-        (F.col("first") + F.col("at")).alias("first"),
-        (F.col("first") + F.when(F.col("whole"), F.col("n") - 1).otherwise(F.col("at")) + (window - 1)).alias("last"),
+    met = written(runs.join(_shared(runs), ["key", "same"]).drop("same"), "met")
+    whole = met.where("doc_id > least").select(
+        "doc_id", "text_key", "first", (F.col("first") + F.col("n") + (window - 2)).alias("last")
+    )
+    own = met.where("crowded and doc_id = least").groupBy("doc_id", "text_key")
+    wanted = written(own.agg(F.collect_list(F.struct("key", "first", "n")).alias("runs")), "wanted")
+    listed = written(_listed(docs, wanted, window), "windows")
+    holders = listed.groupBy("key", "mark").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("most"))
+    holders = written(holders.where("holder < most").drop("most"), "holders")
+    later = listed.join(holders, ["key", "mark"]).where("holder < doc_id").select(
+        "doc_id", "text_key", F.col("place").alias("first"), (F.col("place") + (window - 1)).alias("last")
     )
-    cuts = met.select("doc_id", "text_key", "first", "n", whole.alias("whole"), F.explode(at).alias("at"))
-    gathered = cuts.select("doc_id", "text_key", cut.alias("cut")).distinct().groupBy("doc_id", "text_key")
-    return written(gathered.agg(F.collect_list("cut").alias("cuts")), "cuts")
+    cuts = whole.unionAll(later).groupBy("doc_id", "text_key")
+    return written(cuts.agg(F.collect_list(F.struct("first", "last")).alias("cuts")), "cuts")
 
 
 def removed_words(n_words: int, cuts: list[dict] | None) -> list[bool]:
@@ -283,14 +325,6 @@ def without(text: str | None, cuts: list[dict] | None) -> str | None:
     return (head + b"".join(kept)).decode("utf-8", "surrogatepass")
 
 
-def _met(docs: DataFrame, columns: list, parameters: dict) -> DataFrame:
-    """``columns`` of every row with its ``cuts``, null if there are none."""
-    cuts = removals(docs, **parameters).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "cuts")
-    rows = docs.select(*columns, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"))
-    same = (F.col("_id") == F.col("_d")) & (F.col("_key") == F.col("_t"))
-    return rows.join(cuts, same, "left").drop("_id", "_key", "_d", "_t")
-
-
 def deduplicated(docs: DataFrame, **parameters) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 of the words that stay."""
 
@@ -308,12 +342,13 @@ def deduplicated(docs: DataFrame, **parameters) -> DataFrame:
             yield {"doc_id": batch["doc_id"], "n_words": n_words, "n_removed": n_removed, "kept_sha256": digests}
 
     kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return map_rows(_met(docs, [F.col("doc_id"), F.col("text")], parameters), run, kind)
+    return map_rows(_met(docs, ["text"], removals(docs, **parameters)).select("doc_id", "text", "cuts"), run, kind)
 
 
 def cleaned(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with later copies of passages removed from ``text``; an ``n_chars`` column follows."""
-    met = _met(docs, [F.struct("*").alias("row"), F.col("text").alias("_text")], parameters)
+    columns = [F.struct("*").alias("row"), F.col("text").alias("_text")]
+    met = _met(docs, columns, removals(docs, **parameters)).select("row", "_text", "cuts")
 
     def run(batches):
         for batch in batches:
