@@ -11,14 +11,14 @@ SPAN = (dt.datetime(2022, 4, 1), dt.datetime(2022, 4, 21))
 OWNER = "abc@xyz.com"
 
 
-def accounts(spark, zone="UTC"):
-    return spark.createDataFrame([(OWNER, zone, "Office365")], ACCOUNTS)
+def accounts(spark, zone="UTC", platform="Office365"):
+    return spark.createDataFrame([(OWNER, zone, platform)], ACCOUNTS)
 
 
 def documents(spark, name, rows, schema, found=(), platform="Office365", zone="UTC", span=SPAN, **options):
     chosen = JobOptions(NOW, platform=platform, **options)
     sources = Mailboxes(
-        accounts(spark, zone),
+        accounts(spark, zone, platform),
         attachments=spark.createDataFrame(list(found), ATTACHMENTS),
         **{name: spark.createDataFrame(rows, schema)},
     )
