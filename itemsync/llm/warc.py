@@ -34,6 +34,8 @@ from itemsync.llm.common import fresh_folder, map_rows, prepared, utf8, written
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 64 << 20
 LEVEL = 3
+#: Bytes of records that one task reads back.
+READ_BYTES = 16 << 20
 
 #: Of the seekable format (fixed values).
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -230,7 +232,8 @@ def read(index: DataFrame, folder: str | None = None, payloads: bool = True) ->
     """
     spark = prepared(index.sparkSession)
     where = folder or fresh_folder(spark, "warc")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    total = index.agg(F.sum("raw_size")).first()[0] or 0
+    parts = max(1, -(-total // READ_BYTES))
 
     def run(batches) -> Iterator[dict]:
         fs, _ = storage(where)
