@@ -12,8 +12,9 @@ sums of whole numbers, so a result depends neither on the order of rows nor on h
 they are dealt out, and a group of any size takes a bounded table.
 
 Null and empty texts have no words and fail the base rules. Null languages and
-sources are groups of their own. A group of fewer than ``least_rows`` passing
-documents has no estimate and keeps them all. Repeated rows count each.
+sources are groups of their own. A group of fewer than ``LEAST_ROWS`` passing
+documents takes the estimate of all of its language, and that of all rows where the
+language has fewer, so every passing document has a distance. Repeated rows count each.
 Rows of equal vectors get equal verdicts. ``judged`` keeps all columns and adds its
 own as one struct, so no name can clash.
 """
@@ -43,6 +44,8 @@ CORE = 75
 CONSISTENCY = 1.485
 STEPS = 3
 LEAST_ROWS = 50
+#: Name of the group of all rows.
+ALL = "all"
 #: Squared Mahalanobis distance beyond which a document is rejected.
 CUT = 300.0
 #: Squared distances are counted by their logarithm, in steps of 1 / DISTANCE_GRID.
@@ -201,14 +204,32 @@ def estimates(vectors: DataFrame, steps: int = STEPS, least_rows: int = LEAST_RO
     return found
 
 
+def _by_group(vectors: DataFrame, steps: int, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """Stored estimate of every group: its own, its language's or that of all rows, the first of ``least_rows`` rows.
+
+    That of all rows has whatever rows there are.
+    """
+    sizes = written(vectors.groupBy("group", "language").agg(F.count("*").alias("n")), "sizes")
+    languages = written(sizes.groupBy("language").agg(F.sum("n").alias("m")), "languages")
+    level = F.when(F.col("n") >= least_rows, F.col("group")).when(F.col("m") >= least_rows, F.col("language"))
+    used = sizes.join(languages, "language").select("group", F.coalesce(level, F.lit(ALL)).alias("used"))
+    used = written(used, "used")
+    levels = F.explode(F.array("group", "language", F.lit(ALL))).alias("group")
+    wanted = written(used.select(F.col("used").alias("group")).distinct(), "wanted")
+    learned = written(vectors.select(levels, *STATISTICS).join(wanted, "group"), "learned")
+    found = estimates(learned, steps, least_rows=0).withColumnRenamed("group", "used")
+    return written(used.join(found, "used").drop("used"), "estimates")
+
+
 def judged(docs: DataFrame, keep: list[str] | None = None, cut: float = CUT, steps: int = STEPS) -> DataFrame:
     """``row``, lang, source, the base counts, base_failed, squared (the distance, null without one), kept."""
     base = measured(docs, keep)
     group = F.struct(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in GROUP), F.col("lang").isNull(), F.col("source").isNull())
     exact = [F.round(s * GRID).cast("int").alias(n) for s, n in zip(_statistics(), STATISTICS)]
     base = written(base.select("*", F.to_json(group).alias("group"), *exact), "measured")
-    vectors = written(base.where("not base_failed").select("group", *STATISTICS), "vectors")
-    found = estimates(vectors, steps)
-    met = base.join(found, "group", "left").withColumn("squared", _squared())
+    language = F.to_json(F.struct(F.coalesce("lang", F.lit("")).alias("lang"), F.col("lang").isNull()))
+    vectors = base.where("not base_failed").select("group", language.alias("language"), *STATISTICS)
+    vectors = written(vectors, "vectors")
+    met = base.join(_by_group(vectors, steps), "group", "left").withColumn("squared", _squared())
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("squared") > cut, F.lit(False))
     return met.select(*base.columns[:-5], "squared", kept.alias("kept"))

@@ -47,6 +47,20 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert kept == set(range(300))
 
 
+def test_small_groups_are_judged(spark):
+    """Sources of 1 to 20 rows, in a large language and in small ones: no group is too small for a distance."""
+    langs = ["en"] * 6 + ["fr", None, "de", "es"]
+    rows = [(n, prose(n, 80 + n % 40), langs[n % 10], f"s{n % 23}") for n in range(230)]
+    rows += [
+        (1000 + n, " ".join(w + "###" for w in prose(n, 90).split()), lang, f"t{n}")
+        for n, lang in enumerate(["en", "en", "fr", None, "new"])
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    found = quality.judged(docs, keep=["doc_id"]).collect()
+    assert all(r.squared is not None for r in found)
+    assert {r.row.doc_id for r in found if r.kept} == set(range(230))
+
+
 def test_estimate_resists_a_fifth_of_outliers(spark):
     """Mean and factor of the core against numpy, on vectors of which a fifth lie far off.
 
