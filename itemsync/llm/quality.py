@@ -36,8 +36,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: Statistics are held as whole multiples of 1 / GRID.
 GRID = 1024
 STATISTICS = ("x0", "x1", "x2", "x3")
-#: Least standard deviation of a statistic, so that one that hardly varies does not decide alone.
-FLOORS = (0.05, 0.05, 0.1, 0.2)
+#: Least standard deviation of a statistic. Most rows have no symbols and no repeats, so the floors say there what
+#: is far: a symbol in four words, 40 % repeated lines, half of the words repeated. One repeated line of many is not.
+FLOORS = (0.05, 0.05, 0.37, 0.41)
 #: Percent of a group's rows in the core, the subset of least covariance determinant.
 CORE = 75
 #: Makes the core's covariance that of all rows if they are normal, for 4 statistics and a core of 75 %.
@@ -46,8 +47,8 @@ STEPS = 3
 LEAST_ROWS = 50
 #: Name of the group of all rows.
 ALL = "all"
-#: Squared Mahalanobis distance beyond which a document is rejected.
-CUT = 300.0
+#: Squared Mahalanobis distance beyond which a document is rejected: chi-square of 4 statistics, 99.9 %.
+CUT = 18.467
 #: Squared distances are counted by their logarithm, in steps of 1 / DISTANCE_GRID.
 DISTANCE_GRID = 64
 

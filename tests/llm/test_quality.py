@@ -47,6 +47,23 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert kept == set(range(300))
 
 
+def test_symbol_spam_and_repeated_lines_go(spark):
+    """One symbol a word and 40 % repeated lines are far; a repeated line of twelve and a few symbols are not."""
+    lines = lambda n, k: [prose(1000 * n + i, 12) for i in range(k)]
+    rows = [(n, "\n".join(lines(n, 8 + n % 5))) for n in range(200)]
+    rows += [(200 + n, "\n".join([*(own := lines(300 + n, 11)), own[0]])) for n in range(8)]
+    rows += [(210 + n, prose(n, 90).replace(",", "&", 3)) for n in range(8)]
+    clean = {n for n, _ in rows}
+    rows += [(1000 + n, " ".join(w + "#" for w in prose(n, 90).split())) for n in range(12)]
+    for n in range(12):  # 10 lines, 4 of them repeats of one
+        own = lines(600 + n, 6)
+        rows.append((2000 + n, "\n".join([*own, *[own[0]] * 4])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "'en' lang", "'a' source").repartition(5)
+    found = quality.judged(docs, keep=["doc_id"]).collect()
+    assert not any(r.base_failed for r in found)
+    assert {r.row.doc_id for r in found if r.kept} == clean
+
+
 def test_small_groups_are_judged(spark):
     """Sources of 1 to 20 rows, in a large language and in small ones: no group is too small for a distance."""
     langs = ["en"] * 6 + ["fr", None, "de", "es"]
