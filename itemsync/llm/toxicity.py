@@ -55,7 +55,7 @@ def tokens(text: str | None) -> list[str]:
 
 def edits_for(term: str) -> int:
     """Edits that a misspelt term may hold."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class Lexicon:
@@ -65,6 +65,7 @@ class Lexicon:
         self.terms = terms
         self.children: list[dict[str, int]] = [{}]
         self.final: list[int] = [-1]
+        self.stem: list[int] = [-1]
         self.least: list[int] = [0]  # edits that some term below a node allows
         for number, (term, stem) in enumerate(terms):
             node, allowed = 0, 0 if stem else edits_for(term)
@@ -73,11 +74,12 @@ class Lexicon:
                     self.children[node][char] = len(self.children)
                     self.children.append({})
                     self.final.append(-1)
+                    self.stem.append(-1)
                     self.least.append(0)
                 self.least[node] = max(self.least[node], allowed)
                 node = self.children[node][char]
             self.least[node] = max(self.least[node], allowed)
-            self.final[node] = number
+            (self.stem if stem else self.final)[node] = number
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
@@ -116,12 +118,12 @@ class Lexicon:
             if not self.sets[state]:
                 break
             for node, edits in self.sets[state] if best is None else ():
-                if edits == 0 and self.final[node] >= 0 and self.terms[self.final[node]][1]:
-                    best = (self.final[node], 0)
+                if edits == 0 and self.stem[node] >= 0:
+                    best = (self.stem[node], 0)
         else:
             for node, edits in self.sets[state]:
                 number = self.final[node]
-                if number >= 0 and edits <= (0 if self.terms[number][1] else edits_for(self.terms[number][0])):
+                if number >= 0 and edits <= edits_for(self.terms[number][0]):
                     if best is None or (edits, number) < (best[1], best[0]):
                         best = (number, edits)
         return best
@@ -230,7 +232,8 @@ def _lexicon(sample: DataFrame, total: int, toxic: int, most_terms: int) -> list
     for row in ranked.limit(4 * most_terms).collect():
         stem = row["term"].endswith("*")
         bare = row["term"].rstrip("*")
-        covered = any(s and bare.startswith(term) for term, s, _ in out) or any(term == bare for term, _, _ in out)
+        # a word stays beside its stem, as only words are found misspelt
+        covered = stem and any(s and bare.startswith(term) for term, s, _ in out)
         if not covered and len(out) < most_terms:
             out.append((bare, stem, row["odds"]))
     return out

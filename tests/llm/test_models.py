@@ -65,6 +65,28 @@ def test_held_out_toxicity(labelled):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_misspellings_not_seen_are_found_at_every_letter(spark):
+    """Words whose stems rank first, and one of four letters, with a letter changed, left out or put in anywhere."""
+    words, rng, rows = ["idiot", "worthless", "moron", "disgusting", "scum"], random.Random(7), []
+    for n in range(400):
+        text = prose(n, 60).split()
+        for word in words if n % 5 == 0 else ():
+            text.insert(rng.randrange(len(text)), word)
+        rows.append((n, " ".join(text), int(n % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    scorer = toxicity.Scorer(toxicity.fitted(docs, docs.select("doc_id", "toxic")))
+    for word in words:
+        for at in range(len(word)):
+            for wrong in (word[:at] + "0" + word[at + 1 :], word[:at] + word[at + 1 :], word[:at] + "x" + word[at:]):
+                assert scorer.hit(wrong) is not None, wrong
+    assert scorer.hit("kaban") is None and scorer.hit("scoms") is None
+
+
+def test_word_and_stem_of_the_same_letters():
+    lexicon = toxicity.Lexicon([("scum", True), ("scum", False)])
+    assert lexicon.match("scumbag") == (0, 0) and lexicon.match("scum") == (0, 0) and lexicon.match("scm") == (1, 1)
+
+
 def test_toxicity_of_nasty_and_empty_tables(spark, nasty, empty, labelled):
     rows = toxicity.scored(nasty, labelled[1]).collect()
     assert len(rows) == len(nasty_texts()) and all(0 <= r.score <= 1 for r in rows)
