@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.llm import chat, decontaminate, licenses, lm, mixing, quality, simhash, sql, substring, toxicity, warc
+from itemsync.llm import bpe, chat, decontaminate, licenses, lm, mixing, quality, simhash, sql, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,9 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+#: The vocabulary of the byte-level BPE query.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 #: Target shares of the sources; all others share one.
 SHARES = {"src0": 4, "src1": 2, "src2": 2, "src3": 1, "src4": 1}
 
@@ -71,6 +75,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *counts, "base_failed", "kept", F.round("squared", 3).alias("squared"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm": lm_scores,
     "op2_simhash": simhash_near_dups,
@@ -82,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": substring_dedup,
     "op9_mixing": mixing_weights,
     "op10_quality": quality_rules,
+    "op13_bpe": byte_bpe,
 }
 
 #: SQL twins. The others hash as DuckDB does not, train a model, match fuzzily or iterate; tests hold them to brute force.
