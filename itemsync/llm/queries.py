@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.llm import bpe, chat, decontaminate, licenses, lm, mixing, quality, simhash, sql, substring, toxicity, warc
+from itemsync.llm import bpe, chat, decontaminate, licenses, lm, merkle, mixing, quality, simhash, spelling, sql, substring, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,14 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm": lm_scores,
     "op2_simhash": simhash_near_dups,
@@ -90,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": substring_dedup,
     "op9_mixing": mixing_weights,
     "op10_quality": quality_rules,
+    "op11_spelling": spelling_variants,
+    "op12_merkle": merkle_manifest,
     "op13_bpe": byte_bpe,
 }
 
@@ -99,5 +109,7 @@ SQL: dict[str, str] = {
     "op6_chat": sql.CHAT,
     "op7_warc": sql.WARC,
     "op8_substring": sql.SUBSTRING,
+    "op11_spelling": sql.SPELLING,
+    "op12_merkle": sql.MERKLE,
     "op9_mixing": sql.mixing(SHARES, 10, mixing.BLOCK_ROWS),
 }

@@ -113,3 +113,122 @@ ends AS (
 SELECT doc_id, source, CAST(slot AS BIGINT) AS slot, CAST(place AS BIGINT) AS place,
        CAST(slot * {block_rows} + place AS BIGINT) AS position, slot < stop AS in_mix
 FROM placed CROSS JOIN ends"""
+
+
+#: The table of crc32, from its polynomial.
+CRC_TABLE = """
+steps(i, c, k) AS (
+  SELECT i, CAST(i AS BIGINT), 0 FROM range(256) AS r(i)
+  UNION ALL SELECT i, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS entries FROM steps WHERE k = 8)"""
+
+
+def crc32(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes, beside ``crc_table``."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * at + 1 AS BIGINT), 2) AS BIGINT)"
+    data = f"list_transform(range(0, strlen({text})), lambda at: {byte})"
+    step = "xor(c >> 8, entries[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: {step}), 4294967295)"
+
+
+def _tree(name: str, leaves: str, levels: int = 6) -> str:
+    """Levels of the trees over ``leaves`` (tree, pos, n, digest): nodes with what stands left and right in their run.
+
+    ``name``_up has the roots, ``name``_path(tree, pos) each leaf's siblings and steps to them.
+    """
+    parts = []
+    nodes = leaves
+    for k in range(levels):
+        run = "PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN"
+        parts.append(f"""
+{name}_{k} AS (
+  SELECT *, CASE WHEN n > 1 THEN coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l,
+         CASE WHEN n > 1 THEN coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r
+  FROM {nodes}),
+{name}_n{k + 1} AS (
+  SELECT tree, CASE WHEN n > 1 THEN pos // 16 ELSE pos END AS pos, any_value(CASE WHEN n > 1 THEN (n + 15) // 16 ELSE n END) AS n,
+         CASE WHEN any_value(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY {name}_{k}.pos)) ELSE any_value(digest) END AS digest
+  FROM {name}_{k} GROUP BY tree, 2)""")
+        nodes = f"{name}_n{k + 1}"
+    joins = "".join(
+        f" JOIN {name}_{k} AS s{k} ON s{k}.tree IS NOT DISTINCT FROM s0.tree"
+        f" AND s{k}.pos = CASE WHEN s{k}.n = 1 THEN 0 ELSE s0.pos // {16**k} END"
+        for k in range(1, levels)
+    )
+    steps = ", ".join(f"{{'l': s{k}.l, 'r': s{k}.r}}" for k in range(levels))
+    parts.append(f"""
+{name}_path AS (
+  SELECT s0.tree, s0.pos, list_filter([{steps}], lambda s: s.l IS NOT NULL) AS steps FROM {name}_0 AS s0{joins})""")
+    return ",".join(parts) + f",\n{name}_up AS (SELECT tree, digest FROM {nodes})"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+_FOLD = (
+    "list_reduce(list_prepend({{'l': {0}, 'r': ''}}, path), lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}}).l"
+)
+
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+hashes AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN {crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 5 = 0
+              THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf('text')} END AS given
+  FROM documents CROSS JOIN crc_table),
+leaves AS (
+  SELECT source AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n, leaf AS digest, doc_id, given FROM hashes),
+bare AS (SELECT tree, pos, n, digest FROM leaves),{_tree('doc', 'bare')},
+tops AS (
+  SELECT 0 AS tree, row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, digest, tree AS source
+  FROM doc_up),
+top_bare AS (SELECT tree, pos, n, digest FROM tops),{_tree('top', 'top_bare')},
+proofs AS (
+  SELECT doc_id, leaves.digest AS leaf, given, tops.digest AS subroot, top_up.digest AS root,
+         list_concat(doc_path.steps, top_path.steps) AS path
+  FROM leaves JOIN doc_path ON doc_path.tree IS NOT DISTINCT FROM leaves.tree AND doc_path.pos = leaves.pos
+  JOIN tops ON tops.source IS NOT DISTINCT FROM leaves.tree JOIN top_path ON top_path.pos = tops.pos CROSS JOIN top_up),
+again AS (SELECT *, {_FOLD.format('given')} AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(path, lambda s: s.l || s.r), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM again"""
+
+#: Words one edit apart: one is the other without a code point, or both are equal without that of one position.
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+keyed AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key FROM runs),
+hashed AS (SELECT run, n, CAST({crc32('key')} AS BIGINT) AS h FROM keyed CROSS JOIN crc_table),
+vocabulary AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+shorter AS (
+  SELECT word, n, at, substr(word, 1, at) || substr(word, at + 2) AS rest
+  FROM (SELECT *, unnest(range(0, length(word))) AS at FROM vocabulary)),
+links AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.at = b.at AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN vocabulary b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN vocabulary b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS top, min(encode(near)) FILTER (near_n = most) AS form
+  FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS most FROM links) GROUP BY word),
+formed AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN decode(form) END AS form,
+         CASE WHEN top >= 2 * n THEN top END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)),
+followed AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT f.word, g.form FROM followed f JOIN formed g ON f.root = g.word WHERE g.form IS NOT NULL),
+ends AS (SELECT f.word, root FROM followed f JOIN formed g ON f.root = g.word WHERE g.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
