@@ -24,6 +24,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,11 @@ MOST_BYTES = 64 << 20
 #: Keys of a bucket of the hash, on average.
 BUCKET_KEYS = 4
 #: Merged pre-tokens a task remembers, and their greatest length in bytes.
-MOST_KEPT = 1 << 17
+MOST_KEPT = 1 << 19
 LONGEST_KEPT = 64
 
+#: Places in a pre-token, beside the rank in one number of the heap.
+_PLACE = (1 << 40) - 1
 #: Code points that ``regex`` takes as letters or numbers and the Unicode tables of tiktoken do not.
 NEWER = (
     r"\u0558\u058B-\u058C\u088F\u0C5C\u0CDC\u208F\u209D-\u209F\uA7CE-\uA7CF\uA7D2\uA7D4\uA7DD\uA7E2"
@@ -125,36 +128,38 @@ class PerfectHash:
 
 def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the adjacent pair of the lowest rank is merged, the leftmost first, until none is a token."""
-    n = len(piece)
+    n, get = len(piece), ranks.get
     ends = list(range(1, n + 1))  # the part that starts at i is piece[i:ends[i]]
     before = list(range(-1, n - 1))
-    live = [ranks.get(piece[i : i + 2], -1) for i in range(n - 1)] + [-1]  # rank of the pair of the part at i, -1 if none
-    pairs = [(rank, i) for i, rank in enumerate(live) if rank >= 0]
+    live = [get(piece[i : i + 2], -1) for i in range(n - 1)]  # rank of the pair of the part at i, -1 if none
+    live.append(-1)
+    pairs = [rank << 40 | i for i, rank in enumerate(live) if rank >= 0]
     heapify(pairs)
-
-    def renew(i: int) -> None:
-        """The pair of the part at i and the part behind it."""
-        rank = ranks.get(piece[i : ends[ends[i]]], -1) if ends[i] < n else -1
-        live[i] = rank
-        if rank >= 0:
-            heappush(pairs, (rank, i))
-
     while pairs:
-        rank, i = heappop(pairs)
-        if live[i] != rank:
+        top = heappop(pairs)
+        i = top & _PLACE
+        if live[i] != top >> 40:
             continue  # the pair has changed since
         gone = ends[i]
-        ends[i] = ends[gone]
+        end = ends[i] = ends[gone]
         live[gone] = -1
-        if ends[i] < n:
-            before[ends[i]] = i
-        renew(i)
-        if before[i] >= 0:
-            renew(before[i])
+        if end < n:
+            before[end] = i
+            rank = live[i] = get(piece[i : ends[end]], -1)
+            if rank >= 0:
+                heappush(pairs, rank << 40 | i)
+        else:
+            live[i] = -1
+        left = before[i]
+        if left >= 0:
+            rank = live[left] = get(piece[left:end], -1)
+            if rank >= 0:
+                heappush(pairs, rank << 40 | left)
     found, i = [], 0
     while i < n:
-        found.append(ranks[piece[i : ends[i]]])
-        i = ends[i]
+        end = ends[i]
+        found.append(ranks[piece[i:end]])
+        i = end
     return found
 
 
@@ -218,14 +223,15 @@ class Encoder:
     def batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind one another, and where each text's ids end."""
         split = [self.split(_valid(text)) for text in texts]
-        at = {piece: i for i, piece in enumerate(dict.fromkeys(piece for pieces in split for piece in pieces))}
+        pieces = list(chain.from_iterable(split))
+        at = dict(zip(dict.fromkeys(pieces), count(), strict=False))
         raw = [piece.encode() for piece in at]
         found = [
             (i,) if i >= 0 else self._missed(piece) for i, piece in zip(self.vocabulary.whole(raw), raw, strict=True)
         ]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum()))
-        which = np.fromiter((at[piece] for pieces in split for piece in pieces), np.int64, sum(map(len, split)))
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        which = np.fromiter(map(at.__getitem__, pieces), np.int64, len(pieces))
         counts = sizes[which]
         ends = np.cumsum(counts)
         # the k-th id of a piece lies k behind the piece's first
