@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,15 +69,34 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+_OWN: ContextVar[str | None] = ContextVar("own_folder", default=None)
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder that the cluster names."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared folder that the cluster names, or in the ``own_folder`` that is open."""
+    return f"{_OWN.get() or work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def own_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """Intermediate tables written inside lie in one folder, which is removed at the end.
+
+    Whatever reads them must have been written elsewhere by then.
+    """
+    folder = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = _OWN.set(folder)
+    try:
+        yield
+    finally:
+        _OWN.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """``df`` once written as Parquet in the shared folder and read again: cut lineage that outlives executors."""
     spark = df.sparkSession
-    folder = fresh_folder(spark, name)
+    folder = folder or fresh_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

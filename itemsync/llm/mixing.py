@@ -12,20 +12,22 @@ Every row is kept. Slots before ``in_mix`` ends hold the exact mix; behind that
 first exhausted source leaves its slots empty and the rows that remain keep their
 order.
 
-A null source is a source of its own. Sources without a share of their own are
-dealt together as ``OTHER``. Null ids come first in a source's order; repeated rows
+Every source of the table is scheduled on its own: those that ``shares`` does not name
+have the share ``other`` each. A null source is a source of its own. Only where the
+shares would sum to more than ``MOST_SHARES``, the unnamed sources of the fewest rows
+are dealt together as one. Ties go to the smaller source, null first. Null ids come first in a source's order; repeated rows
 follow each other in any order, and their positions differ. Other columns of the
 table are neither read nor kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from heapq import heappop, heappush
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Name of the group of sources without a share of their own; no source is called so.
-OTHER = "\u0000other"
 BLOCK_ROWS = 8
 #: Shares by which a mix is known exactly: one period has as many slots.
 MOST_SHARES = 10_000
@@ -33,19 +35,23 @@ MOST_SHARES = 10_000
 DIGITS = 3
 
 
-def period(shares: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period, by earliest deadline first."""
-    total = sum(shares.values())
-    if not 0 < total <= MOST_SHARES or min(shares.values()) < 1:
+def period(shares: list[int]) -> list[list[int]]:
+    """The slots of each share in one period, by earliest deadline first; ties go to the earlier share."""
+    total = sum(shares)
+    if not 0 < total <= MOST_SHARES or min(shares) < 1:
         raise ValueError(f"shares must be positive and sum to {MOST_SHARES} at most")
-    placed: dict[str, list[int]] = {name: [] for name in shares}
+    placed: list[list[int]] = [[] for _ in shares]
+    # a share's next block waits for its release, then goes by its deadline
+    waiting = [(0, i) for i in range(len(shares))]
+    ready: list[tuple[int, int]] = []
     for slot in range(total):
-        ready = [
-            (-(-(len(done) + 1) * total // shares[name]), name)
-            for name, done in placed.items()
-            if len(done) * total // shares[name] <= slot and len(done) < shares[name]
-        ]
-        placed[min(ready)[1]].append(slot)
+        while waiting and waiting[0][0] <= slot:
+            _, i = heappop(waiting)
+            heappush(ready, (-(-(len(placed[i]) + 1) * total // shares[i]), i))
+        _, i = heappop(ready)
+        placed[i].append(slot)
+        if len(placed[i]) < shares[i]:
+            heappush(waiting, (len(placed[i]) * total // shares[i], i))
     return placed
 
 
@@ -62,14 +68,25 @@ def _numbered(docs: DataFrame, digits: int) -> DataFrame:
     return ranked.join(starts, ["_group", "_piece"]).withColumn("_at", F.col("_start") + F.col("_rank"))
 
 
-def _slot(group: Column, block: Column, shares: dict[str, int], names: list[str]) -> Column:
-    """The slot of a group's block, both numbered from 0."""
-    placed, total = period(shares), sum(shares.values())
-    slots = F.array(*(F.array(*(F.lit(s) for s in placed[n])) for n in names))
-    sizes = F.array(*(F.lit(shares[n]) for n in names))
-    own = F.element_at(sizes, group + 1).cast("bigint")
-    step = F.pmod(block, own).cast("int")
-    return F.floor(block / own) * total + F.element_at(F.element_at(slots, group + 1), step + 1)
+def scheduled(docs: DataFrame, shares: dict[str, int], other: int) -> list[tuple[bool, str | None, int, int]]:
+    """The groups of a mix in order: (whether it is one source, the source, its share, its rows).
+
+    A row per source comes to the driver, at most ``MOST_SHARES`` of them.
+    """
+    if other < 1 or min(shares.values(), default=1) < 1 or sum(shares.values()) > MOST_SHARES:
+        raise ValueError(f"shares must be positive and sum to {MOST_SHARES} at most")
+    counts = docs.groupBy("source").agg(F.count("*").alias("n"))
+    named = F.coalesce(F.col("source").isin(*shares), F.lit(False)) if shares else F.lit(False)
+    own = [(True, r["source"], shares[r["source"]], r["n"]) for r in counts.where(named).collect()]
+    room = (MOST_SHARES - sum(share for _, _, share, _ in own)) // other
+    rest = counts.where(~named)
+    total, rows = rest.agg(F.count("*"), F.sum("n")).first()
+    several = room if total <= room else room - 1
+    most = rest.orderBy(F.desc("n"), "source").limit(max(several, 0)).collect()
+    own += [(True, r["source"], other, r["n"]) for r in most]
+    own.sort(key=lambda g: (g[1] is not None, g[1] or ""))
+    pooled = (rows or 0) - sum(r["n"] for r in most)
+    return [*own, (False, None, other, pooled)] if pooled else own
 
 
 def mixed(
@@ -79,26 +96,38 @@ def mixed(
 
     ``position`` is slot * block_rows + place; ascending, it is the order of the mix.
     """
-    names = [*sorted(shares), OTHER]
-    parts = {**shares, OTHER: other}
-    source = F.coalesce(F.col("source"), F.lit(""))
-    group = F.lit(len(names) - 1)
-    for i, name in enumerate(names[:-1]):
-        group = F.when(source == name, F.lit(i)).otherwise(group)
-    rows = docs.select("doc_id", "source", group.alias("_group"))
-    # a row per group, as many as there are shares; groups that have no rows take no share
-    sizes = {r["_group"]: r["n"] for r in rows.groupBy("_group").agg(F.count("*").alias("n")).collect()}
-    present = sorted(sizes) or [len(names) - 1]
-    names_in = [names[i] for i in present]
-    shares_in = {n: parts[n] for n in names_in}
+    rows = docs.select("doc_id", "source")
+    groups = scheduled(rows, shares, other) or [(False, None, other, 0)]
+    placed, total = period([share for _, _, share, _ in groups]), sum(share for _, _, share, _ in groups)
     # the first slot that a group would fill with a block that it lacks or has in part only
-    placed, total = period(shares_in), sum(shares_in.values())
-    whole = {names[i]: n // block_rows for i, n in sizes.items()}
-    end = min((n // shares_in[g] * total + placed[g][n % shares_in[g]] for g, n in whole.items()), default=0)
-
-    dense = F.array_position(F.array(*(F.lit(i) for i in present)), F.col("_group")).cast("int") - 1
-    numbered = _numbered(rows.withColumn("_group", dense), digits)
-    slot = _slot(F.col("_group"), F.floor(F.col("_at") / block_rows), shares_in, names_in)
+    end = min(
+        n // block_rows // share * total + slots[n // block_rows % share]
+        for (_, _, share, n), slots in zip(groups, placed, strict=True)
+    )
+    listed = [
+        F.struct(
+            F.lit(single).alias("_single"),
+            F.lit(name).cast("string").alias("_source"),
+            F.lit(i).alias("_group"),
+            F.array(*map(F.lit, slots)).alias("_slots"),
+        )
+        for i, ((single, name, _, _), slots) in enumerate(zip(groups, placed, strict=True))
+    ]
+    plan = docs.sparkSession.range(1).select(F.inline(F.array(*listed)))
+    # a row per group and a number per slot of the period: bounded by MOST_SHARES
+    own = F.broadcast(plan.where("_single").drop("_single"))
+    joined = rows.join(own, F.col("source").eqNullSafe(F.col("_source")), "left")
+    pool = F.array(*map(F.lit, placed[-1])) if not groups[-1][0] else F.array().cast("array<int>")
+    dealt = joined.select(
+        "doc_id",
+        "source",
+        F.coalesce("_group", F.lit(len(groups) - 1)).alias("_group"),
+        F.coalesce("_slots", pool).alias("_slots"),
+    )
+    numbered = _numbered(dealt, digits)
+    block, share = F.floor(F.col("_at") / block_rows), F.size("_slots")
+    inside = F.element_at("_slots", F.pmod(block, share).cast("int") + 1)
+    slot = F.floor(block / share) * total + inside
     place = F.pmod(F.col("_at"), F.lit(block_rows))
     return numbered.select(
         "doc_id",

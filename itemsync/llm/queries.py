@@ -61,12 +61,13 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The vocabulary of the byte-level BPE query.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
-#: Target shares of the sources; all others share one.
-SHARES = {"src0": 4, "src1": 2, "src2": 2, "src3": 1, "src4": 1}
+#: Target shares of the sources; every other source has the share ``OTHER_SHARE`` of its own.
+SHARES = {"src0": 8, "src1": 4, "src2": 4, "src3": 2, "src4": 2}
+OTHER_SHARE = 1
 
 
 def mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents"), SHARES, other=10)
+    return mixing.mixed(table(spark, sf_dir, "documents"), SHARES, other=OTHER_SHARE)
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,5 +112,5 @@ SQL: dict[str, str] = {
     "op8_substring": sql.SUBSTRING,
     "op11_spelling": sql.SPELLING,
     "op12_merkle": sql.MERKLE,
-    "op9_mixing": sql.mixing(SHARES, 10, mixing.BLOCK_ROWS),
+    "op9_mixing": sql.mixing(SHARES, OTHER_SHARE, mixing.BLOCK_ROWS),
 }

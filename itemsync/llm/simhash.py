@@ -24,8 +24,6 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,221 +135,41 @@ def components(
     return marked.join(found, "mark").select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
-# ---- near duplicates at a stated similarity
-
-#: Words of a shingle and least Jaccard similarity of near duplicates.
-NEAR_SHINGLE = 5
-SIMILARITY = 0.8
-#: Min-wise samples of shingles: at similarity 0.8 two texts share one of 12 blocks of 4 with 99.8 %.
-SAMPLES, SAMPLE_ROWS = 12, 4
-#: Blocks of more texts compare each with the block's most central text first, then all that are still unlinked.
-PAIRED = 8
-#: Shingles of one piece of a crowded block; pieces are compared with each other, two at a time.
-PIECE = 50_000
-
-_RNG = np.random.default_rng(SEED)
-_FACTORS = _RNG.integers(1, 1 << 63, SAMPLES * SAMPLE_ROWS, dtype=np.uint64) | np.uint64(1)
-
-
-def sample_blocks(values: np.ndarray) -> list[int]:
-    """The min-wise samples of a set of shingle hashes, as one signed number per block."""
-    if not len(values):
-        return [0] * SAMPLES
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
-    for i, factor in enumerate(_FACTORS):
-        mixed = values * factor
-        mixed ^= mixed >> np.uint64(29)
-        least[i] = mixed.min()
-    return [_signed(xxhash.xxh64_intdigest(row.tobytes(), SEED)) for row in least.reshape(SAMPLES, SAMPLE_ROWS)]
-
-
-def _text_class(text: str | None) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(lower_blank_words(text)))
-
-
-def _sketches(rows: DataFrame) -> DataFrame:
-    """doc_id, text_key -> the class of equal word sequences, fingerprint and sample blocks."""
-
-    def run(batches):
-        for batch in batches:
-            found = [hashes(text, NEAR_SHINGLE) for text in batch["text"]]
-            yield {
-                "doc_id": batch["doc_id"],
-                "text_key": batch["text_key"],
-                "same": [_text_class(text) for text in batch["text"]],
-                "mark": [_signed(fingerprint(values)) for values in found],
-                "parts": [sample_blocks(values) for values in found],
-            }
-
-    kind = "doc_id bigint, text_key bigint, same binary, mark bigint, parts array<bigint>"
-    return map_rows(rows.select("doc_id", "text_key", "text"), run, kind)
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, text_key, kept: whether a row is the one that stays of its component of fingerprints.
 
+    ``text_key`` is xxhash64 of the text. The smallest doc_id of a component stays, a null
+    one only if there is no other; rows that repeat it whole are all marked kept. Null, empty
+    and blank texts have fingerprint zero, so one of them stays.
+    """
+    prepared(docs.sparkSession)
 
-def _shingle_sets(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            sets = [np.unique(hashes(text, NEAR_SHINGLE)).view(np.int64).tolist() for text in batch["text"]]
-            yield {"same": batch["same"], "shingles": sets}
-
-    return map_rows(rows.select("same", "text"), run, "same binary, shingles array<bigint>")
+            marks = [_signed(fingerprint(hashes(text, size))) for text in batch["text"]]
+            yield {"doc_id": batch["doc_id"], "text_key": batch["text_key"], "mark": marks}
 
-
-def _blocks(nodes: DataFrame) -> DataFrame:
-    """Stored part, key, same, n, weight: the classes in sample blocks of ``n`` > 1, and their blocks' sizes summed.
-
-    The original of many copies is in the fullest blocks, so it is the heaviest of each.
-    """
-    keyed = written(nodes.select("same", F.posexplode("parts").alias("part", "key")), "keyed")
-    sizes = written(keyed.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    met = written(keyed.join(sizes, ["part", "key"]), "met")
-    weights = met.groupBy("same").agg(F.sum("n").alias("weight"))
-    return written(met.join(weights, "same").select("part", "key", "same", "n", "weight"), "blocks")
-
-
-def _candidates(nodes: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Pairs (a, b), b < a, of classes that share a sample block or have fingerprints within ``DISTANCE``.
-
-    Of a block of more than ``PAIRED`` only the pairs with its heaviest class; ``_rest`` tries what these leave.
-    """
-    heads = blocks.groupBy("part", "key").agg(F.max(F.struct("weight", "same")).alias("head"))
-    heads = written(heads.select("part", "key", F.col("head.same").alias("b")), "heads")
-    star = blocks.join(heads, ["part", "key"]).select(F.col("same").alias("a"), "b")
-    few = blocks.where((F.col("n") > 2) & (F.col("n") <= PAIRED)).select("part", "key", "same")
-    paired = few.withColumnRenamed("same", "a").join(few.withColumnRenamed("same", "b"), ["part", "key"]).select("a", "b")
-    marks = written(nodes.groupBy("mark").agg(F.min("same").alias("least"), F.count("*").alias("n")), "marks")
-    equal = nodes.join(marks.where("n > 1").drop("n"), "mark").select(F.col("same").alias("a"), F.col("least").alias("b"))
-    near = links(marks.select("mark"))
-    for side in ("a", "b"):
-        named = marks.select(F.col("mark").alias(side), F.col("least").alias("_" + side))
-        near = near.join(named, side)
-    near = near.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    found = star.unionAll(paired).unionAll(equal).unionAll(near).where("a <> b")
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-
-
-def _compared(similarity: float):
-    """A function of the rows of two pieces (or one): links that connect all alike pairs between different groups."""
-
-    def run(table: pa.Table) -> pa.Table:
-        same, group = table["same"].to_pylist(), table["group"].to_pylist()
-        number = {g: n for n, g in enumerate(dict.fromkeys(group))}
-        groups = np.array([number[g] for g in group])
-        piece = table["piece"].to_numpy()
-        lists = table["shingles"].combine_chunks()
-        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        values, flat = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        ends = np.cumsum(sizes)
-        starts = ends - sizes
-        in_set = np.zeros(len(values), dtype=bool)
-        crossed = table["i"][0].as_py() != table["j"][0].as_py()
-        one = [np.flatnonzero(piece == piece.min()), np.flatnonzero(piece != piece.min())]
-        if crossed and not len(one[1]):
-            one = [[], []]
-        a, b = [], []
-        for row in min(one, key=len) if crossed else range(len(same)):
-            # links found so far have made one group of two
-            other = (groups != groups[row]) & (piece != piece[row] if crossed else np.arange(len(same)) > row)
-            if not other.any():
-                continue
-            mine = flat[starts[row] : ends[row]]
-            in_set[mine] = True
-            common = np.add.reduceat(in_set[flat], starts, dtype=np.int64)
-            in_set[mine] = False
-            for found in np.flatnonzero(other & (common >= similarity * (sizes[row] + sizes - common))):
-                if groups[found] != groups[row]:
-                    a.append(same[row])
-                    b.append(same[found])
-                    groups[groups == groups[found]] = groups[row]
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return run
-
-
-def _rest(blocks: DataFrame, joined: DataFrame, sets: DataFrame, similarity: float, size: int = PIECE) -> DataFrame:
-    """Links that connect all alike pairs of classes that share a crowded block and that ``joined`` leaves apart.
-
-    A block's classes are dealt into pieces of about ``size`` shingles; the pieces of its
-    largest group meet those of the others, which meet all.
-    """
-    crowded = blocks.where(F.col("n") > PAIRED).select("part", "key", "same")
-    lengths = sets.select("same", F.size("shingles").cast("bigint").alias("length")).where("length > 0")
-    now = crowded.join(lengths, "same").join(joined, "same", "left")
-    now = written(now.select("part", "key", "same", "length", F.coalesce("least", "same").alias("group")), "crowded")
-    tallies = now.groupBy("part", "key", "group").agg(F.sum("length").alias("total"))
-    most = F.max(F.struct("total", "group")).alias("most")
-    open_ = tallies.groupBy("part", "key").agg(F.count("*").alias("groups"), F.sum("total").alias("total"), most)
-    main, others = F.ceil(F.col("most.total") / size), F.ceil((F.col("total") - F.col("most.total")) / size)
-    open_ = open_.where("groups > 1").select(
-        "part", "key", F.col("most.group").alias("most"), main.cast("int").alias("main"), others.cast("int").alias("others")
-    )
-    placed = now.join(written(open_, "open"), ["part", "key"])
-    dealt = lambda n: F.pmod(F.xxhash64("same"), n).cast("int")
-    inside = F.col("group") == F.col("most")
-    placed = placed.withColumn("piece", F.when(inside, dealt(F.col("main"))).otherwise(F.col("main") + dealt(F.col("others"))))
-    last = F.col("main") + F.col("others") - 1
-    meets = F.transform(
-        F.sequence(F.when(inside, F.col("main")).otherwise(F.lit(0)), last),
-        lambda k: F.struct(F.least("piece", k).alias("i"), F.greatest("piece", k).alias("j")),
-    )
-    placed = written(placed.select("part", "key", "same", "group", "piece", meets.alias("meets")), "placed")
-    shown = placed.join(sets, "same").select("part", "key", F.explode("meets").alias("m"), "same", "group", "piece", "shingles")
-    shown = shown.select("part", "key", "m.i", "m.j", "same", "group", "piece", "shingles")
-    return shown.groupBy("part", "key", "i", "j").applyInArrow(_compared(similarity), "a binary, b binary")
-
-
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, text_key, group, kept: the near-duplicate group of every row and whether it is the one that stays.
-
-    Texts of equal lower-cased words are one class. Candidate pairs of classes come
-    from pigeonhole links of fingerprints and from blocks of min-wise samples, as 64-bit
-    fingerprints alone differ in about ten bits at similarity 0.8; each pair's
-    Jaccard similarity is verified on whole shingle sets. No two classes of a block
-    stay apart untried. ``text_key`` is xxhash64 of
-    the text. The smallest doc_id of a group stays, a null one only if there is no
-    other; rows that repeat it whole are all marked kept.
-    """
-    prepared(docs.sparkSession)
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    marked = written(_sketches(rows), "sketches")
-    nodes = marked.groupBy("same").agg(
-        F.first("mark").alias("mark"),
-        F.first("parts").alias("parts"),
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"),
-    )
-    nodes = written(nodes, "classes")
-    blocks = _blocks(nodes)
-    pairs = written(_candidates(nodes, blocks), "pairs")
-    wanted = written(pairs.select("a").unionAll(pairs.select("b")).distinct().withColumnRenamed("a", "same"), "wanted")
-    # one row of each class that is in a pair, with its text
-    firsts = written(nodes.join(wanted, "same").select("same", "first.doc_id", "first.text_key"), "firsts")
-    texts = rows.join(firsts, _same_row(rows, firsts)).select("same", rows["text"])
-    sets = written(_shingle_sets(texts), "shingles").dropDuplicates(["same"])
-    sets = written(sets, "sets")
-    met = pairs
-    for side in ("a", "b"):
-        met = met.join(sets.select(F.col("same").alias(side), F.col("shingles").alias("_" + side)), side)
-    common = F.size(F.array_intersect("_a", "_b"))
-    alike = (F.size("_a") > 0) & (common >= similarity * (F.size("_a") + F.size("_b") - common))
-    first = smallest(met.where(alike).select("a", "b"))
-    rest = written(_rest(blocks, first.withColumnRenamed("id", "same"), sets, similarity), "rest")
-    joined = smallest(first.select(F.col("id").alias("a"), F.col("least").alias("b")).unionAll(rest))
-    joined = joined.withColumnRenamed("id", "same")
-    groups = written(
-        nodes.join(joined, "same", "left").select("same", "first", F.coalesce("least", "same").alias("group")), "groups"
-    )
-    least = written(groups.groupBy("group").agg(F.min("first").alias("stays")), "least")
-    named = written(groups.join(least, "group").select("same", "group", "stays"), "named")
+    marked = written(map_rows(rows, run, "doc_id bigint, text_key bigint, mark bigint"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    nodes = written(marked.groupBy("mark").agg(first), "marks")
+    joined = smallest(links(nodes.select("mark"), distance)).withColumnRenamed("id", "mark")
+    roots = nodes.join(joined, "mark", "left").select("mark", "first", F.coalesce("least", "mark").alias("root"))
+    roots = written(roots, "roots")
+    least = written(roots.groupBy("root").agg(F.min("first").alias("stays")), "least")
+    # stored, so that the join can split a fingerprint that very many rows have
+    named = written(roots.join(least, "root").select("mark", "stays"), "named")
     stays = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_key") == F.col("stays.text_key"))
-    return marked.join(named, "same").select("doc_id", "text_key", F.hex("group").alias("group"), stays.alias("kept"))
+    return marked.join(named, "mark").select("doc_id", "text_key", stays.alias("kept"))
 
 
 def _same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
 
-def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group."""
-    found = written(near_duplicates(docs, similarity), "near")
+def deduplicated(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each component of fingerprints that link at ``distance`` bits or fewer."""
+    found = written(near_duplicates(docs, size, distance), "near")
     keys = found.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     # rows that go, and rows that stay but are there several times
     keys = written(keys.where("not kept or n > 1").select("doc_id", "text_key", "kept"), "keys")

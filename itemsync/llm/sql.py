@@ -81,14 +81,14 @@ FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
 def mixing(shares: dict[str, int], other: int, block_rows: int) -> str:
-    """Earliest deadline first over one period by recursion; ``pos`` orders the groups for ties."""
-    named = ", ".join(f"('{name}', {share}, {n})" for n, (name, share) in enumerate(sorted(shares.items()), 1))
+    """Earliest deadline first over one period of all sources by recursion; sources in order decide ties."""
+    named = ", ".join(f"('{name}', {share})" for name, share in sorted(shares.items()))
     return f"""
-WITH RECURSIVE given(name, share, pos) AS (VALUES ('', {other}, 0), {named}),
-docs AS (SELECT doc_id, source, coalesce(name, '') AS name FROM documents LEFT JOIN given ON source = name AND pos > 0),
+WITH RECURSIVE given(source, share) AS (VALUES {named}),
 present AS (
-  SELECT name, share, row_number() OVER (ORDER BY pos) AS i, sum(share) OVER () AS total
-  FROM given WHERE name IN (SELECT name FROM docs)),
+  SELECT *, row_number() OVER (ORDER BY encode(source) NULLS FIRST) AS i, sum(share) OVER () AS total
+  FROM (SELECT source, coalesce(any_value(share), {other}) AS share FROM documents LEFT JOIN given USING (source) GROUP BY source)),
+docs AS (SELECT doc_id, d.source, i AS name FROM documents d JOIN present p ON d.source IS NOT DISTINCT FROM p.source),
 parts AS (SELECT list(share ORDER BY i) AS a, max(total) AS d FROM present),
 edf AS (
   SELECT -1 AS slot, 0 AS pick, list_transform(a, lambda x: 0) AS done FROM parts
@@ -100,7 +100,7 @@ edf AS (
              lambda j: [(((done[j] + 1) * d + a[j] - 1) // a[j]), j]))[1][2] AS chosen
     FROM edf CROSS JOIN parts WHERE slot + 1 < d)),
 slots AS (
-  SELECT name, share, total, slot, row_number() OVER (PARTITION BY name ORDER BY slot) - 1 AS k
+  SELECT i AS name, share, total, slot, row_number() OVER (PARTITION BY i ORDER BY slot) - 1 AS k
   FROM edf JOIN present ON pick = i WHERE slot >= 0),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id, source) - 1 AS spot FROM docs),
@@ -125,8 +125,8 @@ crc_table AS (SELECT list(c ORDER BY i) AS entries FROM steps WHERE k = 8)"""
 
 def crc32(text: str) -> str:
     """Unsigned crc32 of a text's UTF-8 bytes, beside ``crc_table``."""
-    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * at + 1 AS BIGINT), 2) AS BIGINT)"
-    data = f"list_transform(range(0, strlen({text})), lambda at: {byte})"
+    byte = f"CAST('0x' || substr(hex(encode({text})), CAST(2 * spot + 1 AS BIGINT), 2) AS BIGINT)"
+    data = f"list_transform(range(0, strlen({text})), lambda spot: {byte})"
     step = "xor(c >> 8, entries[(xor(c, b) & 255) + 1])"
     return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: {step}), 4294967295)"
 
@@ -214,10 +214,10 @@ vocabulary AS (
          CAST(sum(n) AS BIGINT) AS n
   FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
 shorter AS (
-  SELECT word, n, at, substr(word, 1, at) || substr(word, at + 2) AS rest
-  FROM (SELECT *, unnest(range(0, length(word))) AS at FROM vocabulary)),
+  SELECT word, n, spot, substr(word, 1, spot) || substr(word, spot + 2) AS rest
+  FROM (SELECT *, unnest(range(0, length(word))) AS spot FROM vocabulary)),
 links AS (
-  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.at = b.at AND a.word <> b.word
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.spot = b.spot AND a.word <> b.word
   UNION SELECT a.word, b.word, b.n FROM shorter a JOIN vocabulary b ON a.rest = b.word
   UNION SELECT b.word, a.word, a.n FROM shorter a JOIN vocabulary b ON a.rest = b.word),
 best AS (
