@@ -65,24 +65,30 @@ class Notice:
         self.inner = regex.compile(fuzzy, regex.BESTMATCH)
 
     def find(self, joined: str) -> list[tuple[int, int, int]]:
-        """(begin, end, errors) of each place, best first where places overlap within one candidate."""
-        areas: list[list[int]] = []
+        """(begin, end, errors) of each place, those of fewer errors first where places overlap.
+
+        Every seed's own area is searched, of the notice's length and some more, so the work
+        grows with the seeds found. Seeds that point to one begin share an area.
+        """
+        begins = set()
         for seed, offset in self.seeds:
             at = joined.find(seed)
             while at >= 0:
-                begin = at - offset - self.errors
-                areas.append([max(0, begin - 1), begin + len(self.text) + 2 * self.errors + 1])
+                begins.add(at - offset)
                 at = joined.find(seed, at + 1)
-        out, done = [], 0
-        for begin, end in _merged(areas):
-            area = (max(begin, 0), min(end, len(joined)))
-            found = [(m.start(), m.end(), sum(m.fuzzy_counts)) for m in self.pattern.finditer(joined, *area)]
-            found += [p for m in self.inner.finditer(joined, *area) if (p := self._whole_words(joined, m))]
-            for place in sorted(found, key=lambda p: (p[2], p[0])):
-                if place[1] > place[0] and all(place[1] <= a or b <= place[0] for a, b, _ in out[done:]):
-                    out.append(place)
-            done = len(out)
-        return sorted(out)
+        found = set()
+        for begin in begins:
+            area = (max(begin - self.errors - 1, 0), min(begin + len(self.text) + 2 * self.errors + 1, len(joined)))
+            found |= {(m.start(), m.end(), sum(m.fuzzy_counts)) for m in self.pattern.finditer(joined, *area)}
+            found |= {p for m in self.inner.finditer(joined, *area) if (p := self._whole_words(joined, m))}
+        taken: list[tuple[int, int, int]] = []  # in order, none overlapping another
+        for place in sorted(found, key=lambda p: (p[2], p[0], p[1])):
+            at = bisect.bisect_left(taken, place)
+            if place[1] <= place[0] or (at and taken[at - 1][1] > place[0]):
+                continue
+            if at == len(taken) or place[1] <= taken[at][0]:
+                taken.insert(at, place)
+        return taken
 
     def _whole_words(self, joined: str, match: regex.Match) -> tuple[int, int, int] | None:
         """The match widened to whole words, if the letters put in leave it within its errors."""
@@ -93,16 +99,6 @@ class Notice:
         return (begin, end, errors) if errors <= self.errors and match.end() > match.start() else None
 
 
-def _merged(areas: list[list[int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for area in sorted(areas):
-        if out and area[0] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], area[1])
-        else:
-            out.append(area)
-    return out
-
-
 @lru_cache(maxsize=4)
 def _notices(items: tuple) -> list[Notice]:
     return [Notice(text, *rule) for text, rule in items]
@@ -113,7 +109,9 @@ def find(text: str | None, notices: dict[str, tuple[str, int]] = NOTICES) -> tup
     words = alnum_words(text)
     if not words:
         return 0, [], []
-    joined = b" ".join(words).decode("latin-1")
+    # in code points, so that an edited letter is one error whatever its bytes
+    words = [word.decode("utf-8", "surrogatepass") for word in words]
+    joined = " ".join(words)
     starts: list[int] = []
 
     def word_at(offset: int) -> int:

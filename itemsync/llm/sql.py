@@ -49,7 +49,7 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum({len('<|turn|><|text|><|end|>')} + {escaped_length('role')} + {escaped_length('text')}) AS BIGINT) AS formatted_chars,
-       CAST(0 AS BIGINT) AS n_rewrites
+       CAST(0 AS BIGINT) AS n_rewrites, CAST(0 AS BIGINT) AS n_unlocated
 FROM turns GROUP BY conv_id"""
 
 WARC = f"""

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from itemsync.llm import decontaminate, licenses
 from itemsync.llm.common import alnum_words
@@ -94,6 +96,64 @@ def test_fuzzy_span():
     assert ("gpl", 2, 5, 2) in [(label, a, b, e) for a, b, label, e, _ in fuzzy]
 
 
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def brute_places(joined: str, notice: str, errors: int) -> list[tuple[int, int, int]]:
+    """Runs of whole words within the edit distance of a notice that are not beaten by an overlapping one."""
+    starts = [m.start() for m in re.finditer(r"(?<![^ ])[^ ]", joined)]
+    ends = [m.end() for m in re.finditer(r"[^ ](?![^ ])", joined)]
+    near = [(a, b) for a in starts for b in ends if abs(b - a - len(notice)) <= errors and b > a]
+    found = sorted((d, a, b) for a, b in near if (d := distance(joined[a:b], notice)) <= errors)
+    taken: list = []
+    for d, a, b in found:
+        if all(b <= x or y <= a for x, y, _ in taken):
+            taken.append((a, b, d))
+    return sorted(taken)
+
+
+def test_fuzzy_places_are_those_of_the_edit_distance():
+    rng = random.Random(8)
+    for text, (label, errors) in licenses.NOTICES.items():
+        notice = licenses.Notice(text, label, errors)
+        for _ in range(6):
+            parts = []
+            for _ in range(3):
+                word = list(text)
+                for _ in range(rng.randrange(errors + 2)):
+                    at = rng.randrange(len(word))
+                    word[at : at + rng.randrange(2)] = rng.choice(["", "q", "é"])
+                parts += [prose(rng.randrange(99), rng.randrange(3)), "".join(word)]
+            joined = " ".join(words(" ".join(parts)))
+            found = notice.find(joined)
+            expected = brute_places(joined, text, errors)
+            # every place and its errors; of equally good ends of one place the library names one
+            assert sorted(e for *_, e in found) == sorted(e for *_, e in expected), (joined, found, expected)
+            assert all(distance(joined[a:b], text) == e for a, b, e in found)
+
+
+def test_notices_beside_each_other_and_letters_of_several_bytes():
+    places = lambda text: [f[1:3] for f in licenses.find(text)[2] if f[0] == "mit"]
+    assert [f[0:2] for f in licenses.find("mit licence mit license")[2]] == [(0, 1), (2, 3)]
+    assert [f[3] for f in licenses.find("mit licénse")[2]] == [1] and places("no notice") == []
+
+
+def test_a_long_run_of_notices_is_linear():
+    began = time.monotonic()
+    n, _, fuzzy = licenses.find("mit licence " * 90_000)
+    assert n == 180_000 and len(fuzzy) == 90_000
+    assert time.monotonic() - began < 60
+    began = time.monotonic()
+    assert licenses.find(prose(3, 150_000))[2] == []
+    assert time.monotonic() - began < 5
+
+
 def test_license_rows(nasty, empty):
     rows = licenses.digests(nasty).collect()
     assert len(rows) == len(nasty_texts()) and licenses.digests(empty).count() == 0
