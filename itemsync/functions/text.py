@@ -27,9 +27,10 @@ COMMON_ENTITIES = {
     "&amp;": "&",
 }
 
-# What stands inside a tag: quoted attribute values may hold any character. Taken
-# without going back (possessive), so that a broken tag costs no more than its length.
-INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+"""
+# What stands inside a tag. Quotes count only where a value begins, behind an equals sign;
+# a quoted value may hold any character, another ends at white space or the tag's end.
+# Taken without going back (possessive), so that a broken tag costs no more than its length.
+INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|))*+"""
 
 # Markup that carries no text: comments, blocks of code (to the end of the page
 # where they are not closed), tags. One scan from left to right, without
@@ -76,7 +77,14 @@ def _decode_token(token: Column) -> Column:
     )
     # The named characters come from the standard table of the language.
     named = _literal_map({"&" + name: char for name, char in html5.items()})
-    known = F.coalesce(_code_point(number), F.try_element_at(named, token), token)
+    # names that need no semicolon may have other letters behind them: the longest counts
+    bare = {"&" + name: char for name, char in html5.items() if not name.endswith(";")}
+    short = _literal_map(bare)
+    longest = [
+        F.concat(F.try_element_at(short, F.substring(token, 1, n)), F.substring(token, n + 1, 1 << 20))
+        for n in sorted({len(name) for name in bare}, reverse=True)
+    ]
+    known = F.coalesce(_code_point(number), F.try_element_at(named, token), *longest, token)
     return F.when(token.startswith("&"), known).otherwise(token)
 
 

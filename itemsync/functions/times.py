@@ -34,8 +34,14 @@ def rfc3339_text(moment: datetime) -> str:
     return moment.strftime(RFC3339_PY)
 
 
+def known_zone(timezone: Column) -> Column:
+    """Whether instants can be shifted to a zone: a region or an offset that Spark knows. Never raises."""
+    date, clock = [F.lit(n) for n in (2000, 1, 1)], [F.lit(0)] * 2
+    return F.try_make_timestamp_ltz(*date, *clock, F.lit(0).cast("decimal(16,6)"), timezone).isNotNull()
+
+
 def local_text(instant: Column, timezone: Column) -> Column:
-    """Wall clock of ``timezone`` to the second, with a literal ``Z`` behind it."""
+    """Wall clock of ``timezone`` (a known one) to the second, with a literal ``Z`` behind it."""
     zone = F.coalesce(timezone, F.lit(DEFAULT_TIME_ZONE))
     return F.date_format(F.convert_timezone(F.lit("UTC"), zone, instant.cast("timestamp_ntz")), RFC3339)
 

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from itemsync.functions import templates
 from itemsync.functions.text import first_text, html_to_text, join_field, join_texts, text_or_empty, text_or_none
-from itemsync.functions.times import birthday_text, date_part, local_text, moment_text
+from itemsync.functions.times import birthday_text, date_part, known_zone, local_text, moment_text
 from itemsync.operators.joins import skew_join
+from itemsync.operators.quality import faults, reasons, stand_ins
 from itemsync.options import FieldRule
 from itemsync.schemas import (
     BIRTHDAY_CALENDARS,
     CALENDAR_TYPE,
     CONTACT_TYPE,
+    DEFAULT_TIME_ZONE,
     DOCUMENT_FIELDS,
     MAIL_FOLDER_TYPES,
     PLATFORM_ON_PREM,
@@ -25,15 +27,28 @@ from itemsync.schemas import (
     TASK_TYPE,
 )
 
-ENGINE_FIELDS = ["account", "object", "parent_id", "last_modified"]
+ENGINE_FIELDS = ["account", "object", "parent_id", "last_modified", "fault"]
+
+
+#: Reason of rows whose account states a zone that Spark does not know.
+UNKNOWN_ZONE = "unknown time zone, shown in the default one"
 
 
 def with_account(items: DataFrame, accounts: DataFrame) -> DataFrame:
     """Items of the listed accounts, with the account's time zone.
 
+    An account without a zone that Spark knows has the default one, and ``zone_fault``
+    says so if it states another. Zones are tried once an account, not once an item.
     One account may own most of the items; its rows are spread (``skew_join``).
     """
-    zones = accounts.groupBy("account").agg(F.max("timezone").alias("timezone"))
+    tried = accounts.select("account", "timezone", F.when(known_zone(F.col("timezone")), F.col("timezone")).alias("known"))
+    stated = tried.groupBy("account").agg(F.max("timezone").alias("stated"), F.max("known").alias("known"))
+    wrong = F.when(F.col("known").isNull() & F.col("stated").isNotNull(), F.lit(UNKNOWN_ZONE))
+    zones = stated.select(
+        "account",
+        F.coalesce("known", F.when(F.col("stated").isNotNull(), F.lit(DEFAULT_TIME_ZONE))).alias("timezone"),
+        wrong.alias("zone_fault"),
+    )
     return skew_join(items, zones, "account", spread=F.col("id"))
 
 
@@ -93,7 +108,7 @@ def calendar_fields(events: DataFrame) -> DataFrame:
     )
     birthday = templates.birthday_body(date_part(start), organizer, meeting)
     return events.select(
-        *_engine(events, "calendar"),
+        *_engine(events, "calendar", reasons(stand_ins())),
         F.lit(CALENDAR_TYPE).alias("type"),
         F.col("id").cast("string").alias("id"),
         F.col("subject").alias("title"),
@@ -159,12 +174,17 @@ def _optional(df: DataFrame, column: str) -> Column | None:
     return F.col(column) if column in df.columns else None
 
 
-def _engine(df: DataFrame, name: str) -> list[Column]:
+def zone_fault(df: DataFrame) -> Column:
+    return F.col("zone_fault") if "zone_fault" in df.columns else F.lit(None).cast("string")
+
+
+def _engine(df: DataFrame, name: str, *found: Column) -> list[Column]:
     return [
         F.col("account"),
         F.lit(name).alias("object"),
         F.lit("").alias("parent_id"),
         F.col("last_modified"),
+        faults(zone_fault(df), *found).alias("fault"),
     ]
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from itemsync.functions.sizes import document_size, size_without_body
 from itemsync.operators import acl, batching, checkpoints, quality, registry, shape
-from itemsync.operators.attachments import Extractor, attachment_documents, undated
+from itemsync.operators.attachments import Extractor, attachment_documents, attachment_rules
 from itemsync.operators.dedup import distinct_rows, latest_by_id
 from itemsync.operators.joins import skew_join
 from itemsync.operators.report import index_report, observed
@@ -43,9 +43,10 @@ from itemsync.sources.tables import scan
 
 REQUEST = ["queue", "gather", "chunk", "batch"]
 OVERSIZED = "oversized"
-ISSUES = "object STRING, id STRING, kind STRING, reason STRING"
-REFUSED, QUARANTINED, UNBODIED = "refused", "quarantined", "oversized"
-INDEX_SCHEMA = DOCUMENTS + ", account STRING, object STRING, parent_id STRING, last_modified TIMESTAMP"
+#: ``mark`` is the id, or a hash of the row where it has none.
+ISSUES = "object STRING, mark STRING, kind STRING, id STRING, reason STRING"
+REFUSED, QUARANTINED, MENDED, UNBODIED = "refused", "quarantined", "mended", "oversized"
+INDEX_SCHEMA = DOCUMENTS + ", account STRING, object STRING, parent_id STRING, last_modified TIMESTAMP, fault STRING"
 
 
 @dataclass(frozen=True)
@@ -71,13 +72,18 @@ class SyncState:
         self.registry = KeyedTable(spark, f"{path}/registry", REGISTRY, REGISTRY_KEYS)
         self.permissions = KeyedTable(spark, f"{path}/permissions", IDENTITIES, ["identity"])
         self.checkpoints = KeyedTable(spark, f"{path}/checkpoints", CHECKPOINTS, ["platform", "object"])
-        self.issues = KeyedTable(spark, f"{path}/issues", ISSUES, ["object", "id", "kind"], ["reason"])
+        self.issues = KeyedTable(spark, f"{path}/issues", ISSUES, ["object", "mark", "kind"], ["reason"])
         self.tables = (self.index, self.registry, self.permissions, self.checkpoints, self.issues)
 
     def create(self) -> None:
         for table in self.tables:
             table.create()
 
+    def compact(self) -> None:
+        """Fold the commits of every table into its base; any number of times, between runs."""
+        for table in self.tables:
+            table.compact()
+
     def next_commit(self) -> int:
         """A number that is free in every table."""
         return max(table.number(None, "") for table in self.tables)
@@ -98,8 +104,8 @@ def day_of(table: DataFrame) -> str | None:
 def changed_items(
     name: str, sources: Mailboxes, options: JobOptions, start: datetime | None, end: datetime | None
 ) -> DataFrame:
-    """Items of one object inside the window; all without a start."""
-    table = scan(name, sources.table(name))
+    """Items of one object inside the window; all without a start. Items without an id are no documents."""
+    table = scan(name, sources.table(name)).filter(F.col("id").isNotNull())
     if start is None:
         return table
     items = change_window(table, "last_modified", start, end, options.bounds, day_of(table))
@@ -176,7 +182,16 @@ def incremental_sync(
     dedup: bool = True,
 ) -> DataFrame:
     """Documents changed since each object's checkpoint."""
-    windows = incremental_windows(stored, options)
+    return windowed_sync(sources, options, incremental_windows(stored, options), extractor, dedup)
+
+
+def windowed_sync(
+    sources: Mailboxes,
+    options: JobOptions,
+    windows: dict[str, tuple[datetime, datetime]],
+    extractor: Extractor | None = None,
+    dedup: bool = True,
+) -> DataFrame:
     return union_all(
         [object_documents(n, sources, options, *windows[n], extractor, dedup) for n in selected(sources, options)]
     )
@@ -299,17 +314,30 @@ class Outcome:
     issues: DataFrame
 
 
-def quarantined(sources: Mailboxes, options: JobOptions) -> DataFrame:
-    """Items and attachments of selected objects that no run can place, with the reason."""
+def quarantined(
+    sources: Mailboxes, options: JobOptions, windows: dict[str, tuple[datetime, datetime]] | None = None
+) -> DataFrame:
+    """Items and attachments of selected objects that no run can place, with the reason.
+
+    With ``windows`` only rows of each object's window are looked at; rows without a time are
+    in none, so that a full sync lists them once and incremental runs need not read all history.
+    """
+
+    def listed(rows: DataFrame, name: str, rules: dict, key: str) -> DataFrame:
+        if windows is not None:
+            rows = change_window(rows, "last_modified", *windows[name], options.bounds, day_of(rows))
+        known = F.col(key).cast("string")
+        mark = F.coalesce(known, F.concat(F.lit("row "), F.hex(F.xxhash64(*rows.columns))))
+        broken = quality.set_aside(rows.withColumn("mark", mark), rules)[1]
+        return broken.select(F.lit(name).alias("object"), "mark", F.lit(QUARANTINED).alias("kind"), known.alias("id"), "reason")
+
     frames = []
     for name in selected(sources, options):
-        broken = quality.set_aside(scan(name, sources.table(name)), quality.item_rules())[1]
-        frames.append(broken.select(F.lit(name).alias("object"), F.col("id").cast("string").alias("id"), "reason"))
-    if sources.attachments is not None:
-        wanted = sources.attachments.filter(F.col("object").isin(*options.objects))
-        broken = undated(wanted)
-        frames.append(broken.select("object", F.col("attachment_id").cast("string").alias("id"), "reason"))
-    return union_all(frames).select("object", "id", F.lit(QUARANTINED).alias("kind"), "reason")
+        frames.append(listed(scan(name, sources.table(name)), name, quality.item_rules(), "id"))
+        if name in ATTACHMENT_TYPES and sources.attachments is not None:
+            own = sources.attachments.filter(F.col("object") == name)
+            frames.append(listed(own, name, attachment_rules(), "attachment_id"))
+    return union_all(frames)
 
 
 def send_changes(state: SyncState, commit: int, options: JobOptions, send: Send) -> tuple[DataFrame, DataFrame]:
@@ -333,7 +361,7 @@ def send_changes(state: SyncState, commit: int, options: JobOptions, send: Send)
         F.lit(UNBODIED).alias("kind"),
         F.lit("sent without body" if options.drop_oversized else "sent alone").alias("reason"),
     )
-    return index_report(rows, responses), issues.unionByName(large)
+    return index_report(rows, responses), issues.unionByName(large).withColumn("mark", F.col("id"))
 
 
 def send_deletes(ids: DataFrame, options: JobOptions, send: Send) -> DataFrame:
@@ -350,15 +378,20 @@ def _commit_documents(
     commit: int,
     mode: str,
     send: Send | None,
+    windows: dict[str, tuple[datetime, datetime]] | None = None,
 ) -> Outcome:
     watched, seen = observed(documents, "documents")
     state.index.upsert(watched, commit, mode)
-    issues, report = quarantined(sources, options), None
+    # what was mended on the way is read back from what was written
+    mended = state.index.changes(commit).filter((F.col("op") == UPSERT) & F.col("fault").isNotNull()).select(
+        "object", F.col("id").alias("mark"), F.lit(MENDED).alias("kind"), "id", F.col("fault").alias("reason")
+    )
+    issues, report = quarantined(sources, options, windows).unionByName(mended), None
     if send is not None:
         report, refused = send_changes(state, commit, options, send)
         issues = issues.unionByName(refused)
     state.issues.upsert(issues, commit, mode)
-    found = state.issues.changes(commit).drop("op")
+    found = state.issues.changes(commit).select("object", "id", "kind", "reason")
     # The registry reads back what was written; nothing is extracted twice. Refused documents stay out of it.
     sent = state.index.changes(commit)
     if send is not None:
@@ -399,8 +432,9 @@ def run_incremental_sync(
 ) -> Outcome:
     """Apply an incremental sync. Without a number the next free commit is taken."""
     commit = state.next_commit() if commit is None else commit
-    documents = incremental_sync(sources, options, state.checkpoints.read(commit), extractor, dedup=False)
-    return _commit_documents(documents, sources, state, options, commit, checkpoints.INCREMENTAL, send)
+    windows = incremental_windows(state.checkpoints.read(commit), options)
+    documents = windowed_sync(sources, options, windows, extractor, dedup=False)
+    return _commit_documents(documents, sources, state, options, commit, checkpoints.INCREMENTAL, send, windows)
 
 
 def require_owners(state: SyncState, stored: DataFrame, accounts: DataFrame) -> None:
@@ -452,8 +486,11 @@ def run_deletion_sync(
 def run_permission_sync(
     directory: DataFrame, mapping: DataFrame, options: JobOptions, state: SyncState, commit: int | None = None
 ) -> int:
-    """Revoke, then grant, as one commit; returns its number."""
-    commit = state.permissions.number(commit, PERMISSION)
+    """Revoke what the runs before granted and no account has now, then grant, as one commit; returns its number.
+
+    Without a number every run takes the next free commit, so it sees all runs before it.
+    """
+    commit = state.permissions.number(commit, "" if commit is None else PERMISSION)
     accounts = acl.accounts_of(directory, options.platform)
     revoke, grant = permission_sync(accounts, state.permissions.read(commit), mapping, options)
     return state.permissions.change(grant, revoke, commit, PERMISSION)

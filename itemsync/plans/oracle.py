@@ -362,6 +362,12 @@ SQL = {
     "contact_documents": f"WITH {ACCOUNTS}, {CONTACTS} {item_docs('contacts', JAN, allow=chr(39) * 2)}",
     "html_body_text": f"SELECT page_id, {html('html')} AS body FROM pages",
     "attachment_text": f"WITH {ATTACHMENTS} SELECT attachment_id, body FROM attachments",
+    "attachment_charsets": """WITH parts AS (SELECT doc_id, text, hex(encode(text)) AS digits, doc_id % 9 AS kind FROM documents)
+        SELECT doc_id,
+               CASE kind WHEN 2 THEN text || chr(65533) WHEN 3 THEN digits || 'ПР' WHEN 4 THEN digits || '啊' WHEN 5 THEN digits || 'é'
+                         WHEN 6 THEN digits || '€' WHEN 8 THEN digits || chr(65533) ELSE text END AS body,
+               CASE WHEN kind IN (2, 8) THEN 'undecodable bytes replaced' WHEN kind = 7 THEN 'unknown charset, read as UTF-8' END AS fault
+        FROM parts""",
     "encoded_names": """WITH names AS (
           SELECT url FROM pages UNION ALL SELECT p_name || ' ''n'' / ' || p_type || '~*' FROM part)
         SELECT url, replace(url_encode(url), '%27', '''''') AS encoded FROM names""",
@@ -437,6 +443,10 @@ SQL = {
     "permission_snapshot": f"""WITH {ACCOUNTS}, {MAPPING}, {IDENTITIES}, {LIVE_ACCOUNTS}, {OVERLAP}
         SELECT identity, array_to_string(list_sort(permissions), ',') AS permissions FROM identities JOIN kept USING (identity)
         UNION ALL {grants('accounts')}""",
+    "permission_runs": f"""WITH {MAPPING}, {IDENTITIES}, {LIVE_ACCOUNTS}, {OVERLAP},
+        grants AS ({grants('live_accounts')})
+        SELECT identity, array_to_string(list_sort(permissions), ',') AS permissions FROM identities JOIN kept USING (identity)
+        UNION ALL SELECT * FROM grants""",
     "keyed_table": f"SELECT * FROM ({UPSERTED}) WHERE id NOT IN ({LEAVING})",
     "checkpoint_windows": f"""WITH {CHECKPOINTS}
         SELECT platform, object, coalesce(checkpoint, '1997-01-01T00:00:00Z') AS start_time, {NOW} AS end_time
@@ -477,14 +487,20 @@ SQL = {
     "object_selection": f"""{MAILBOXES} SELECT object, type, count(*) AS documents FROM ({all_docs({'tasks': YEARS, 'contacts': YEARS})})
         GROUP BY 1, 2""",
     "mapping_file": f"""SELECT {user('o_custkey')} AS source, 'target' || max(o_orderkey) AS target FROM orders
-        WHERE o_orderpriority <> '5-LOW' GROUP BY o_custkey""",
+        WHERE o_orderkey % 7 <> 0 AND (o_orderkey % 11 <> 0) GROUP BY o_custkey""",
+    "mapping_broken_lines": f"""SELECT {user('o_custkey')} || CASE WHEN o_orderkey % 7 <> 0 THEN ',' ELSE '' END AS line,
+        'no target' AS reason FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""",
     "run_outcome": f"""WITH {ACCOUNTS}, {CONTACTS}, 
-        docs AS (SELECT * FROM ({item_docs('contacts', YEARS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 50 <> 0)
+        docs AS (SELECT * FROM ({item_docs('contacts', YEARS)}) WHERE CAST(substr(id, 2) AS BIGINT) % 50 <> 0 AND CAST(substr(id, 2) AS BIGINT) % 51 <> 0)
         SELECT 'contacts' AS object, id, 'refused' AS kind, 'no 7s' AS reason FROM docs WHERE id LIKE '%7'
         UNION ALL SELECT 'contacts', id, 'registered', '' FROM docs WHERE id NOT LIKE '%7'
         UNION ALL SELECT 'contacts', 'Contacts', 'report', (count(*) - count(*) FILTER (id LIKE '%7')) || ' out of ' || count(*)
           FROM docs HAVING count(*) > 0
         UNION ALL SELECT 'contacts', 'Office365', 'checkpoint', {NOW}
+        UNION ALL SELECT 'contacts', id, 'mended', 'unknown time zone, shown in the default one' FROM docs
+          WHERE CAST(substr(id, 2) AS BIGINT) % 6 = 2
+        UNION ALL SELECT 'contacts', NULL, 'quarantined', 'no id' FROM customer
+          WHERE c_custkey % 51 = 0 AND c_custkey % 50 <> 0 AND c_mktsegment <> 'FURNITURE'
         UNION ALL SELECT 'contacts', 'c' || c_custkey, 'quarantined', 'no last_modified' FROM customer
           WHERE c_custkey % 50 = 0 AND c_mktsegment <> 'FURNITURE'""",
 }

@@ -171,6 +171,28 @@ def attachment_text(spark, folder):
     return attachments.with_text(b.attachments(spark, folder)).select("attachment_id", "body")
 
 
+def attachment_charsets(spark, folder):
+    """Texts as attachments of several charsets, some stated by a mark or inside the page, some unknown, some broken."""
+    data, ascii_form = F.col("text").cast("binary"), F.hex("text").cast("binary")
+    kinds = [
+        (F.concat(F.unhex(F.lit("EFBBBF")), data), "text/plain; charset=koi8-r"),
+        (F.concat(F.unhex(F.lit("FFFE")), F.encode("text", "UTF-16LE")), "text/plain"),
+        (F.concat(F.encode("text", "UTF-16BE"), F.unhex(F.lit("41"))), "text/plain; charset=utf-16be"),
+        (F.concat(ascii_form, F.unhex(F.lit("F0F2"))), 'text/plain; charset="KOI8-R"'),
+        (F.concat(ascii_form, F.unhex(F.lit("B0A1"))), "text/plain;charset=gb2312"),
+        (F.concat(ascii_form, F.unhex(F.lit("E9"))), "text/plain; charset=us-ascii"),
+        (F.concat(F.lit('<meta charset="iso-8859-15"><p>').cast("binary"), ascii_form, F.unhex(F.lit("A4"))), "text/html"),
+        (data, "text/plain; charset=x-unheard-of"),
+        (F.concat(ascii_form, F.unhex(F.lit("FF"))), "text/plain"),
+    ]
+    content, stated = F.lit(None).cast("binary"), F.lit(None).cast("string")
+    for n, (made, media) in enumerate(kinds):
+        content = F.when(F.col("doc_id") % len(kinds) == n, made).otherwise(content)
+        stated = F.when(F.col("doc_id") % len(kinds) == n, F.lit(media)).otherwise(stated)
+    made = b.table(spark, folder, "documents").select("doc_id", content.alias("content"), stated.alias("content_type"))
+    return attachments.with_text(made).select("doc_id", "body", "fault")
+
+
 def encoded_names(spark, folder):
     urls = b.table(spark, folder, "pages").select("url")
     names = b.table(spark, folder, "part").select(F.concat("p_name", F.lit(" 'n' / "), "p_type", F.lit("~*")).alias("url"))
@@ -394,16 +416,34 @@ def permission_snapshot(spark, folder):
 
 
 def keyed_table(spark, folder):
-    """Three commits to a stored table, then its current rows."""
+    """Commits to a stored table, two compactions and a batch that comes again behind them, then its current rows."""
     target, rows = _named(spark, folder)
     table = KeyedTable(spark, f"{work_dir(spark)}/{uuid.uuid4()}", "id BIGINT, name STRING", ["id"])
     table.create()
-    table.upsert(target)
-    table.upsert(rows)
+    table.upsert(target, writer="stream#0")
+    table.compact()
+    table.upsert(rows, writer="stream#1")
+    table.compact()
+    table.upsert(target, writer="stream#0")
+    table.upsert(rows, writer="stream#1")
     table.delete(_leaving(spark, folder))
     return table.read()
 
 
+def permission_runs(spark, folder):
+    """Stored permissions after three runs: live accounts, all accounts, live ones again, with a compaction between."""
+    state = jobs.SyncState(spark, f"{work_dir(spark)}/{uuid.uuid4()}")
+    state.create()
+    state.permissions.upsert(b.identities(spark, folder))
+    everyone = b.table(spark, folder, "customer").select(b.user(F.col("c_custkey")).alias("mail"), "c_acctbal")
+    live, users = everyone.filter("c_acctbal > 5000"), _mapping(spark, folder)
+    jobs.run_permission_sync(live, users, options(), state)
+    state.compact()
+    jobs.run_permission_sync(everyone, users, options(), state)
+    jobs.run_permission_sync(live, users, options(), state)
+    return state.permissions.read().select("identity", joined("permissions").alias("permissions"))
+
+
 def _checkpoints(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Users as platforms, event types as objects; rare users and one type have nothing stored."""
     events = b.table(spark, folder, "events").withColumn("platform", F.col("user_id").cast("string"))
@@ -532,27 +572,48 @@ def object_selection(spark, folder):
     return documents.groupBy("object", "type").agg(F.count("*").alias("documents"))
 
 
-def mapping_file(spark, folder):
-    """The user mapping read from a file; of several lines of a user the last by target wins."""
+def _mapping_lines(spark, folder) -> str:
+    """A mapping file with a line an order, in their order: some short, some without a target, some too long."""
     place = f"{work_dir(spark)}/{uuid.uuid4()}/mapping"
-    orders = b.table(spark, folder, "orders").filter("o_orderpriority <> '5-LOW'").groupBy("o_custkey")
-    lines = orders.agg(F.max("o_orderkey").alias("last")).select(
-        b.user(F.col("o_custkey")).alias("source"), b.prefixed("target", F.col("last")).alias("target")
+    source, target = b.user(F.col("o_custkey")), b.prefixed("target", F.col("o_orderkey"))
+    line = (
+        F.when(b.every("o_orderkey", 7), source)
+        .when(b.every("o_orderkey", 11), F.concat(source, F.lit(",")))
+        .when(b.every("o_orderkey", 13), F.concat_ws(",", source, target, F.lit("more")))
+        .otherwise(F.concat_ws(",", source, target))
     )
-    lines.write.csv(place)
-    return mapping.read_mapping(spark, place)
+    orders = b.table(spark, folder, "orders").select("o_orderkey", line.alias("value")).orderBy("o_orderkey")
+    orders.select("value").write.text(place)
+    return place
+
+
+def mapping_file(spark, folder):
+    """The user mapping read from a file of a line an order; the last sound line of a user wins."""
+    return mapping.read_mapping(spark, _mapping_lines(spark, folder))
+
+
+def mapping_broken_lines(spark, folder):
+    """Lines of the mapping file that map nobody, with the reason."""
+    return mapping.broken_lines(spark, _mapping_lines(spark, folder))
 
 
 def run_outcome(spark, folder):
-    """A run that sends to an index which refuses some documents: issues, registry, report and checkpoint."""
+    """A run over rows without id or time and accounts of unknown zones, sent to an index that refuses some documents.
+
+    Its issues, registry, report and checkpoint.
+    """
     place = f"{work_dir(spark)}/{uuid.uuid4()}"
     state = jobs.SyncState(spark, place)
     state.create()
     undated = F.when(~b.every("id_number", 50), F.col("last_modified"))
     found = b.contacts(spark, folder).withColumn("id_number", F.substring("id", 2, 20).cast("bigint"))
-    found = found.withColumn("last_modified", undated).drop("id_number")
+    nameless = b.every("id_number", 51) & ~b.every("id_number", 50)
+    found = found.withColumn("last_modified", undated).withColumn("id", F.when(~nameless, F.col("id"))).drop("id_number")
+    number = F.regexp_extract("account", r"([0-9]+)", 1).cast("bigint")
+    owners = b.accounts(spark, folder)
+    owners = owners.withColumn("timezone", F.when(number % 6 == 2, F.lit("Mars/Olympus")).otherwise(F.col("timezone")))
     chosen = options(objects={"contacts": FieldRule()})
-    outcome = jobs.run_full_sync(Mailboxes(b.accounts(spark, folder), contacts=found), chosen, state, send=_refuse_sevens)
+    outcome = jobs.run_full_sync(Mailboxes(owners, contacts=found), chosen, state, send=_refuse_sevens)
     none = F.lit("")
     registered = state.registry.read().select("object", "id", F.lit("registered").alias("kind"), none.alias("reason"))
     told = outcome.report.select(
@@ -592,6 +653,7 @@ QUERIES = {
         contact_documents,
         html_body_text,
         attachment_text,
+        attachment_charsets,
         encoded_names,
         parsed_rfc3339,
         field_projection,
@@ -618,6 +680,7 @@ QUERIES = {
         upsert_snapshot,
         delete_snapshot,
         permission_snapshot,
+        permission_runs,
         keyed_table,
         checkpoint_windows,
         next_checkpoints,
@@ -629,6 +692,7 @@ QUERIES = {
         stream_documents,
         object_selection,
         mapping_file,
+        mapping_broken_lines,
         run_outcome,
     )
 }

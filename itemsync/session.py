@@ -27,7 +27,13 @@ def local_session(cores: str = "8", app: str = "itemsync") -> SparkSession:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the time zone the text forms of instants rely on; AQE does the rest."""
+    """Pin the time zone the text forms of instants rely on; AQE does the rest.
+
+    Bytes are decoded by every charset the JVM has, and undecodable ones are replaced,
+    so that one bad attachment does not end a run.
+    """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

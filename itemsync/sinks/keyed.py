@@ -8,7 +8,9 @@ are never read.
 
 The table gives out commit numbers. A commit belongs to its ``writer``, a name
 that stays the same when a run is repeated: the same writer gets its number
-again, and a number of another writer is refused, as is one at or below a base.
+again, and a number of another writer is refused. The log remembers writers for
+good, so a writer's commit that a base holds already is done: repeating it writes
+nothing. Other numbers at or below a base are refused.
 """
 
 from __future__ import annotations
@@ -47,8 +49,13 @@ class KeyedTable:
     def change(
         self, upserts: DataFrame | None, deletes: DataFrame | None, commit: int | None = None, writer: str = ""
     ) -> int:
-        """Delete keys, then upsert rows, as one commit. Returns its number."""
+        """Delete keys, then upsert rows, as one commit. Returns its number.
+
+        Nothing is computed or written for a commit that a base holds already.
+        """
         commit = self.number(commit, writer)
+        if commit <= self._base(self._done()):
+            return commit
         rows = None
         if upserts is not None:
             named = upserts.select(*[field.name for field in self.fields])
@@ -69,7 +76,8 @@ class KeyedTable:
         if commit is None:
             own = [n for n, row in done.items() if row["writer"] == writer and writer]
             commit = own[0] if own else max(done, default=0) + 1
-        if commit <= self._base(done):
+        folded = commit in done and done[commit]["kind"] == CHANGES and done[commit]["writer"] == writer and writer
+        if commit <= self._base(done) and not folded:
             raise ValueError(f"commit {commit} is not above the base of {self.path}")
         if commit not in done and commit < max(done, default=0):
             raise ValueError(f"commit {commit} of {self.path} would come before one that is done")
@@ -110,8 +118,8 @@ class KeyedTable:
         return kept.unionByName(latest.filter(F.col("op") == UPSERT).drop("op", "commit"))
 
     def compact(self, commit: int | None = None) -> int:
-        """Fold all finished changes below ``commit`` (default: all) into a new base."""
-        commit = self.number(commit, "compact")
+        """Fold all finished changes below ``commit`` (default: all, under the next number) into a new base."""
+        commit = self.number(None, "") if commit is None else self.number(commit, "compact")
         self._finish(self.read(commit), BASE, commit, "compact")
         return commit
 

@@ -149,7 +149,20 @@ def test_html_against_the_standard_parser(spark):
         "<p>open <b>never closed",
         "<br/><img alt='>' src=x>t<!-- > -->u",
         "a < b > c",
+        "<a href=it's>x</a> don't <b>y</b>",
+        "<a b\"c>t</a> \"q\"",
+        "<a x=y\"z>w\">t</a>",
+        "<p title = 'a > b' class=c>t</p>",
+        "<p a=\"1\"b='>'>t</p>",
+        "I &notit; say &copyright &amp;lt; &ltx &notin; &foo; &AMPx &fjlig;",
     ]
+    rng = random.Random(12)
+    pieces = ["<a ", "<b", "</b>", ">", " x=", "'", '"', "y", " ", "z=\"1\"", "w='>'", "text", "&amp", "&lt;", "&notit;", "don't ", "\n"]
+    for _ in range(400):
+        # a tag that never ends is text here and nothing there
+        case = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        if case.rfind("<") <= case.rfind(">"):
+            cases.append(case)
     expected = []
     for case in cases:
         parser = Text()

@@ -8,6 +8,7 @@ from itemsync.options import JobOptions
 from itemsync.plans import jobs
 from itemsync.plans.jobs import Mailboxes, SyncState
 from itemsync.schemas import ACCOUNTS, ATTACHMENTS, CONTACTS, MAILS, RFC3339_PY, TARGET_FIELDS
+from itemsync.operators.attachments import fill_body
 from itemsync.sinks.keyed import KeyedTable
 from itemsync.sinks.remote import send_batches, with_retry
 from itemsync.streaming.incremental import (
@@ -88,6 +89,84 @@ def test_commit_numbers_are_the_tables_own(spark, folder):
     assert sorted(map(tuple, table.read().collect())) == [(1, "z"), (2, "c")]
 
 
+def test_state_survives_compactions_and_replays(spark, folder):
+    table = KeyedTable(spark, folder + "/t", "id INT, v STRING", ["id"])
+    table.create()
+    rows = lambda data: spark.createDataFrame(data, "id int, v string")
+    current = lambda: sorted(map(tuple, table.read().collect()))
+    assert table.upsert(rows([(1, "a"), (2, "a")]), writer="stream#0") == 1
+    assert [table.compact(), table.compact()] == [2, 3]
+    assert table.upsert(rows([(2, "b")]), writer="stream#1") == 4
+    assert table.compact() == 5
+    # the stream's batches come again: they are in a base, so nothing is computed or written
+    never = rows([(9, "x")]).withColumn("v", F.raise_error(F.lit("computed")).cast("string"))
+    assert table.upsert(never, writer="stream#1") == 4 and table.upsert(never, writer="stream#0") == 1
+    assert table.upsert(never, 4, writer="stream#1") == 4
+    assert current() == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        table.upsert(rows([(9, "x")]), 4, writer="another")
+    assert table.upsert(rows([(3, "c")]), writer="stream#2") == 6
+    assert current() == [(1, "a"), (2, "b"), (3, "c")] and sorted(map(tuple, table.read(before=6).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_permission_runs_see_each_other(spark, folder):
+    state = SyncState(spark, folder)
+    state.create()
+    mapping = spark.createDataFrame([("y@x", "why")], "source string, target string")
+    run = lambda *mails: jobs.run_permission_sync(
+        spark.createDataFrame([(m,) for m in mails], "mail string"), mapping, JobOptions(NOW), state
+    )
+    granted = lambda: {r["identity"]: r["permissions"] for r in state.permissions.read().collect()}
+    first = run("x@x", "y@x")
+    assert granted() == {"x@x": ["x@x"], "why": ["y@x"]}
+    second = run("x@x", "z@x")
+    assert second > first and granted() == {"x@x": ["x@x"], "z@x": ["z@x"]}
+    gone = state.permissions.changes(second).filter("op = 'delete'")
+    assert [r["identity"] for r in gone.collect()] == ["why"]
+    state.compact()
+    third = run("z@x")
+    assert third > second and granted() == {"z@x": ["z@x"]}
+
+
+def test_no_row_ends_a_run(spark, folder):
+    """Unknown zones, broken bytes, a parser that raises and rows without ids are listed; all others are indexed."""
+    state = SyncState(spark, folder)
+    state.create()
+    mails = [
+        mail(id="a", last_modified=at(2)),
+        mail(id="far", account="far@x", last_modified=at(3)),
+        mail(id=None, last_modified=at(3)),
+        mail(id=None, subject="other", last_modified=at(3)),
+    ]
+    pieces = [("bad", b"\xe9\x81", "text/plain; charset=us-ascii"), ("odd", b"abc", "text/plain; charset=utf-16le"),
+              ("strange", b"ok", "text/plain; charset=no-such"), ("pdf", b"x", "application/pdf")]
+    found = [attached(attachment_id=i, parent_id="a", content=c, content_type=m, last_modified=at(2)) for i, c, m in pieces]
+    sources = boxes(spark, mails, found)
+    owners = spark.createDataFrame([("far@x", "Mars/Olympus", "Office365")], ACCOUNTS)
+    sources = replace(sources, accounts=sources.accounts.unionByName(owners))
+
+    def parse(content, media):
+        raise RuntimeError("broken file")
+
+    outcome = jobs.run_full_sync(sources, JobOptions(NOW, start_time=at(1)), state, extractor=fill_body(parse))
+    issues = sorted((r["id"] or "", r["kind"], r["reason"]) for r in outcome.issues.collect())
+    assert issues == [
+        ("", "quarantined", "no id"),
+        ("", "quarantined", "no id"),
+        ("bad", "mended", "undecodable bytes replaced"),
+        ("far", "mended", "unknown time zone, shown in the default one"),
+        ("odd", "mended", "undecodable bytes replaced"),
+        ("pdf", "mended", "extractor: RuntimeError"),
+        ("strange", "mended", "unknown charset, read as UTF-8"),
+    ]
+    assert ids(state.index.read()) == ["a", "bad", "far", "odd", "pdf", "strange"]
+    texts = {r["id"]: r["body"] for r in state.index.read().collect()}
+    assert texts["strange"] == "ok" and texts["bad"].startswith("é") and texts["pdf"] is None
+    # an incremental run looks only at its window
+    later = jobs.run_incremental_sync(sources, JobOptions(NOW, start_time=at(1)), state)
+    assert later.issues.count() == 0
+
+
 def test_a_repeat_that_breaks_off_keeps_what_was_done(spark, folder):
     table = KeyedTable(spark, folder + "/t", "id INT, v STRING", ["id"])
     table.create()
