@@ -30,14 +30,14 @@ COMMON_ENTITIES = {
 # What stands inside a tag. Quotes count only where a value begins, behind an equals sign;
 # a quoted value may hold any character, another ends at white space or the tag's end.
 # Taken without going back (possessive), so that a broken tag costs no more than its length.
-INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|))*+"""
+INSIDE = r"""(?:[^>=]++|=++\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|))*+"""
 
 # Markup that carries no text: comments, blocks of code (to the end of the page
 # where they are not closed), tags. One scan from left to right, without
 # look-around, which means the same in RE2.
 MARKUP = (
     rf"(?is)<(?:!--.*?-->|script\b{INSIDE}>.*?(?:</script\s*>|\z)|style\b{INSIDE}>.*?(?:</style\s*>|\z)"
-    rf"|template\b{INSIDE}>.*?(?:</template\s*>|\z)|[a-z/]{INSIDE}>|[!?][^>]*>)"
+    rf"|template\b{INSIDE}>.*?(?:</template\s*>|\z)|[a-z/][^\s/>]*+{INSIDE}>|[!?][^>]*>)"
 )
 
 # Stands where markup was until entities are decoded, as none reaches across a
