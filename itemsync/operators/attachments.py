@@ -249,5 +249,6 @@ def attachment_documents(
         F.lit(name).alias("object"),
         F.col("parent_id").cast("string").alias("parent_id"),
         "last_modified",
+        F.lit(None).cast("boolean").alias("has_attachments"),
         faults(F.col("zone_fault"), F.col("fault")).alias("fault"),
     ).select(*DOCUMENT_FIELDS, *ENGINE_FIELDS)

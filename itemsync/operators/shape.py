@@ -27,7 +27,7 @@ from itemsync.schemas import (
     TASK_TYPE,
 )
 
-ENGINE_FIELDS = ["account", "object", "parent_id", "last_modified", "fault"]
+ENGINE_FIELDS = ["account", "object", "parent_id", "last_modified", "has_attachments", "fault"]
 
 
 #: Reason of rows whose account states a zone that Spark does not know.
@@ -184,6 +184,7 @@ def _engine(df: DataFrame, name: str, *found: Column) -> list[Column]:
         F.lit(name).alias("object"),
         F.lit("").alias("parent_id"),
         F.col("last_modified"),
+        (F.col("has_attachments") if "has_attachments" in df.columns else F.lit(None).cast("boolean")).alias("has_attachments"),
         faults(zone_fault(df), *found).alias("fault"),
     ]
 

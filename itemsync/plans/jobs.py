@@ -23,6 +23,7 @@ from itemsync.operators.report import index_report, observed
 from itemsync.operators.windows import change_window, chunk_index, off_bounds
 from itemsync.options import JobOptions
 from itemsync.schemas import (
+    ATTACHMENTS,
     ATTACHMENT_TYPES,
     BATCH_SIZE,
     CHECKPOINTS,
@@ -46,7 +47,7 @@ OVERSIZED = "oversized"
 #: ``mark`` is the id, or a hash of the row where it has none.
 ISSUES = "object STRING, mark STRING, kind STRING, id STRING, reason STRING"
 REFUSED, QUARANTINED, MENDED, UNBODIED = "refused", "quarantined", "mended", "oversized"
-INDEX_SCHEMA = DOCUMENTS + ", account STRING, object STRING, parent_id STRING, last_modified TIMESTAMP, fault STRING"
+INDEX_SCHEMA = DOCUMENTS + ", account STRING, object STRING, parent_id STRING, last_modified TIMESTAMP, has_attachments BOOLEAN, fault STRING"
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,9 @@ class SyncState:
         self.permissions = KeyedTable(spark, f"{path}/permissions", IDENTITIES, ["identity"])
         self.checkpoints = KeyedTable(spark, f"{path}/checkpoints", CHECKPOINTS, ["platform", "object"])
         self.issues = KeyedTable(spark, f"{path}/issues", ISSUES, ["object", "mark", "kind"], ["reason"])
-        self.tables = (self.index, self.registry, self.permissions, self.checkpoints, self.issues)
+        #: Attachments that arrived in a stream before their items.
+        self.waiting = KeyedTable(spark, f"{path}/waiting", ATTACHMENTS, ["object", "attachment_id"], ["last_modified"])
+        self.tables = (self.index, self.registry, self.permissions, self.checkpoints, self.issues, self.waiting)
 
     def create(self) -> None:
         for table in self.tables:

@@ -484,6 +484,8 @@ SQL = {
     "incremental_stream": f"SELECT event_id AS id, event_type AS title, {stamp('ts')} AS created_at FROM events",
     "stream_documents": f"""{MAILBOXES} SELECT {DOC_COLUMNS}, TRUE AS registered FROM (
         {item_docs('mails', None)} UNION ALL {attachment_docs('mails', None)})""",
+    "stream_attachments": f"""{MAILBOXES} SELECT {DOC_COLUMNS}, TRUE AS registered FROM (
+        {item_docs('mails', None)} UNION ALL {attachment_docs('mails', None)})""",
     "object_selection": f"""{MAILBOXES} SELECT object, type, count(*) AS documents FROM ({all_docs({'tasks': YEARS, 'contacts': YEARS})})
         GROUP BY 1, 2""",
     "mapping_file": f"""SELECT {user('o_custkey')} AS source, 'target' || max(o_orderkey) AS target FROM orders

@@ -19,7 +19,14 @@ from itemsync.schemas import ATTACHMENT_TYPES, PLATFORM_CLOUD, PLATFORM_ON_PREM
 from itemsync.session import cut_lineage, work_dir
 from itemsync.sinks.keyed import KeyedTable, removed, upserted
 from itemsync.sources import mapping, tables
-from itemsync.streaming.incremental import document_shape, item_stream, sync_available, sync_documents
+from itemsync.streaming.incremental import (
+    document_shape,
+    item_stream,
+    sync_attachments,
+    sync_available,
+    sync_documents,
+    sync_items,
+)
 
 NOW = datetime(2024, 1, 25)
 # Windows of the order-dated and of the January tables.
@@ -565,6 +572,30 @@ def stream_documents(spark, folder):
     )
 
 
+def stream_attachments(spark, folder):
+    """Attachments that arrive before and after their mails, which arrive in two runs."""
+    place = f"{work_dir(spark)}/{uuid.uuid4()}"
+    state = jobs.SyncState(spark, f"{place}/state")
+    state.create()
+    mails, found = b.table(spark, folder, "documents"), b.mail_attachments(spark, folder)
+    found = found.withColumn("account", F.lit(None).cast("string"))
+    sources = Mailboxes(b.accounts(spark, folder))
+    odd = F.pmod(F.xxhash64("attachment_id"), F.lit(2)) == 1
+    for part, early in ((F.col("doc_id") % 3 < 2, odd), (F.col("doc_id") % 3 == 2, ~odd)):
+        found.filter(early).write.mode("append").parquet(f"{place}/attachments")
+        arriving = item_stream(spark, f"{place}/attachments", found.schema)
+        sync_attachments(arriving, "mails", sources, state, options(), f"{place}/checkpoint/attachments")
+        b.mails_of(mails.filter(part)).write.mode("append").parquet(f"{place}/mails")
+        arriving = item_stream(spark, f"{place}/mails", b.mails_of(mails).schema)
+        sync_items(arriving, "mails", sources, state, options(), f"{place}/checkpoint/mails")
+    known = state.index.read().join(
+        state.registry.read().select("object", "id", F.lit(True).alias("registered")).distinct(), ["object", "id"], "left"
+    )
+    return known.select(
+        "type", "id", "title", "body", "created_at", "created", joined("_allow_permissions").alias("allow"), "registered"
+    )
+
+
 def object_selection(spark, folder):
     """Of all tables, only the objects that the options name take part."""
     chosen = options(objects={"tasks": FieldRule(), "contacts": FieldRule()})
@@ -690,6 +721,7 @@ QUERIES = {
         permission_sync_plan,
         incremental_stream,
         stream_documents,
+        stream_attachments,
         object_selection,
         mapping_file,
         mapping_broken_lines,

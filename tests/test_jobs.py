@@ -16,8 +16,10 @@ from itemsync.streaming.incremental import (
     delete_available,
     document_shape,
     item_stream,
+    sync_attachments,
     sync_available,
     sync_documents,
+    sync_items,
 )
 from tests.test_shape import OWNER, attached, mail
 
@@ -409,6 +411,32 @@ def test_streams_over_a_full_sync(spark, folder):
     assert ids(state.index.read()) == ["b", "c", "kept", "x", "y"]
 
 
+@pytest.mark.parametrize("early", [True, False])
+def test_attachments_in_either_order(spark, folder, early):
+    state = SyncState(spark, folder + "/state")
+    state.create()
+    options, sources = JobOptions(NOW, start_time=at(1)), boxes(spark, [])
+    mails = [mail(id="a", last_modified=at(2)), mail(id="none", has_attachments=False, last_modified=at(2))]
+    found = [attached(attachment_id=i, parent_id=p, last_modified=at(3)) for i, p in (("x", "a"), ("y", "none"), ("z", "never"))]
+
+    def items():
+        spark.createDataFrame(mails, MAILS).write.mode("append").parquet(folder + "/mails")
+        sync_items(item_stream(spark, folder + "/mails", MAILS), "mails", sources, state, options, folder + "/c1")
+
+    def attachments():
+        spark.createDataFrame(found, ATTACHMENTS).write.mode("append").parquet(folder + "/found")
+        sync_attachments(item_stream(spark, folder + "/found", ATTACHMENTS), "mails", sources, state, options, folder + "/c2")
+
+    for step in (attachments, items) if early else (items, attachments):
+        step()
+    assert ids(state.index.read()) == ids(state.registry.read()) == ["a", "none", "x"]
+    waiting = sorted(r["attachment_id"] for r in state.waiting.read().collect())
+    assert waiting == (["y", "z"] if early else ["z"])
+    # arriving again changes nothing
+    attachments()
+    assert ids(state.index.read()) == ["a", "none", "x"]
+
+
 def test_platforms_are_kept_apart(spark, folder):
     state = SyncState(spark, folder)
     state.create()
