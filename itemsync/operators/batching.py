@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from itemsync.operators.numbering import hash_slot, with_position
 from itemsync.schemas import BATCH_SIZE, MAX_REQUEST_CHARS
@@ -97,32 +102,32 @@ def gather_messages(
     """Which messages of a queue are gathered before a request is cut.
 
     Messages are taken in order until at least ``rows`` rows or ``limit``
-    characters are gathered; the end of a queue closes the gathering too. The
-    fold sees one row per message, that is one per time chunk of a queue.
+    characters are gathered; the end of a queue closes the gathering too. What a
+    message opens depends on all before it, so the totals of a queue (one row per
+    message, that is one per time chunk) stream through one task in order, which
+    holds a running count and no list.
     """
     totals = sizes.groupBy(queue, message).agg(F.count("*").alias("n"), F.sum("size").alias("chars"))
-    start = F.struct(
-        F.lit(0).alias("gather"),
-        F.lit(0).cast("long").alias("n"),
-        F.lit(0).cast("long").alias("chars"),
-        F.array().cast("array<int>").alias("marks"),
-    )
-
-    def take(state: Column, row: Column) -> Column:
-        printed = F.lit(2) + state["chars"] + 2 * F.greatest(state["n"] - 1, F.lit(0))
-        full = (state["n"] >= rows) | (printed >= limit)
-        gather = state["gather"] + full.cast("int")
-        return F.struct(
-            gather.alias("gather"),
-            (F.when(full, 0).otherwise(state["n"]) + row["n"]).alias("n"),
-            (F.when(full, 0).otherwise(state["chars"]) + row["chars"]).alias("chars"),
-            F.concat(state["marks"], F.array(gather)).alias("marks"),
-        )
-
-    listed = totals.groupBy(queue).agg(F.array_sort(F.collect_list(F.struct(message, "n", "chars"))).alias("rows"))
-    marks = F.aggregate("rows", start, take, lambda state: state["marks"])
-    zipped = listed.select(queue, F.explode(F.arrays_zip("rows", marks.alias("marks"))).alias("taken"))
-    return zipped.select(queue, f"taken.rows.{message}", F.col("taken.marks").alias("gather"))
+    ordered = totals.repartition(queue).sortWithinPartitions(queue, message)
+    kind = StructType([totals.schema[queue], totals.schema[message], StructField("gather", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = to_arrow_schema(kind)
+        first, now, gather, n, chars = True, None, 0, 0, 0
+        for batch in batches:
+            gathers = []
+            for at, own, size in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3))):
+                if first or at != now:
+                    first, now, gather, n, chars = False, at, 0, 0, 0
+                # the printed size of a list: brackets, and a comma and a blank between its rows
+                if n >= rows or 2 + chars + 2 * max(n - 1, 0) >= limit:
+                    gather, n, chars = gather + 1, 0, 0
+                n, chars = n + own, chars + (size or 0)
+                gathers.append(gather)
+            columns = [batch.column(0), batch.column(1), pa.array(gathers, pa.int32())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, fields)], schema=fields)
+
+    return ordered.mapInArrow(run, kind)
 
 
 def consumer_batches(

@@ -12,6 +12,8 @@ MOST_HOT = 20_000
 SALTS = 1024
 #: Rows of ids and zones that a join sends to every task, by their real count.
 BROADCAST_ROWS = 500_000
+#: Bits of the key filter of a join, as a power of two: 4 MB.
+FILTER_BITS = 25
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -42,6 +44,23 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
     return counts.filter(F.col("_rows") > F.greatest(total * F.lit(share), F.lit(1))).select(key)
 
 
+def may_match(big: DataFrame, keys: DataFrame, on: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``big`` whose key may be among ``keys``: all that are, and few others.
+
+    A bitmap of ``bits`` hashed keys is built in one narrow aggregate and sent to the tasks
+    (4 KB for each 32,768 bits, whatever the data), so wide rows without a partner are left
+    out before anything is shuffled. With more keys than bits it keeps more, never less.
+    """
+    slot = F.pmod(F.xxhash64(on), F.lit(1 << bits))
+    marked = keys.select(slot.alias("_slot")).groupBy(F.expr("bitmap_bucket_number(_slot)").alias("_bucket"))
+    made = marked.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_slot))").alias("_bits"))
+    rows = big.withColumn("_slot", slot).withColumn("_bucket", F.expr("bitmap_bucket_number(_slot)"))
+    byte = F.conv(F.hex(F.expr("substring(_bits, CAST(bitmap_bit_position(_slot) AS INT) DIV 8 + 1, 1)")), 16, 10)
+    spot = F.expr("CAST(bitmap_bit_position(_slot) % 8 AS INT)")
+    held = F.call_function("shiftright", byte.cast("int"), spot).bitwiseAND(1) == 1
+    return rows.join(F.broadcast(made), "_bucket").filter(held).drop("_bucket", "_slot", "_bits")
+
+
 def skew_join(
     big: DataFrame,
     small: DataFrame,
@@ -59,7 +78,8 @@ def skew_join(
     simpler table that has at least as many rows, for the limit to be tested on.
     Beyond it, rows of hot keys are spread over ``salts`` by
     ``spread`` (a column that differs between rows of one key) and only the
-    matching rows of ``small`` are repeated. The list of hot keys is broadcast;
+    matching rows of ``small`` are repeated. Rows of ``big`` that cannot match are left out
+    before the shuffle (``may_match``) where the join drops them. The list of hot keys is broadcast;
     it holds at most ``1 / share`` keys whatever the data.
     """
     if sized_by is not None and fits_broadcast(sized_by) and sized_by.count() <= BROADCAST_ROWS:
@@ -68,6 +88,8 @@ def skew_join(
         # no hint: the estimate is of the size on disk, and Spark still looks at the real one
         return big.join(small, on, how)
     spread = F.xxhash64(*big.columns) if spread is None else spread
+    if how in ("inner", "left_semi"):
+        big = may_match(big, small, on)
     hot = hot_keys(big, on, share).withColumn("_hot", F.lit(True))
     salted = big.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)

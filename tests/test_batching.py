@@ -131,3 +131,22 @@ def test_consumer_batches(spark):
         expected = next_fit([sizes[r["id"]] for r in members], 150)
         assert [(r["batch"], r["body_removed"]) for r in members] == expected
         assert [place[r["id"]][1] for r in members] == sorted(place[r["id"]][1] for r in members)
+
+
+def test_a_queue_of_very_many_messages(spark):
+    """The gathering of 100,000 messages, against a plain loop; no list is built."""
+    sizes = spark.range(100_000).select(
+        F.lit("q").alias("queue"), F.col("id").cast("int").alias("message"), (F.col("id") * 7919 % 40_000).alias("size")
+    )
+    other = spark.range(5).select(F.lit("r").alias("queue"), F.col("id").cast("int").alias("message"), F.lit(10).alias("size"))
+    found = batching.gather_messages(sizes.unionByName(other), "queue", "message", rows=100, limit=500_000)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    got = {(r["queue"], r["message"]): r["gather"] for r in found.collect()}
+    gather, n, chars = 0, 0, 0
+    for m in range(100_000):
+        if n >= 100 or 2 + chars + 2 * max(n - 1, 0) >= 500_000:
+            gather, n, chars = gather + 1, 0, 0
+        n, chars = n + 1, chars + m * 7919 % 40_000
+        assert got["q", m] == gather
+    assert [got["r", m] for m in range(5)] == [0] * 5
