@@ -3,9 +3,11 @@
 Per document the base counts: words, characters in words, symbols, repeated lines,
 words in repeated three-word windows. Base rules fail short texts and repetitive
 ones. The documents that pass get a vector of transformed statistics; per language
-and source the minimum-covariance-determinant estimate is approached by
-concentration steps from a robust start (medians and absolute deviations), and
-documents far from it by Mahalanobis distance are rejected.
+and source the minimum-covariance-determinant estimate is approached by concentration
+steps from several robust starts (distances from medians and quartiles under several
+norms). A step takes the mean and covariance of the rows nearest to the last estimate;
+steps go on while a determinant falls, and of all starts the least determinant is kept.
+Documents far from it by Mahalanobis distance are rejected.
 
 Order statistics are read from counts over a fixed grid of values and sums are
 sums of whole numbers, so a result depends neither on the order of rows nor on how
@@ -43,7 +45,9 @@ FLOORS = (0.05, 0.05, 0.37, 0.41)
 CORE = 75
 #: Makes the core's covariance that of all rows if they are normal, for 4 statistics and a core of 75 %.
 CONSISTENCY = 1.485
-STEPS = 3
+#: Concentration steps, at most; they end where no determinant falls by this share.
+STEPS = 30
+LEAST_FALL = 1e-6
 LEAST_ROWS = 50
 #: Name of the group of all rows.
 ALL = "all"
@@ -53,6 +57,8 @@ CUT = 18.467
 DISTANCE_GRID = 64
 
 GROUP = ("lang", "source")
+#: An estimate belongs to a group and a start.
+KEYS = ("group", "start")
 
 
 def measured(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -124,14 +130,19 @@ def _log_distance(squared: Column) -> Column:
 
 
 def _core(distances: DataFrame) -> DataFrame:
-    """The rows of each group (``squared`` is theirs) within the distance that ``CORE`` percent keep."""
-    limits = _quantiles(distances.select("group", _log_distance(F.col("squared")).alias("v")), ["group"], [CORE / 100])
+    """The rows of each estimate (``squared`` is theirs) within the distance that ``CORE`` percent keep."""
+    limits = _quantiles(distances.select(*KEYS, _log_distance(F.col("squared")).alias("v")), [*KEYS], [CORE / 100])
     # stored, so that the join has plain scans on both sides and can split a large group
-    return distances.join(written(limits, "limits"), "group").where(_log_distance(F.col("squared")) <= F.col("q0"))
+    near = distances.join(written(limits, "limits"), [*KEYS])
+    return near.where(_log_distance(F.col("squared")) <= F.col("q0"))
 
 
-def _start(vectors: DataFrame) -> DataFrame:
-    """Squared distances from the medians, scaled by quartiles."""
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Squared distances of every row under each start.
+
+    Statistics are scaled by quartiles; the starts are the Euclidean, the greatest and the summed
+    distance from the medians, and the Euclidean one from the lower quartiles.
+    """
     pieces = F.explode(F.array(*(F.struct(F.lit(i).alias("s"), F.col(x).alias("v")) for i, x in enumerate(STATISTICS))))
     long = vectors.select("group", pieces.alias("p")).select("group", "p.s", "p.v")
     quartiles = _quantiles(long, ["group", "s"], [0.25, 0.5, 0.75])
@@ -139,33 +150,36 @@ def _start(vectors: DataFrame) -> DataFrame:
     wide = quartiles.groupBy("group").agg(
         *(of(i, q).alias(f"{q}_{i}") for i in range(len(STATISTICS)) for q in ("q0", "q1", "q2"))
     )
-    squared = sum(
-        F.pow(
-            (F.col(x) - F.col(f"q1_{i}"))
-            / F.greatest((F.col(f"q2_{i}") - F.col(f"q0_{i}")) / 1.349, F.lit(FLOORS[i] * GRID)),
-            F.lit(2.0),
-        )
-        for i, x in enumerate(STATISTICS)
-    )
-    return vectors.join(written(wide, "quartiles"), "group").select("group", *STATISTICS, squared.alias("squared"))
+    met = vectors.join(written(wide, "quartiles"), "group")
+
+    def scaled(center: str) -> list[Column]:
+        spread = [F.greatest((F.col(f"q2_{i}") - F.col(f"q0_{i}")) / 1.349, F.lit(FLOORS[i] * GRID)) for i in range(len(STATISTICS))]
+        return [F.abs(F.col(x) - F.col(f"{center}_{i}")) / spread[i] for i, x in enumerate(STATISTICS)]
+
+    middle, low = scaled("q1"), scaled("q0")
+    total = lambda parts: sum(parts[1:], parts[0])
+    starts = [total([z * z for z in middle]), F.pow(F.greatest(*middle), F.lit(2.0)), F.pow(total(middle), F.lit(2.0))]
+    starts.append(total([z * z for z in low]))
+    each = F.array(*(F.struct(F.lit(i).alias("start"), squared.alias("squared")) for i, squared in enumerate(starts)))
+    return met.select("group", *STATISTICS, F.explode(each).alias("e")).select("group", *STATISTICS, "e.start", "e.squared")
 
 
 def _estimate(core: DataFrame) -> DataFrame:
-    """Mean and the Cholesky factor of the covariance of each group's core.
+    """Mean, the Cholesky factor of the covariance of each core, and the logarithm of its determinant.
 
     Sums of whole numbers are exact. The floors are added to the variances.
     """
     p = range(len(STATISTICS))
     whole = lambda c: F.sum(c.cast("decimal(20,0)")).cast("double")
     x = [F.col(name).cast("bigint") for name in STATISTICS]
-    sums = core.groupBy("group").agg(
+    sums = core.groupBy(*KEYS).agg(
         F.count("*").alias("n"),
         *(whole(x[i]).alias(f"s{i}") for i in p),
         *(whole(x[i] * x[j]).alias(f"s{i}{j}") for i in p for j in range(i + 1)),
     )
     n = F.col("n")
     out = sums.select(
-        "group",
+        *KEYS,
         *((F.col(f"s{i}") / n).alias(f"m{i}") for i in p),
         *(
             (
@@ -182,7 +196,10 @@ def _estimate(core: DataFrame) -> DataFrame:
         for i in range(j + 1, len(STATISTICS)):
             used = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             out = out.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - used) / F.col(f"l{j}{j}"))
-    return out.select("group", *(f"m{i}" for i in p), *(f"l{i}{j}" for i in p for j in range(i + 1)))
+    determinant = 2 * sum((F.log(f"l{i}{i}") for i in p), F.lit(0.0))
+    return out.select(
+        *KEYS, determinant.alias("log_det"), *(f"m{i}" for i in p), *(f"l{i}{j}" for i in p for j in range(i + 1))
+    )
 
 
 def _squared() -> Column:
@@ -194,15 +211,28 @@ def _squared() -> Column:
     return sum((y * y for y in solved), F.lit(0.0))
 
 
+def _least(found: DataFrame, keys: list[str]) -> DataFrame:
+    """The estimate of the least determinant for each of ``keys``, of equal ones that of the earlier start."""
+    rest = [c for c in found.columns if c not in (*keys, "log_det", "start")]
+    order = ["log_det", *(c for c in ("start",) if c not in keys)]
+    return found.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("e")).select(*keys, "e.*")
+
+
 def estimates(vectors: DataFrame, steps: int = STEPS, least_rows: int = LEAST_ROWS) -> DataFrame:
     """Stored robust estimates of the groups that have ``least_rows`` vectors."""
     sizes = vectors.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).drop("n")
     usable = vectors.join(written(sizes, "groups"), "group")
-    found = written(_estimate(_core(_start(usable))), "estimate")
-    for _ in range(steps - 1):
-        distances = usable.join(found, "group").select("group", *STATISTICS, _squared().alias("squared"))
-        found = written(_estimate(_core(distances)), "estimate")
-    return found
+    best = moving = written(_estimate(_core(_starts(usable))), "estimate")
+    for _ in range(steps):
+        distances = usable.join(moving, "group").select(*KEYS, *STATISTICS, _squared().alias("squared"))
+        after = written(_estimate(_core(distances)), "estimate")
+        before = best.select(*KEYS, F.col("log_det").alias("before"))
+        fell = after.join(before, [*KEYS]).where(F.col("log_det") < F.col("before") - LEAST_FALL).drop("before")
+        moving = written(fell, "moving")
+        if not moving.limit(1).count():
+            break
+        best = written(_least(best.unionByName(moving), [*KEYS]), "best")
+    return written(_least(best, ["group"]), "estimates")
 
 
 def _by_group(vectors: DataFrame, steps: int, least_rows: int = LEAST_ROWS) -> DataFrame:
@@ -218,7 +248,7 @@ def _by_group(vectors: DataFrame, steps: int, least_rows: int = LEAST_ROWS) -> D
     levels = F.explode(F.array("group", "language", F.lit(ALL))).alias("group")
     wanted = written(used.select(F.col("used").alias("group")).distinct(), "wanted")
     learned = written(vectors.select(levels, *STATISTICS).join(wanted, "group"), "learned")
-    found = estimates(learned, steps, least_rows=0).withColumnRenamed("group", "used")
+    found = estimates(learned, steps, least_rows=0).withColumnRenamed("group", "used").drop("start", "log_det")
     return written(used.join(found, "used").drop("used"), "estimates")
 
 

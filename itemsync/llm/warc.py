@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import pyarrow.fs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemsync.llm.common import fresh_folder, map_rows, prepared, utf8, written
@@ -136,6 +136,12 @@ def storage(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(folder)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: a plain path lies in the session's default file system, not on each machine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 class Bundle:
     """Writes frames to one file, collecting their index rows."""
 
@@ -190,7 +196,9 @@ def resolved(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .where("_n > 1")
         .drop("_n")
     )
-    marked = own.join(firsts.withColumn("_copies", F.lit(True)), "_digest", "left")
+    # stored, so that the join can split a page that very many addresses have
+    firsts = written(firsts.withColumn("_copies", F.lit(True)), "firsts")
+    marked = own.join(firsts, "_digest", "left")
     revisit = F.coalesce(F.col("_copies"), F.lit(False)) & large & ~F.col("page_id").eqNullSafe(F.col("_first"))
     return marked.select("page_id", "url", "html", revisit.alias("revisit"), F.when(revisit, F.col("_first")).alias("_first"))
 
@@ -204,7 +212,7 @@ def write(
 ) -> DataFrame:
     """Write all pages to bundles in ``folder`` (default: in the shared folder); returns the stored index."""
     spark = prepared(pages.sparkSession)
-    target = folder or fresh_folder(spark, "warc")
+    target = qualified(spark, folder or fresh_folder(spark, "warc"))
 
     def run(batches) -> Iterator[dict]:
         fs, path = storage(target)
@@ -231,7 +239,7 @@ def read(index: DataFrame, folder: str | None = None, payloads: bool = True) ->
     ``folder`` names the file system (default: that of the shared folder).
     """
     spark = prepared(index.sparkSession)
-    where = folder or fresh_folder(spark, "warc")
+    where = qualified(spark, folder or fresh_folder(spark, "warc"))
     total = index.agg(F.sum("raw_size")).first()[0] or 0
     parts = max(1, -(-total // READ_BYTES))
 

@@ -99,3 +99,70 @@ def test_estimate_resists_a_fifth_of_outliers(spark):
     for r in d:
         v = np.array(r[:4]) - mean
         assert np.isclose(r.d, v @ inverse @ v)
+
+
+def plain_estimate(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The estimate of the least determinant by the same starts and steps, in numpy."""
+    floors = np.array(quality.FLOORS) * quality.GRID
+    at = lambda v, share: np.sort(v)[max(0, int(np.ceil(len(v) * share)) - 1)]
+    q = np.array([[at(c, share) for share in (0.25, 0.5, 0.75)] for c in x.T])
+    spread = np.maximum((q[:, 2] - q[:, 0]) / 1.349, floors)
+    middle, low = np.abs(x - q[:, 1]) / spread, np.abs(x - q[:, 0]) / spread
+    grid = lambda d: np.round(np.log(np.maximum(d, 1e-6)) * quality.DISTANCE_GRID)
+
+    def step(d):
+        core = x[grid(d) <= at(grid(d), quality.CORE / 100)]
+        return core.mean(axis=0), quality.CONSISTENCY * np.cov(core.T, bias=True) + np.diag(floors**2)
+
+    best = None
+    for d in ((middle**2).sum(1), middle.max(1) ** 2, middle.sum(1) ** 2, (low**2).sum(1)):
+        mean, cov = step(d)
+        while True:
+            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            after = step(d)
+            if not np.linalg.slogdet(after[1])[1] < np.linalg.slogdet(cov)[1] - quality.LEAST_FALL:
+                break
+            mean, cov = after
+        if best is None or np.linalg.slogdet(cov)[1] < np.linalg.slogdet(best[1])[1]:
+            best = mean, cov
+    return best
+
+
+def test_least_determinant_matches_a_plain_search(spark):
+    """Several groups at once, one of them with a cluster that draws the medians away."""
+    rng = np.random.default_rng(11)
+    groups = {
+        "clean": rng.normal([900, 300, 500, 200], [90, 300, 500, 400], (400, 4)),
+        "two": np.vstack([rng.normal([900, 0, 0, 0], [90, 30, 50, 40], (260, 4)), rng.normal([2000, 900, 3000, 900], 60, (140, 4))]),
+        "flat": np.column_stack([rng.normal(800, 50, 200), np.zeros((200, 3))]),
+    }
+    groups = {g: np.round(x).astype(int) for g, x in groups.items()}
+    rows = [(g, *map(int, r)) for g, x in groups.items() for r in x]
+    vectors = spark.createDataFrame(rows, "group string, x0 int, x1 int, x2 int, x3 int").repartition(3)
+    found = {r.group: r for r in quality.estimates(vectors).collect()}
+    for g, x in groups.items():
+        mean, cov = plain_estimate(x.astype(float))
+        r = found[g]
+        factor = np.array([[r[f"l{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+        assert np.allclose([r[f"m{i}"] for i in range(4)], mean) and np.allclose(factor @ factor.T, cov)
+
+
+def test_verdicts_match_a_plain_search(spark):
+    rows = [(n, prose(n, 80 + n % 40), "en", "a") for n in range(200)]
+    rows += [(1000 + n, " ".join(w + "#" for w in prose(n, 90).split()), "en", "a") for n in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    found = quality.judged(docs, keep=["doc_id"]).collect()
+    x = []
+    for r in found:
+        n = r.n_words
+        line = max(1, len([p for p in dict(rows_of(rows))[r.row.doc_id].split("\n") if p.strip()]))
+        values = np.log(r.word_chars / n), np.log1p(r.n_symbols / n), np.log1p(10 * r.n_dup_lines / line), np.log1p(10 * r.n_repeat_words / n)
+        x.append([round(v * quality.GRID) for v in values])
+    x = np.array(x, float)
+    mean, cov = plain_estimate(x)
+    d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+    assert [r.kept for r in found] == [not r.base_failed and bool(k) for r, k in zip(found, d <= quality.CUT, strict=True)]
+
+
+def rows_of(rows):
+    return [(i, text) for i, text, *_ in rows]
