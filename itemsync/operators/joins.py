@@ -44,12 +44,12 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
     return counts.filter(F.col("_rows") > F.greatest(total * F.lit(share), F.lit(1))).select(key)
 
 
-def may_match(big: DataFrame, keys: DataFrame, on: str, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows of ``big`` whose key may be among ``keys``: all that are, and few others.
+def key_filter(big: DataFrame, keys: DataFrame, on: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``big`` with ``_may``: true for all rows whose key is among ``keys``, and for few others.
 
     A bitmap of ``bits`` hashed keys is built in one narrow aggregate and sent to the tasks
-    (4 KB for each 32,768 bits, whatever the data), so wide rows without a partner are left
-    out before anything is shuffled. With more keys than bits it keeps more, never less.
+    (4 KB for each 32,768 bits, whatever the data). With more keys than bits it marks more
+    rows, never fewer.
     """
     slot = F.pmod(F.xxhash64(on), F.lit(1 << bits))
     marked = keys.select(slot.alias("_slot")).groupBy(F.expr("bitmap_bucket_number(_slot)").alias("_bucket"))
@@ -58,7 +58,13 @@ def may_match(big: DataFrame, keys: DataFrame, on: str, bits: int = FILTER_BITS)
     byte = F.conv(F.hex(F.expr("substring(_bits, CAST(bitmap_bit_position(_slot) AS INT) DIV 8 + 1, 1)")), 16, 10)
     spot = F.expr("CAST(bitmap_bit_position(_slot) % 8 AS INT)")
     held = F.call_function("shiftright", byte.cast("int"), spot).bitwiseAND(1) == 1
-    return rows.join(F.broadcast(made), "_bucket").filter(held).drop("_bucket", "_slot", "_bits")
+    joined = rows.join(F.broadcast(made), "_bucket", "left")
+    return joined.withColumn("_may", F.coalesce(held, F.lit(False))).drop("_bucket", "_slot", "_bits")
+
+
+def may_match(big: DataFrame, keys: DataFrame, on: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``big`` whose key may be among ``keys``, so that others are left out before anything is shuffled."""
+    return key_filter(big, keys, on, bits).filter("_may").drop("_may")
 
 
 def skew_join(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from itemsync.functions.sizes import document_size, size_without_body
 from itemsync.operators import acl, batching, checkpoints, quality, registry, shape
 from itemsync.operators.attachments import Extractor, attachment_documents, attachment_rules
-from itemsync.operators.dedup import distinct_rows, latest_by_id
+from itemsync.operators.dedup import distinct_computed, latest_computed
 from itemsync.operators.joins import skew_join
 from itemsync.operators.report import index_report, observed
 from itemsync.operators.windows import change_window, chunk_index, off_bounds
@@ -156,7 +156,7 @@ def object_documents(
             attachment_documents(items, sources.attachments, name, start, end, options, extractor, changed)
         )
     whole = options.dedup_calendar if name == "calendar" else True
-    return distinct_rows(documents) if whole and dedup else documents
+    return distinct_computed(documents) if whole and dedup else documents
 
 
 def full_sync(
@@ -287,7 +287,7 @@ def index_requests(
     are formed from narrow rows, and bodies are joined back by id.
     """
     if not unique:
-        documents = latest_by_id(documents, ["id"], ["last_modified"])
+        documents = latest_computed(documents, ["id"], ["last_modified"])
     size = document_size()
     narrow = documents.select(
         F.col("object").alias("queue"),

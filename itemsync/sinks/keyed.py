@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.operators.dedup import latest_by_id
+from itemsync.operators.dedup import latest_computed
 from itemsync.sources.tables import read_or_empty
 
 UPSERT, DELETE = "upsert", "delete"
@@ -59,7 +59,7 @@ class KeyedTable:
         rows = None
         if upserts is not None:
             named = upserts.select(*[field.name for field in self.fields])
-            rows = latest_by_id(named, self.key, self.order).withColumn("op", F.lit(UPSERT))
+            rows = latest_computed(named, self.key, self.order).withColumn("op", F.lit(UPSERT))
         if deletes is not None:
             blank = {f.name: F.lit(None).cast(f.dataType) for f in self.fields if f.name not in self.key}
             gone = deletes.select(*self.key).distinct()
@@ -113,7 +113,7 @@ class KeyedTable:
             recent = part if recent is None else recent.unionByName(part)
         if recent is None:
             return rows
-        latest = latest_by_id(recent, self.key, ["commit"])
+        latest = latest_computed(recent, self.key, ["commit"])
         kept = rows.join(latest.select(*self.key), self.key, "left_anti")
         return kept.unionByName(latest.filter(F.col("op") == UPSERT).drop("op", "commit"))
 
@@ -150,7 +150,7 @@ class KeyedTable:
 
 def upserted(target: DataFrame, rows: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
     """The target after an upsert, as one plan; of several rows with one key the last by ``order``."""
-    latest = latest_by_id(rows, key, order or [])
+    latest = latest_computed(rows, key, order or [])
     return target.join(latest.select(*key), key, "left_anti").unionByName(latest)
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -310,3 +311,44 @@ def test_rows_without_a_partner_never_shuffle(spark):
         assert any("Exchange hashpartitioning(k" in line for line in lines[:held])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def wide_rows(spark, n=3000):
+    """Versions with missing keys and times, ties, and whole copies."""
+    rng = random.Random(2)
+    pick = lambda *values: rng.choice(values)
+    rows = [(pick(None, *range(40)), pick(None, 1, 2, 3), pick(None, 5, 6), pick(None, "a", "b"), pick("body", None)) for _ in range(n)]
+    return spark.createDataFrame(rows + rows[:50], "k int, t int, u bigint, x string, body string").repartition(4)
+
+
+@pytest.mark.parametrize("order", [["t"], ["t", "u"], []])
+def test_latest_of_a_stored_table(spark, order):
+    df = wide_rows(spark)
+    found = dedup.latest_by_id(df, ["k"], order)
+    assert found.columns == df.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, dedup.latest_computed(df, ["k"], order).collect()))
+
+
+def test_distinct_of_a_stored_table(spark):
+    df = wide_rows(spark, 400)
+    assert sorted(map(repr, dedup.distinct_rows(df).collect())) == sorted(map(repr, df.distinct().collect()))
+    assert dedup.distinct_rows(df.limit(0)).count() == 0
+
+
+def test_bodies_move_late(spark, tmp_path):
+    """Broadcasting off: no body below an exchange except those of winners and copies, none in a sort of winners."""
+    df = wide_rows(spark).select("k", "t", "u", F.col("body").alias("wide_body"))
+    df.write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = dedup.latest_by_id(df, ["k"], ["t", "u"])._jdf.queryExecution().executedPlan().toString()
+        untied = plan.split("Union")[1].split("SortAggregate")[0]
+        assert "SortAggregate" not in untied and "ShuffledHashJoin" in untied
+        assert "Sort [k" not in untied.split("ShuffledHashJoin")[0]
+        once = dedup.distinct_rows(df)._jdf.queryExecution().executedPlan().toString().split("Union")[1]
+        first = once.split("Aggregate(keys=[k")[0]
+        # the rows without copies meet the bitmap in a broadcast join; what is exchanged is their digests
+        assert all("wide_body" not in line for line in first.split("\n") if "Exchange hashpartitioning" in line)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
