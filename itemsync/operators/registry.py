@@ -62,10 +62,33 @@ def deleted_rows(registry: DataFrame, live: DataFrame, platform: str, key: list[
     return own.join(live.select(*key).distinct(), key, "left_anti")
 
 
-def deleted_ids(registry: DataFrame, live: DataFrame, platform: str, key: list[str] | None = None) -> DataFrame:
-    """Each deleted id once, though the registry may hold it under several types."""
+#: Rows that a task of the comparison holds: as wished, and at most.
+TASK_ROWS, MOST_TASK_ROWS = 250_000, 2_000_000
+#: Pieces up to which a shuffle writes without holding its rows.
+PIECES = 200
+
+
+def pieces(rows: int) -> int:
+    """Pieces in which so many rows are compared, so that those of one task are bounded whatever their number."""
+    return max(min(-(-rows // TASK_ROWS), PIECES), -(-rows // MOST_TASK_ROWS), 1)
+
+
+def deleted_ids(
+    registry: DataFrame, live: DataFrame, platform: str, key: list[str] | None = None, live_rows: int = 0
+) -> DataFrame:
+    """Each deleted id once, though the registry may hold it under several types.
+
+    Both sides are dealt once by key, narrow, into as many pieces as they have rows for,
+    and compared by one aggregate. ``live_rows`` is how many live rows there are at most.
+    A missing key is never live.
+    """
     key = key or ["object", "id"]
-    return deleted_rows(registry, live, platform, key).select(*key).distinct()
+    own = registry.filter(F.col("platform").contains(platform)).select(*key, F.lit(False).alias("_live"))
+    found = live.select(*key).dropna().withColumn("_live", F.lit(True))
+    n = pieces(own.count() + live_rows)
+    met = own.unionByName(found).repartition(n, *key).groupBy(*key)
+    # a group without a live row is of the registry
+    return met.agg(F.max("_live").alias("_live")).filter("NOT _live").select(*key)
 
 
 def cascade(registry: DataFrame, deleted: DataFrame) -> DataFrame:

@@ -251,7 +251,11 @@ def deletion_sync(
     if sources.attachments is None:
         # a table left out takes no part: its documents are neither live nor gone
         considered = considered.filter(~F.col("type").isin(*(label.lower() for label in ATTACHMENT_TYPES.values())))
-    gone = registry.deleted_ids(considered, live_ids(sources, options, *(scan_window or (None, None))), options.platform)
+    live = live_ids(sources, options, *(scan_window or (None, None)))
+    scanned = [sources.table(name) for name in selected(sources, options)] + [sources.attachments]
+    # stored tables, which are counted without reading rows
+    live_rows = sum(table.count() for table in scanned if table is not None)
+    gone = registry.deleted_ids(considered, live, options.platform, live_rows=live_rows)
     if cascade:
         gone = registry.cascade(considered, gone)
     return gone, registry.surviving(stored, gone, options.platform)

@@ -155,6 +155,20 @@ def test_deletion(spark):
     assert "NestedLoop" not in plan_of(gone)
 
 
+def test_deletion_in_bounded_pieces(spark, monkeypatch):
+    monkeypatch.setattr(registry, "TASK_ROWS", 10)
+    ids = [(str(n), "", "tasks", "Office365", "tasks") for n in range(100)]
+    stored = reg(spark, [*ids, *ids[:3], (None, "", "tasks", "Office365", "tasks")])
+    live = spark.createDataFrame([("tasks", str(n)) for n in range(0, 100, 2)] * 2 + [("tasks", None)], "object string, id string")
+    gone = registry.deleted_ids(stored, live, "Office365", live_rows=101)
+    # a missing id is never live
+    assert sorted(str(r["id"]) for r in gone.collect()) == sorted([*map(str, range(1, 100, 2)), "None"])
+    # dealt once by key, into as many pieces as there are rows for, without sorting either side
+    assert gone.rdd.getNumPartitions() == registry.pieces(104 + 101) == 21
+    assert "SortMergeJoin" not in plan_of(gone) and plan_of(gone).count("Exchange hashpartitioning") == 1
+    assert registry.pieces(10**9) == 500 and registry.pieces(0) == 1
+
+
 def test_revoke_and_grant(spark):
     accounts = spark.createDataFrame([("user1",), ("user3",)], "account string")
     listed = [("user1", ["user1"]), ("user2", ["user2"]), ("none", []), ("null", None), ("both", ["x", "user3"])]
