@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from itemsync.llm import lm, toxicity
 from tests.llm.conftest import nasty_texts, prose
 
@@ -183,3 +185,19 @@ def test_training_lowers_the_loss():
     for _ in range(60):
         adam.step(lm.gradients(adam.w, ids[:, :-1], ids[:, 1:], valid)[1])
     assert lm.gradients(adam.w, ids[:, :-1], ids[:, 1:], valid)[0] < 0.6 * first
+
+
+def test_all_ids_of_all_texts_are_learned_once(spark, monkeypatch):
+    with open(lm.VOCABULARY, "rb") as file:
+        encoder = lm.Encoder(file.read())
+    size = lm._encoding(encoder.ranks).max_token_value + 1
+    voc = lm.Vocabulary(encoder.ranks, np.arange(size + 1, dtype=np.int32), None, None, None)
+    monkeypatch.setattr(lm, "N_CLASSES", size + 1)  # so that a class is an id
+    texts = [prose(n, 7 * n) if n else None for n in range(40)] + ["x" * 5000]
+    wanted = np.concatenate([np.append(encoder.ids(lm.lower_blank_words(t)), size) for t in texts])
+    batches = lm._batches(lm._windows([{"text": texts}], encoder, voc), 16)
+    assert np.array_equal(np.concatenate([y[v] for _, y, v, _ in batches]), wanted)
+    # over all rounds, the windows of every document count, whatever its id
+    frame = spark.createDataFrame([(n if n else None, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    dealt = [frame.where(lm.fold(F.col("doc_id"), 3) == turn).count() for turn in range(3)]
+    assert sum(dealt) == len(texts) and min(dealt) > 0
