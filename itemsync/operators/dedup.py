@@ -48,11 +48,11 @@ def latest_by_id(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     best = narrow
     for n, column in enumerate(order):
         top = narrow.groupBy(*key, *order[:n]).agg(F.max(column).alias(column))
-        best = top if n == 0 else _met(top, best, [*key, *order[:n]], "left_semi")
+        best = top if n == 0 else met(top, best, [*key, *order[:n]], "left_semi")
     place = [*key, *order]
     copies = narrow.groupBy(*place).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    tied = _met(best, copies, place, "left_semi")
-    single = _met(best, copies, place, "left_anti")
+    tied = met(best, copies, place, "left_semi")
+    single = met(best, copies, place, "left_anti")
     return _winners(df, single, place).unionByName(latest_computed(_winners(df, tied, place), key, order))
 
 
@@ -60,10 +60,10 @@ def _winners(df: DataFrame, keys: DataFrame, place: list[str]) -> DataFrame:
     """Wide rows that stand at one of ``keys``; those that surely do not are never shuffled."""
     spot = lambda rows: rows.withColumn("_spot", F.struct(*place))
     near = may_match(spot(df), spot(keys).select("_spot"), "_spot").drop("_spot")
-    return _met(near, keys.hint("shuffle_hash"), place, "left_semi")
+    return met(near, keys.hint("shuffle_hash"), place, "left_semi")
 
 
-def _met(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
+def met(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
     """A semi or anti join in which missing values are equal."""
     equal = [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in columns]
     return left.alias("l").join(right.alias("r"), reduce(Column.__and__, equal), how)

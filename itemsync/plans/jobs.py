@@ -131,12 +131,14 @@ def object_documents(
     end: datetime | None,
     extractor: Extractor | None = None,
     dedup: bool = True,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Documents of one object: shaped items and the attachments they own.
 
     Whole-row copies are dropped; calendar rows keep theirs unless the options
     say otherwise. ``dedup=False`` leaves all of them to a later upsert by id,
-    which saves shuffling the bodies twice.
+    which saves shuffling the bodies twice. ``sized_by`` is a narrow table of as many
+    rows as there are items, where one is stored.
     """
     changed = changed_items(name, sources, options, start, end)
     items = shape.with_account(changed, acl.accounts_on(sources.accounts, options.platform))
@@ -153,7 +155,9 @@ def object_documents(
         documents = documents.withColumn("created", F.lit(None).cast("string"))
     if name in ATTACHMENT_TYPES and sources.attachments is not None:
         documents = documents.unionByName(
-            attachment_documents(items, sources.attachments, name, start, end, options, extractor, changed)
+            attachment_documents(
+                items, sources.attachments, name, start, end, options, extractor, changed if sized_by is None else sized_by
+            )
         )
     whole = options.dedup_calendar if name == "calendar" else True
     return distinct_computed(documents) if whole and dedup else documents

@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemsync.operators.dedup import latest_computed
+from itemsync.operators.dedup import latest_computed, met
 from itemsync.sources.tables import read_or_empty
 
 UPSERT, DELETE = "upsert", "delete"
@@ -53,8 +53,9 @@ class KeyedTable:
 
         Nothing is computed or written for a commit that a base holds already.
         """
-        commit = self.number(commit, writer)
-        if commit <= self._base(self._done()):
+        done = self._done()
+        commit = self._number(done, commit, writer)
+        if commit <= self._base(done):
             return commit
         rows = None
         if upserts is not None:
@@ -72,7 +73,9 @@ class KeyedTable:
 
     def number(self, commit: int | None, writer: str) -> int:
         """The commit number of a writer: the asked-for one, its own, or the next free one."""
-        done = self._done()
+        return self._number(self._done(), commit, writer)
+
+    def _number(self, done: dict, commit: int | None, writer: str) -> int:
         if commit is None:
             own = [n for n, row in done.items() if row["writer"] == writer and writer]
             commit = own[0] if own else max(done, default=0) + 1
@@ -90,29 +93,32 @@ class KeyedTable:
         attempt = self._done()[commit]["attempt"]
         return self.spark.read.schema(self.schema + ", op STRING").parquet(self._folder(CHANGES, commit, attempt))
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """The current rows, or those as of all commits below ``before``.
+    def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """The current rows, or those as of all commits below ``before``; with ``keys`` only rows of these.
 
         A run reads the state before its own commit, so it may be repeated. Only
         the keys of changes since the base meet the base, in an anti join that is
         broadcast while they are few; the base itself is not shuffled then.
         Each commit is one folder to read until ``compact`` folds them, which
-        whoever runs the jobs calls from time to time.
+        whoever runs the jobs calls from time to time. ``keys`` are looked up before
+        anything is shuffled, so that a small batch does not move the table.
         """
         done = {n: row for n, row in self._done().items() if before is None or n < before}
         base = self._base(done)
         rows = self.spark.createDataFrame([], self.schema)
         if base in done:
             rows = self.spark.read.schema(self.schema).parquet(self._folder(BASE, base, done[base]["attempt"]))
-        recent = None
-        for n in sorted(n for n, row in done.items() if n > base and row["kind"] == CHANGES):
-            part = self.spark.read.schema(self.schema + ", op STRING").parquet(
-                self._folder(CHANGES, n, done[n]["attempt"])
-            )
-            part = part.withColumn("commit", F.lit(n).cast("bigint"))
-            recent = part if recent is None else recent.unionByName(part)
-        if recent is None:
+        if keys is not None:
+            rows = met(rows, keys, self.key, "left_semi")
+        later = sorted(n for n, row in done.items() if n > base and row["kind"] == CHANGES)
+        if not later:
             return rows
+        # one scan however many commits there are, so that a plan does not grow with them
+        folders = [self._folder(CHANGES, n, done[n]["attempt"]) for n in later]
+        marked = self.spark.read.schema(self.schema + ", op STRING, commit BIGINT, attempt STRING")
+        recent = marked.option("basePath", f"{self.path}/{CHANGES}").parquet(*folders).drop("attempt")
+        if keys is not None:
+            recent = met(recent, keys, self.key, "left_semi")
         latest = latest_computed(recent, self.key, ["commit"])
         kept = rows.join(latest.select(*self.key), self.key, "left_anti")
         return kept.unionByName(latest.filter(F.col("op") == UPSERT).drop("op", "commit"))

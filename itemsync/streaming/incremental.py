@@ -18,7 +18,7 @@ from itemsync.operators import acl, registry, shape
 from itemsync.operators.attachments import Extractor, attachment_documents
 from itemsync.options import JobOptions
 from itemsync.plans.jobs import Mailboxes, SyncState, object_documents
-from itemsync.session import cut_lineage
+from itemsync.session import cut_lineage, kept
 from itemsync.sinks.keyed import UPSERT, KeyedTable
 
 Shape = Callable[[DataFrame], DataFrame]
@@ -30,10 +30,17 @@ def item_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
 
 
 def document_shape(name: str, sources: Mailboxes, options: JobOptions) -> Shape:
-    """How arriving items of one object become documents, with the attachments that are there already."""
+    """How arriving items of one object become documents, with the attachments that are there already.
+
+    Ids and accounts of a batch are stored first, narrow, and only the accounts among them take
+    part, so that a batch meets tables of any size without shuffling them.
+    """
 
     def run(batch: DataFrame) -> DataFrame:
-        return object_documents(name, replace(sources, **{name: batch}), options, None, None, dedup=False)
+        narrow = kept(batch.select("id", "account"), "arrived")
+        owners = sources.accounts.join(narrow.select("account").distinct(), "account", "left_semi")
+        met = replace(sources, accounts=kept(owners, "owners"), **{name: batch})
+        return object_documents(name, met, options, None, None, dedup=False, sized_by=narrow)
 
     return run
 
@@ -91,8 +98,8 @@ def _parents(name: str, state: SyncState, of: DataFrame) -> DataFrame:
 def _register(state: SyncState, options: JobOptions, commit: int, writer: str) -> None:
     changed = state.index.changes(commit).filter(F.col("op") == UPSERT)
     number = state.registry.number(None, writer)
-    rows = registry.new_rows(state.registry.read(number), registry.registry_rows(changed, options.platform))
-    state.registry.upsert(rows, number, writer)
+    rows = registry.registry_rows(changed, options.platform)
+    state.registry.upsert(registry.new_rows(state.registry.read(number, rows), rows), number, writer)
 
 
 def sync_attachments(

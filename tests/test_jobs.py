@@ -91,6 +91,22 @@ def test_commit_numbers_are_the_tables_own(spark, folder):
     assert sorted(map(tuple, table.read().collect())) == [(1, "z"), (2, "c")]
 
 
+def test_a_read_is_one_scan_of_all_commits(spark, folder):
+    table = KeyedTable(spark, folder + "/t", "id INT, v STRING", ["id"])
+    table.create()
+    scans = []
+    for n in range(4):
+        table.upsert(spark.createDataFrame([(n, f"v{n}"), (9, f"v{n}"), (None, f"v{n}")], "id int, v string"))
+        scans.append(table.read()._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+    assert scans == [scans[0]] * 4
+    table.delete(spark.createDataFrame([(1,)], "id int"))
+    asked = spark.createDataFrame([(0,), (1,), (9,), (9,), (None,), (77,)], "id int")
+    assert sorted(map(str, table.read(keys=asked).collect())) == sorted(
+        str(r) for r in table.read().collect() if r["id"] in (0, 9, None)
+    )
+    assert table.read(before=3, keys=asked).filter("id = 9").first()["v"] == "v1"
+
+
 def test_state_survives_compactions_and_replays(spark, folder):
     table = KeyedTable(spark, folder + "/t", "id INT, v STRING", ["id"])
     table.create()
