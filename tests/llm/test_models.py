@@ -201,3 +201,47 @@ def test_all_ids_of_all_texts_are_learned_once(spark, monkeypatch):
     frame = spark.createDataFrame([(n if n else None, t) for n, t in enumerate(texts)], "doc_id long, text string")
     dealt = [frame.where(lm.fold(F.col("doc_id"), 3) == turn).count() for turn in range(3)]
     assert sum(dealt) == len(texts) and min(dealt) > 0
+
+
+def test_texts_are_read_to_count_and_to_encode_only(spark):
+    """Rounds and scores take stored ids: no text is read and encoded anew for each."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    texts = [prose(n, 30) for n in range(20)]
+    frame = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    rows = lm.scored(frame.select("doc_id", F.udf(seen)("text").alias("text"))).collect()
+    learned = sum(not r.held_out for r in rows)
+    assert len(rows) == 20 and 0 < learned < 20 and read.value == learned + 20
+
+
+def test_steps_on_some_rows_are_adam_on_all():
+    """Against the steps as they are written down, over more steps than means are left to fade."""
+    _, w = tiny()
+    rng = np.random.default_rng(5)
+    adam, size = lm.Adam(w, 0.02), {k: v.shape[1] for k, v in w.items()}
+    plain = {k: v.astype(np.float64) for k, v in w.items()}
+    m, s = ({k: np.zeros_like(v) for k, v in plain.items()} for _ in range(2))
+    for n in range(1, 2 * lm.Adam.AGED + 10):
+        rows = np.sort(rng.choice(lm.N_INPUTS // (1 + n % 50), 20, replace=False))
+        some = {k: rng.normal(0, 1e-3, (20, size[k]) if k in lm.BY_ROW else v.shape) for k, v in w.items()}
+        adam.step({k: g.astype(np.float32) for k, g in some.items()}, rows)
+        for k, v in plain.items():
+            g = np.zeros_like(v)
+            g[rows if k in lm.BY_ROW else slice(None)] = some[k]
+            m[k] = 0.9 * m[k] + 0.1 * g
+            s[k] = 0.99 * s[k] + 0.01 * g * g
+            v -= 0.02 * math.sqrt(1 - 0.99**n) / (1 - 0.9**n) * m[k] / (np.sqrt(s[k]) + 1e-8)
+    for k, v in plain.items():
+        assert np.allclose(adam.w[k], v, rtol=1e-3, atol=1e-3), k
+
+
+def test_softmax_where_values_leave_the_range_of_floats():
+    x = np.array([[-200.0, -201, -1e9], [0, 1, 2], [300, 100, -300], [50, 50, -1e9]], np.float32)
+    for rows in ([0, 1, 2, 3], [0], [1, 3], [2]):
+        e, sums, _ = lm._exps(x[rows])
+        wanted = np.exp(x[rows].astype(np.float64) - x[rows].max(axis=1, keepdims=True))
+        assert np.allclose(e / sums[:, None], wanted / wanted.sum(axis=1, keepdims=True), rtol=1e-5)
