@@ -176,6 +176,112 @@ def test_each_id_is_scored_once():
         assert np.isclose(got, total / math.log(10), rtol=1e-4, atol=1e-3)
 
 
+def wide():
+    """A vocabulary that fills all rows, ids beyond them in the last, with random counts."""
+    rng = np.random.default_rng(6)
+    size = lm.N_INPUTS + 50
+    inputs = np.minimum(np.arange(size + 1), lm.N_INPUTS - 1).astype(np.int32)
+    inputs[size] = 3
+    alone = np.zeros(size + 1, np.float32)
+    alone[inputs == lm.N_INPUTS - 1] = -math.log10((inputs == lm.N_INPUTS - 1).sum())
+    alone[[3, size]] = -math.log10(2)
+    follows = np.log(rng.dirichlet(np.ones(lm.N_CLASSES), lm.N_INPUTS)).astype(np.float32)
+    others = [np.log(rng.dirichlet(np.ones(b - a), lm.N_INPUTS)).astype(np.float32) for a, b in lm.EDGES]
+    voc = lm.Vocabulary(b"", inputs, alone, follows, others)
+    return voc, lm.started(voc)
+
+
+def row_shares(voc, w, rows):
+    """The natural logarithms of all rows' shares behind the last of a window's ``rows``, one place at a time."""
+    x = w["E"][rows] + w["P"][: len(rows)]
+    a = (x[-1] @ w["Q"]) @ (x @ w["K"]).T / math.sqrt(lm.WIDTH)
+    a = np.exp(a - a.max())
+    h = x[-1] + (a / a.sum()) @ (x @ w["V"])
+    shares = lambda z: z - np.log(np.exp(z).sum())
+    first = shares(h @ w["U"] + w["B"][rows[-1]])
+    most = lm.BANDS[0]
+    bands = [
+        first[most + n] + shares(w["T"][a - most : b - most] @ h + voc.others[n][rows[-1]]) for n, (a, b) in enumerate(lm.EDGES)
+    ]
+    return np.concatenate([first[:most], *bands])
+
+
+def test_each_row_of_ids_is_chosen_by_attention():
+    """Scores against a pass over each place; all rows' and ids' shares add up to one, and context moves those of each band."""
+    voc, w = wide()
+    rng = np.random.default_rng(7)
+    w["T"] += rng.normal(0, 0.3, w["T"].shape).astype(np.float32)
+    texts = [(voc.end * rng.random(n) ** 2).astype(np.int32) for n in (0, 1, 31, 33, 57, 200)]
+    texts.append(np.array([lm.BANDS[0] - 1, *lm.BANDS, lm.N_INPUTS - 1, voc.end - 1], np.int32))
+    for text, got in zip(texts, lm.Model(w, voc).scores(texts)):
+        before, after, total = [voc.end, *text], [*text, voc.end], 0.0
+        for at in range(len(after)):
+            step = lm.WINDOW - lm.OVERLAP
+            begin = max(0, (at - lm.OVERLAP) // step) * step
+            shares = row_shares(voc, w, voc.inputs[before[begin : at + 1]])
+            assert len(shares) == lm.N_INPUTS and np.isclose(np.exp(shares).sum(), 1, atol=1e-4)
+            total += shares[voc.inputs[after[at]]] / math.log(10) + voc.alone[after[at]]
+        assert np.isclose(got, total, rtol=1e-4, atol=1e-3)
+    assert np.allclose(np.bincount(voc.inputs, 10.0**voc.alone), 1, atol=1e-4)
+    # the same id before, and another one before that
+    one, other = (row_shares(voc, w, np.array(rows)) for rows in ([3, 900, 5], [3, 40, 5]))
+    moved = np.abs(one - other)
+    assert all(np.ptp(moved[a:b]) > 1e-3 for a, b in [(0, lm.BANDS[0]), *lm.EDGES])
+
+
+def test_gradients_of_bands_match_differences():
+    voc, w = wide()
+    w = {k: v.astype(np.float64) for k, v in w.items()}
+    rng = np.random.default_rng(8)
+    ids, targets = rng.integers(0, lm.N_INPUTS, (2, 3, 9))
+    ids[:, 4] = 5  # a row of many targets
+    targets[0, :5] = [*lm.BANDS, lm.N_INPUTS - 1]
+    valid = np.ones((3, 9), bool)
+    valid[1, 5:] = False
+    loss, gradient = lm.gradients(w, ids, targets, valid, voc.others)
+    shares = [row_shares(voc, w, row[: at + 1])[goals[at]] for row, goals, n in zip(ids, targets, (9, 5, 9)) for at in range(n)]
+    assert np.isclose(loss, -np.mean(shares), rtol=1e-5)
+    for name in w:
+        found = np.argsort(-np.abs(gradient[name]).ravel())[:3]
+        for at in zip(*np.unravel_index(found, w[name].shape)):
+            step = 1e-4
+            w[name][at] += step
+            up = lm.gradients(w, ids, targets, valid, voc.others)[0]
+            w[name][at] -= 2 * step
+            down = lm.gradients(w, ids, targets, valid, voc.others)[0]
+            w[name][at] += step
+            assert np.isclose((up - down) / (2 * step), gradient[name][at], rtol=2e-2, atol=1e-5), name
+
+
+def test_rare_ids_are_learned_from_context():
+    """Which of two ids of a band comes is told by the id before the last alone; counts of pairs can't tell it."""
+    voc, w = wide()
+    voc.others = [np.zeros_like(table) for table in voc.others]
+    rng = np.random.default_rng(9)
+    pairs = [(lm.BANDS[0], lm.BANDS[0] + 9), (300, 500), (600, 1000), (1100, 2000)]
+
+    def text(n, turn):
+        return [20 + n, 60 + turn, 7, pairs[n][turn]]
+
+    learned = [np.array(sum((text(*x) for x in zip(rng.integers(0, 4, 7), rng.integers(0, 2, 7))), []), np.int32) for _ in range(640)]
+    adam = lm.Adam(w, lm.RATE)
+    for _ in range(30):
+        for ids, targets, valid, _ in lm._batches(lm._windows([{"text": learned}], Plain(), voc), lm.BATCH):
+            _, found, rows = lm.row_gradients(adam.w, ids, targets, valid, voc.others)
+            adam.step(found, rows)
+    for n in range(4):
+        for turn in range(2):
+            right = text(n, turn)
+            wrong = [*right[:3], pairs[n][1 - turn]]
+            scores = lm.Model(adam.w, voc).scores([np.array(x, np.int32) for x in (right[:3], right, wrong)])
+            assert scores[1] > scores[2] + 0.3, (n, turn, scores)
+
+
+class Plain:
+    def texts(self, batch):
+        return iter(batch["text"])
+
+
 def test_training_lowers_the_loss():
     voc, w = tiny()
     rng = np.random.default_rng(4)
