@@ -372,7 +372,7 @@ def send_changes(state: SyncState, commit: int, options: JobOptions, send: Send)
         F.lit(UNBODIED).alias("kind"),
         F.lit("sent without body" if options.drop_oversized else "sent alone").alias("reason"),
     )
-    return index_report(rows, responses), issues.unionByName(large).withColumn("mark", F.col("id"))
+    return index_report(rows, responses), issues.unionByName(large)
 
 
 def send_deletes(ids: DataFrame, options: JobOptions, send: Send) -> DataFrame:
@@ -400,7 +400,7 @@ def _commit_documents(
     issues, report = quarantined(sources, options, windows).unionByName(mended), None
     if send is not None:
         report, refused = send_changes(state, commit, options, send)
-        issues = issues.unionByName(refused)
+        issues = issues.unionByName(refused.withColumn("mark", F.col("id")))
     state.issues.upsert(issues, commit, mode)
     found = state.issues.changes(commit).select("object", "id", "kind", "reason")
     # The registry reads back what was written; nothing is extracted twice. Refused documents stay out of it.
